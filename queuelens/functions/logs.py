@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Time pattern, level width and level ranks of the log layouts (fixed values).
-TIME_PATTERN = "yyyy-MM-dd HH:mm:ss.SSS"
+# Level width and level ranks of the log layouts (fixed values).
 LEVEL_WIDTH = 5
 LEVELS = {
     "ALL": 0, "TRACE": 1, "DEBUG": 2, "INFO": 3, "WARN": 4, "ERROR": 5, "FATAL": 6, "OFF": 7,
@@ -20,10 +19,21 @@ LINE = (
 MARK = "\u0001"
 
 
+def rendered_time(ts: Column) -> Column:
+    """Time as yyyy-MM-dd HH:mm:ss.SSS.
+
+    Cut from the text form, which needs no time zone; date_format would move
+    zone-free times that the session zone skips.
+    """
+    text = ts.cast("string")
+    millis = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.concat(F.substring(text, 1, 19), F.lit("."), millis)
+
+
 def rendered_line(ts: Column, level: Column, logger: Column, message: Column,
                   line: Column | None = None, layout: str = "stdout") -> Column:
     """A log line; the ``file`` layout puts the time in brackets, ``line`` may be left out."""
-    time = F.date_format(ts, TIME_PATTERN)
+    time = rendered_time(ts)
     if layout == "file":
         time = F.concat(F.lit("["), time, F.lit("]"))
     elif layout != "stdout":
@@ -33,34 +43,34 @@ def rendered_line(ts: Column, level: Column, logger: Column, message: Column,
     return F.concat(time, F.lit(" "), padded, F.lit(" ["), place, F.lit("] - "), message)
 
 
-def parsed_line(text: Column) -> Column:
-    """Struct of ts, level, logger, line and message; null when the text does not match.
+def line_fields(text: Column) -> Column:
+    """An empty text and the five fields of a line; other texts do not start like that.
 
     The pattern runs once per line: its groups are spread out and then split.
     """
     spread = F.regexp_replace(text, LINE, MARK + MARK.join(["$1", "$2", "$3", "$4", "$5"]))
-    fields = F.split(spread, MARK, 6)
-    ts, level, logger, line, message = (F.get(fields, F.lit(i)) for i in range(1, 6))
+    return F.split(spread, MARK, 6)
+
+
+def named_fields(text: Column, fields: Column) -> dict[str, Column]:
+    """The fields by name, all null when the text does not match or its time is no time."""
+    none, ts, level, logger, line, message = (F.get(fields, F.lit(i)) for i in range(6))
     ts = ts.try_cast("timestamp_ntz")
-    matched = spread.startswith(MARK) & ~text.startswith(MARK) & ts.isNotNull()
-    return F.when(
-        matched,
-        F.struct(
-            ts.alias("ts"),
-            level.alias("level"),
-            logger.alias("logger"),
-            F.nullif(line, F.lit("")).try_cast("int").alias("line"),
-            message.alias("message"),
-        ),
-    )
+    split = (F.size(fields) == 6) & (none == "") & ~text.startswith(MARK)
+    matched = split & ts.isNotNull()
+    return {
+        "ts": F.when(split, ts),
+        "level": F.when(matched, level),
+        "logger": F.when(matched, logger),
+        "line": F.when(matched, F.nullif(line, F.lit("")).try_cast("int")),
+        "message": F.when(matched, message),
+    }
 
 
 def level_rank(level: Column) -> Column:
     """The rank of a level name, null for an unknown one."""
-    rank = F.lit(None).cast("int")
-    for name, value in LEVELS.items():
-        rank = F.when(level == name, value).otherwise(rank)
-    return rank
+    ranks = F.create_map(*[F.lit(item) for pair in LEVELS.items() for item in pair])
+    return F.try_element_at(ranks, level)
 
 
 def threshold_rank(logger: Column, root: str, loggers: dict[str, str]) -> Column:

@@ -6,7 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from queuelens.functions.logs import level_rank, parsed_line, rendered_line, threshold_rank
+from queuelens.functions.logs import (
+    level_rank, line_fields, named_fields, rendered_line, threshold_rank,
+)
 
 LOG_ROWS = "ts TIMESTAMP_NTZ, level STRING, logger STRING, line INT, message STRING, raw STRING"
 
@@ -22,8 +24,12 @@ def log_render(df: DataFrame, layout: str = "stdout", line: Column | None = None
 def log_parse(lines: DataFrame, text: str = "value") -> DataFrame:
     """Fields of each line; a line that does not match keeps nulls and its raw text."""
     keep = [column for column in lines.columns if column != text]
-    parsed = lines.select(*keep, F.col(text).alias("raw"), parsed_line(F.col(text)).alias("__f"))
-    return parsed.select(*keep, "__f.ts", "__f.level", "__f.logger", "__f.line", "__f.message", "raw")
+    # As a generator the pattern runs once per line; a filter on its fields, pushed
+    # through a projection, would run it again.
+    fields = F.explode(F.array(line_fields(F.col(text)))).alias("__fields")
+    split = lines.select(*keep, F.col(text).alias("raw"), fields)
+    named = named_fields(F.col("raw"), F.col("__fields"))
+    return split.withColumns(named).select(*keep, *named, "raw")
 
 
 def log_level_filter(df: DataFrame, root: str = "INFO",

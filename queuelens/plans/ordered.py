@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from queuelens.plans.hotkeys import MAX_CHUNKS, hot_keys, hot_rows_of, measure
@@ -19,14 +20,17 @@ from queuelens.plans.joins import join_on_key
 
 # Candidate cut points per chunk; every OVERSAMPLE-th one is used, which evens out chunk sizes.
 OVERSAMPLE = 8
+# A table counted to be this small is scanned in one task.
+ONE_TASK_ROWS = 1000
 # Spark limits the rows per key before the shuffle only up to this rank.
 PRUNED_RANK = 1000
 
 CHUNK, CUTS, SPLIT = "__chunk", "__cuts", "__split"
 
 
-def _cut_points(df: DataFrame, key: list[str], order: list[str], limit: int) -> DataFrame:
-    """Per key, the sorted order values at which its chunks start.
+def _cut_points(df: DataFrame, key: list[str], order: list[str],
+                limit: int) -> tuple[DataFrame, int]:
+    """Per key, the sorted order values at which its chunks start; and the most a key has.
 
     Candidates are picked by a hash of the order columns, so every pass over the
     data sees the same ones. About ``total / limit`` survive.
@@ -43,7 +47,9 @@ def _cut_points(df: DataFrame, key: list[str], order: list[str], limit: int) ->
     starts = thinned.where(F.col("__i") % step == 0)
     cuts = starts.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*order))).alias(CUTS))
     # Small by construction: keep it as a local table so that no pass recomputes it.
-    return df.sparkSession.createDataFrame(cuts.toArrow(), schema=cuts.schema)
+    local = cuts.toArrow()
+    most = pc.max(pc.list_value_length(local[CUTS])).as_py() or 0
+    return df.sparkSession.createDataFrame(local, schema=cuts.schema), most
 
 
 def _chunk_index(order: list[str], most_cuts: int) -> Column:
@@ -70,15 +76,16 @@ def _with_chunks(df: DataFrame, key: list[str], order: list[str],
         if not sizes.has_hot_keys:
             return None
         hot = F.broadcast(hot_keys(df, key, sizes.limit))
-        cuts = _cut_points(join_on_key(df, hot, key, "left_semi"), key, order, sizes.limit)
+        cuts, most = _cut_points(join_on_key(df, hot, key, "left_semi"), key, order, sizes.limit)
         with_cuts = join_on_key(df, F.broadcast(cuts), key, "left")
     else:
         total = df.count()
+        if total <= ONE_TASK_ROWS:
+            return None
         share = -(-total // spark.sparkContext.defaultParallelism)
         limit = max(1, min(hot_rows_of(spark, hot_rows), share), total // MAX_CHUNKS)
-        cuts = _cut_points(df, key, order, limit)
+        cuts, most = _cut_points(df, key, order, limit)
         with_cuts = df.withColumn(CUTS, cuts.scalar())
-    most = cuts.agg(F.max(F.size(CUTS))).first()[0] or 0
     split = F.col(CUTS).isNotNull()
     return with_cuts.withColumns(
         {SPLIT: split, CHUNK: F.when(split, _chunk_index(order, most))}
@@ -106,7 +113,7 @@ def running(df: DataFrame, key: Sequence[str], order: Sequence[str],
     ``totals`` maps a new column to ``("sum" | "min" | "max", value)``, taken over
     the rows of the key up to and including the current one. ``previous`` maps a
     new column to a value of the row before. ``order`` must be unique within a
-    key. An empty ``key`` means one order over all rows; it is always chunked.
+    key. An empty ``key`` means one order over all rows, chunked unless they are few.
     """
     key, order = list(key), list(order)
     totals, previous = dict(totals or {}), dict(previous or {})
