@@ -31,3 +31,14 @@ def join_on_key(left: DataFrame, right: DataFrame, key: list[str], how: str = "l
     if how in ("left_semi", "left_anti"):
         return joined
     return joined.drop(*[f"__right_{k}" for k in key])
+
+
+def with_key_values(df: DataFrame, per_key: DataFrame, key: list[str]) -> DataFrame:
+    """``df`` with the other columns of ``per_key``, which holds one row per key.
+
+    Without a key there is one row in all, which comes in as a scalar.
+    """
+    if key:
+        return join_on_key(df, broadcast_if_small(per_key), key, "inner")
+    values = per_key.select(F.struct(*per_key.columns)).scalar()
+    return df.withColumn("__values", values).select(*df.columns, "__values.*")

@@ -25,12 +25,12 @@ ONE_TASK_ROWS = 1000
 # Spark limits the rows per key before the shuffle only up to this rank.
 PRUNED_RANK = 1000
 
-CHUNK, CUTS, SPLIT = "__chunk", "__cuts", "__split"
+CHUNK, CUTS, SPLIT, POSITION = "__chunk", "__cuts", "__split", "__position"
 
 
-def _cut_points(df: DataFrame, key: list[str], order: list[str],
-                limit: int) -> tuple[DataFrame, int]:
-    """Per key, the sorted order values at which its chunks start; and the most a key has.
+def _cut_rows(df: DataFrame, key: list[str], order: list[str], kept: list[str],
+              limit: int) -> tuple[DataFrame, int]:
+    """Per key, the sorted rows that end its chunks; and the most that a key has.
 
     Candidates are picked by a hash of the order columns, so every pass over the
     data sees the same ones. About ``total / limit`` survive.
@@ -38,37 +38,42 @@ def _cut_points(df: DataFrame, key: list[str], order: list[str],
     rate = max(1, limit // OVERSAMPLE)
     picked = (
         df.where(F.pmod(F.xxhash64(*order), F.lit(rate)) == 0)
-        .select(*key, *order)
-        .distinct()
+        .select(*dict.fromkeys(key + order + kept))
+        .dropDuplicates([*key, *order])
     )
     by_key = Window.partitionBy(*key).orderBy(*order)
-    thinned = picked.withColumn("__i", F.row_number().over(by_key))
     step = OVERSAMPLE if rate > 1 else max(1, limit)
-    starts = thinned.where(F.col("__i") % step == 0)
-    cuts = starts.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*order))).alias(CUTS))
+    ends = picked.withColumn("__i", F.row_number().over(by_key)).where(F.col("__i") % step == 0)
+    sorted_ends = F.array_sort(F.collect_list(F.struct(*dict.fromkeys(order + kept))))
+    cuts = ends.groupBy(*key).agg(sorted_ends.alias(CUTS))
     # Small by construction: keep it as a local table so that no pass recomputes it.
     local = cuts.toArrow()
     most = pc.max(pc.list_value_length(local[CUTS])).as_py() or 0
     return df.sparkSession.createDataFrame(local, schema=cuts.schema), most
 
 
-def _chunk_index(order: list[str], most_cuts: int) -> Column:
-    """Number of cut points at or before the row, by binary search."""
-    steps = [1 << bit for bit in reversed(range(max(1, most_cuts).bit_length()))]
-    here = F.struct(*order)
-
-    def narrow(position: Column, step: Column) -> Column:
-        reached = F.get(F.col(CUTS), position + step - 1) <= here
-        return position + F.when(reached, step).otherwise(F.lit(0))
+def _with_position(df: DataFrame, order: list[str], most_cuts: int) -> DataFrame:
+    """``df`` with the number of cut rows before each row, by binary search.
 
-    return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), narrow)
+    One projection per step keeps the search inside generated code; a lambda over
+    the array would be interpreted per row.
+    """
+    here = F.struct(*order)
+    position = F.lit(0)
+    for bit in reversed(range(max(1, most_cuts).bit_length())):
+        step = 1 << bit
+        passed = F.get(F.col(CUTS), position + (step - 1)) < here
+        df = df.withColumn(POSITION, position + F.when(passed, step).otherwise(0))
+        position = F.col(POSITION)
+    return df
 
 
-def _with_chunks(df: DataFrame, key: list[str], order: list[str],
-                 hot_rows: int | None) -> DataFrame | None:
-    """``df`` with a split flag and a chunk number; None if no key has to be split.
+def _split(df: DataFrame, key: list[str], order: list[str], kept: list[str],
+           hot_rows: int | None) -> tuple[DataFrame, DataFrame] | None:
+    """``df`` with a split flag and chunk number, and the rows that end the chunks.
 
     The chunk is null for keys left whole, which then form one group as usual.
+    None if no key has to be split.
     """
     spark = df.sparkSession
     if key:
@@ -76,20 +81,27 @@ def _with_chunks(df: DataFrame, key: list[str], order: list[str],
         if not sizes.has_hot_keys:
             return None
         hot = F.broadcast(hot_keys(df, key, sizes.limit))
-        cuts, most = _cut_points(join_on_key(df, hot, key, "left_semi"), key, order, sizes.limit)
-        with_cuts = join_on_key(df, F.broadcast(cuts), key, "left")
+        hot_part = join_on_key(df, hot, key, "left_semi")
+        ends, most = _cut_rows(hot_part, key, order, kept, sizes.limit)
     else:
         total = df.count()
         if total <= ONE_TASK_ROWS:
             return None
         share = -(-total // spark.sparkContext.defaultParallelism)
         limit = max(1, min(hot_rows_of(spark, hot_rows), share), total // MAX_CHUNKS)
-        cuts, most = _cut_points(df, key, order, limit)
-        with_cuts = df.withColumn(CUTS, cuts.scalar())
+        ends, most = _cut_rows(df, key, order, kept, limit)
+
+    orders_only = F.transform(CUTS, lambda end: F.struct(*[end[o].alias(o) for o in order]))
+    cuts = ends.select(*key, orders_only.alias(CUTS))
+    with_cuts = (
+        join_on_key(df, F.broadcast(cuts), key, "left") if key
+        else df.withColumn(CUTS, cuts.scalar())
+    )
     split = F.col(CUTS).isNotNull()
-    return with_cuts.withColumns(
-        {SPLIT: split, CHUNK: F.when(split, _chunk_index(order, most))}
-    ).drop(CUTS)
+    chunked = _with_position(with_cuts, order, most).withColumns(
+        {SPLIT: split, CHUNK: F.when(split, F.col(POSITION))}
+    )
+    return chunked.drop(CUTS, POSITION), ends
 
 
 def _add(local: Column, carried: Column) -> Column:
@@ -120,37 +132,43 @@ def running(df: DataFrame, key: Sequence[str], order: Sequence[str],
     inputs = {f"__in_{n}": v for n, (_, v) in totals.items()}
     inputs |= {f"__in_{n}": v for n, v in previous.items()}
     work = df.withColumns(inputs)
+    kept = [f"__in_{n}" for n in previous]
 
-    chunked = _with_chunks(work, key, order, hot_rows)
-    within = key if chunked is None else key + [CHUNK]
-    rows = work if chunked is None else chunked
+    parts = _split(work, key, order, kept, hot_rows)
+    rows, within = (work, key) if parts is None else (parts[0], key + [CHUNK])
     by_order = Window.partitionBy(*within).orderBy(*order)
     so_far = by_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
     local = {n: _COMBINE[fn][0](f"__in_{n}").over(so_far) for n, (fn, _) in totals.items()}
     local |= {n: F.lag(f"__in_{n}").over(by_order) for n in previous}
-    if chunked is None:
+    if parts is None:
         return rows.withColumns(local).select(*df.columns, *local)
 
+    joined = rows.withColumns(local | {"__row": F.row_number().over(by_order)})
+    if totals:
+        pieces = rows.where(SPLIT).groupBy(*within).agg(
+            *[_COMBINE[fn][0](f"__in_{n}").alias(n) for n, (fn, _) in totals.items()]
+        )
+        before = (
+            Window.partitionBy(*key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        carry = pieces.select(*within, *[
+            _COMBINE[fn][0](n).over(before).alias(f"__carry_{n}")
+            for n, (fn, _) in totals.items()
+        ])
+        joined = join_on_key(joined, F.broadcast(carry), within, "left").withColumns({
+            n: _COMBINE[fn][1](F.col(n), F.col(f"__carry_{n}")) for n, (fn, _) in totals.items()
+        })
     if previous:
-        local["__first"] = F.row_number().over(by_order) == 1
-    scanned = rows.withColumns(local)
-
-    sums = [_COMBINE[fn][0](f"__in_{n}").alias(n) for n, (fn, _) in totals.items()]
-    lasts = [F.max_by(f"__in_{n}", F.struct(*order)).alias(n) for n in previous]
-    pieces = rows.where(SPLIT).groupBy(*within).agg(*sums, *lasts)
-    by_chunk = Window.partitionBy(*key).orderBy(CHUNK)
-    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    carry = pieces.select(
-        *within,
-        *[_COMBINE[fn][0](n).over(before).alias(f"__carry_{n}") for n, (fn, _) in totals.items()],
-        *[F.lag(n).over(by_chunk).alias(f"__carry_{n}") for n in previous],
-    )
-    joined = join_on_key(scanned, F.broadcast(carry), within, "left")
-    joined = joined.withColumns(
-        {n: _COMBINE[fn][1](F.col(n), F.col(f"__carry_{n}")) for n, (fn, _) in totals.items()}
-        | {n: F.when(F.col("__first"), F.col(f"__carry_{n}")).otherwise(F.col(n)) for n in previous}
-    )
+        # The row before the first of a chunk is the one that ended the last chunk.
+        ended = parts[1].select(*key, F.posexplode(CUTS).alias("__place", "__end"))
+        carry = ended.select(
+            *key, (F.col("__place") + 1).alias(CHUNK),
+            *[F.col("__end")[f"__in_{n}"].alias(f"__carry_{n}") for n in previous],
+        )
+        first = F.col("__row") == 1
+        joined = join_on_key(joined, F.broadcast(carry), within, "left").withColumns({
+            n: F.when(first, F.col(f"__carry_{n}")).otherwise(F.col(n)) for n in previous
+        })
     return joined.select(*df.columns, *totals, *previous)
 
 

@@ -46,14 +46,14 @@ def test_running_equals_window(skewed, key, hot_rows):
 
 
 def test_no_group_stays_large(skewed):
-    split = ordered._with_chunks(skewed, ["k"], ORDER, 200)
+    split, _ = ordered._split(skewed, ["k"], ORDER, [], 200)
     largest = measure(split, ["k", CHUNK]).largest
     assert measure(skewed, ["k"]).largest > 3000
     assert largest <= 5 * 200
 
 
 def test_global_order_is_spread(skewed):
-    split = ordered._with_chunks(skewed, [], ORDER, None)
+    split, _ = ordered._split(skewed, [], ORDER, [], None)
     sizes = measure(split, [CHUNK])
     assert sizes.total == 10_000 and sizes.largest < 5_000
 

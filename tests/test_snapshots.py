@@ -44,6 +44,14 @@ def test_single_value_has_no_deviation(spark):
     assert close(snapshot(two, ["k"], "v", hot_rows=2), snapshot(two, ["k"], "v"))
 
 
+def test_groups_of_nulls(spark):
+    df = spark.range(300).select(
+        (F.col("id") % 3).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("v"))
+    assert close(snapshot(df, ["k"], "v", hot_rows=10), snapshot(df, ["k"], "v"))
+    nulls = df.where("k = 0")
+    assert close(snapshot(nulls, [], "v", hot_rows=10), snapshot(nulls, [], "v"))
+
+
 def test_approximate_quantiles_are_near(latencies):
     exact = snapshot(latencies, [], "latency_ms").first()
     near = snapshot(latencies, [], "latency_ms", approx=True).first()
