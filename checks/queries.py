@@ -54,7 +54,7 @@ def latencies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def events_streamed(spark: SparkSession, sf: str) -> DataFrame:
-    return event_stream(spark, sf, "events.parquet")
+    return event_stream(spark, f"{sf}/events*.parquet")
 
 
 # Event stream and latency

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from queuelens.functions.times import millis_between
 from queuelens.plans.joins import broadcast_if_small, join_on_key
@@ -193,7 +193,9 @@ def replay_latency(created: DataFrame, consumed: DataFrame, on: tuple[str, str],
 
 def with_lane(df: DataFrame, key: str, size: int) -> DataFrame:
     """``df`` with the lane of its key; all events of a key share a lane, in order."""
-    return df.withColumn("lane", F.pmod(F.col(key), F.lit(size).cast("bigint")))
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    number = F.col(key).cast("bigint") if whole else F.xxhash64(key)
+    return df.withColumn("lane", F.pmod(number, F.lit(size).cast("bigint")))
 
 
 def keyed_lanes(df: DataFrame, key: str, size: int) -> DataFrame:

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(app: str = "queuelens", master: str | None = None,
@@ -25,6 +26,11 @@ def build_session(app: str = "queuelens", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Checkpoints go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Streaming state on disk with incremental uploads, not in executor memory.
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **{name: str(value) for name, value in conf.items()},
     }
     for name, value in settings.items():

@@ -20,13 +20,13 @@ def event_source(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(path)
 
 
-def event_stream(spark: SparkSession, folder: str, glob: str = "*.parquet",
+def event_stream(spark: SparkSession, path: str,
                  files_per_trigger: int | None = None) -> DataFrame:
-    """Events as a stream of the Parquet files that appear in ``folder``."""
-    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", glob)
+    """Events as a stream of the Parquet files at ``path``, a folder or a glob of files or folders."""
+    reader = spark.readStream.schema(EVENTS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def load_uri(spark: SparkSession, uri: str, format: str = "parquet") -> DataFrame:

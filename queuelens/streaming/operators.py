@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +18,9 @@ from queuelens.plans.snapshots import QUANTILES, basic_statistics
 from queuelens.session import require_utc
 from queuelens.streaming.sinks import REPORT_PERIOD, start_complete
 
+# Rows of one key that a task gathers before it drops those that cannot matter.
+KEPT_ROWS = 10_000
+
 
 def _as_instant(df: DataFrame, ts: str) -> DataFrame:
     """Watermarks need instants; the cast is exact in UTC only."""
@@ -93,16 +97,18 @@ def stream_nth_event(events: DataFrame, key: str, n: int, row_id: str = "event_i
     def count_up(group: tuple, batches: Iterator[pd.DataFrame],
                  state: GroupState) -> Iterator[pd.DataFrame]:
         seen = state.get[0] if state.exists else 0
-        first = None
+        missing, first = n - seen, None
         for batch in batches:
-            if seen < n:
-                first = pd.concat([first, batch]) if first is not None else batch
-                first = first.sort_values(order).head(n - seen)
-        if first is None or seen >= n:
+            if missing > 0 and len(batch):
+                first = batch if first is None else pd.concat([first, batch])
+                if len(first) > max(missing, KEPT_ROWS):
+                    first = first.sort_values(order).head(missing)
+        if first is None:
             return
-        state.update((seen + len(first),))
-        if seen + len(first) == n:
-            yield first.tail(1)
+        state.update((seen + min(missing, len(first)),))
+        if len(first) >= missing:
+            in_order = np.lexsort((first[row_id].to_numpy(), first[ts].to_numpy()))
+            yield first.iloc[in_order[missing - 1:missing]]
 
     narrow = events.select(key, ts, row_id).mapInPandas(first_of_batch, schema)
     return narrow.groupBy(key).applyInPandasWithState(
