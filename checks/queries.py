@@ -11,7 +11,6 @@ from queuelens.operators import (
     allocation, buffers, counting, events as ev, logs, measures, ordering, routing, triggers, uris,
 )
 from queuelens.session import shared_path
-from queuelens.sources.schemas import REGISTRY
 from queuelens.sources.tables import (
     event_source, event_stream, load_uri, storage_report, table,
 )
@@ -25,10 +24,16 @@ AS_OF = "2024-02-01 00:00:00"
 ORDER = ["ts", "event_id"]
 CAPACITY = 3
 ALPHA_PER_HOUR = 0.015
-REGISTERED = [("click", "ClickImpl", 1), ("view", "OldViewImpl", 2), ("view", "ViewImpl", 3),
-              ("purchase", "PurchaseImpl", 4)]
-SCHEMES = [("file", "LocalFileSystem"), ("hdfs", "DistributedFileSystem"),
-           ("https", "WebFileSystem")]
+REGISTERED = """
+SELECT * FROM VALUES
+    ('click', 'ClickImpl', 1), ('view', 'OldViewImpl', 2), ('view', 'ViewImpl', 3),
+    ('purchase', 'PurchaseImpl', 4) AS registry(service, impl, seq)
+"""
+SCHEMES = """
+SELECT * FROM VALUES
+    ('file', 'LocalFileSystem'), ('hdfs', 'DistributedFileSystem'), ('https', 'WebFileSystem')
+    AS registry(scheme, file_system)
+"""
 SPLIT_COLUMNS = ["page_id", "scheme", "authority", "path", "path_quoted"]
 
 
@@ -331,7 +336,7 @@ def instrumented_stage(spark, sf):
 
 
 def registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REGISTERED, REGISTRY)
+    return spark.sql(REGISTERED)
 
 
 def routed(spark: SparkSession, sf: str) -> DataFrame:
@@ -375,8 +380,7 @@ def authority_rollup(spark, sf):
 
 @query
 def scheme_route(spark, sf):
-    schemes = spark.createDataFrame(SCHEMES, "scheme STRING, file_system STRING")
-    return uris.scheme_route(pages(spark, sf), schemes).select("page_id", "scheme", "file_system")
+    return uris.scheme_route(pages(spark, sf), spark.sql(SCHEMES)).select("page_id", "scheme", "file_system")
 
 
 @query
