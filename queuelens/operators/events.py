@@ -84,7 +84,6 @@ def latency_cumulative(df: DataFrame, period: str, ts: str = "ts", value: str =
     amount = F.col(value).cast("double")
     moments = cut_lineage(
         with_period(df, period, ts)
-        .where(F.col(value).isNotNull())
         .groupBy("period_start")
         .agg(
             F.count(value).alias("__n"),
@@ -93,6 +92,7 @@ def latency_cumulative(df: DataFrame, period: str, ts: str = "ts", value: str =
             F.max(value).alias("__max"),
             (F.var_pop(amount) * F.count(value)).alias("__within"),
         )
+        .where("__n > 0")
     )
     so_far = running(
         moments, [], ["period_start"],
