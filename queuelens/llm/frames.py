@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from queuelens.session import shared_path
@@ -37,7 +38,7 @@ def bounded(batches: Iterator[pa.RecordBatch], column: str = "text",
         if not batch.num_rows:
             continue
         sizes = np.asarray(
-            pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+            pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         ).astype(np.int64)
         piece = np.cumsum(sizes) // max_bytes
         starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]

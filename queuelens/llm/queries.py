@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing
+from queuelens.llm import packing, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document packed into sequences of 2048 ids."""
     return packing.pack_documents(_table(spark, sf, "documents"))
 
 
 QUERIES = {
+    "op4_simhash": op4_simhash,
     "op10_packing": op10_packing,
 }
