@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing, simhash
+from queuelens.llm import packing, simhash, tiling, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op3_tiling(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document and benchmark item of which it holds half or more."""
+    return tiling.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(_table(spark, sf, "documents"))
@@ -22,6 +32,8 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op3_tiling": op3_tiling,
     "op4_simhash": op4_simhash,
     "op10_packing": op10_packing,
 }
