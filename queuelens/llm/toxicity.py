@@ -24,11 +24,13 @@ MODELS = 3
 CONFIRMED = 3000
 UNLABELLED = 9000
 WEIGHTS = 1 << 18
-STEPS = 1500
-RATE = 0.1
-# A feature is learnt from if it is in so many confirmed texts, so many times as often there
-# as in unlabelled ones, and so many standard errors above that share.
-LEAST_TEXTS, LEAST_LIFT, LEAST_ERRORS = 3, 2.5, 5.0
+STEPS = 400
+RATE = 0.05
+# A feature is learnt from if it is in so many confirmed texts and this share of them, so many
+# times as often there as in unlabelled ones, and so many standard errors above their share.
+LEAST_TEXTS, LEAST_SHARE, LEAST_LIFT, LEAST_ERRORS = 3, 0.01, 2.5, 5.0
+# Odd factors that order hashes in four ways.
+MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 # The score, before squashing, of every text if no toxic text is known.
 NONE_KNOWN = -20.0
 WORD = re.compile(r"[^\W\d_]+")
@@ -45,6 +47,26 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
+def _different(texts: list[str]) -> list[int]:
+    """Places of texts that are no near copy of an earlier one.
+
+    Copies share most runs of three words, and so one of the four smallest hashes.
+    Without this, any word of a text that was copied often would seem to tell toxicity.
+    """
+    seen, places = set(), []
+    for place, text in enumerate(texts):
+        words = WORD.findall((text or "").lower())
+        values = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+                           for w in words], np.uint64)
+        if len(values) > 2:
+            values = values[:-2] * np.uint64(3) + values[1:-1] * np.uint64(5) + values[2:]
+        mixed = [(n, int((values * np.uint64(m)).min())) for n, m in enumerate(MIXERS)] if words else []
+        if seen.isdisjoint(mixed):
+            places.append(place)
+        seen.update(mixed)
+    return places
+
+
 def _telling(rows: list[np.ndarray], confirmed: np.ndarray) -> np.ndarray:
     """Which features are clearly more frequent in confirmed than in unlabelled texts."""
     counts = [np.bincount(np.concatenate([rows[i] for i in np.flatnonzero(side)]),
@@ -53,12 +75,20 @@ def _telling(rows: list[np.ndarray], confirmed: np.ndarray) -> np.ndarray:
     share = counts[0] / n_toxic
     usual = (counts[1] + 1) / (len(rows) - n_toxic + 1)
     errors = (share - usual) / np.sqrt(usual * np.maximum(1 - usual, 1e-9) / n_toxic)
-    return ((counts[0] >= LEAST_TEXTS) & (share >= LEAST_LIFT * usual)
+    return ((counts[0] >= LEAST_TEXTS) & (share >= LEAST_SHARE) & (share >= LEAST_LIFT * usual)
             & (errors >= LEAST_ERRORS))
 
 
-def train(texts: list[str], confirmed: np.ndarray, prior: float, seed: int) -> tuple[np.ndarray, float]:
-    """Weights and intercept that minimise the non-negative risk estimate."""
+def train(texts: list[str], confirmed: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+    """Weights and intercept that minimise the non-negative risk estimate.
+
+    Weights stay at zero or above, as only signs of toxicity are learnt from.
+    """
+    confirmed = np.asarray(confirmed, bool)
+    places = np.concatenate([
+        side[_different([texts[i] for i in side])]
+        for side in (np.flatnonzero(confirmed), np.flatnonzero(~confirmed)) if len(side)])
+    texts, confirmed = [texts[i] for i in places], confirmed[places]
     weights, bias = np.zeros(WEIGHTS), -1.0
     sides = [np.flatnonzero(confirmed), np.flatnonzero(~confirmed)]
     if not len(sides[0]) or not len(sides[1]):
@@ -67,34 +97,32 @@ def train(texts: list[str], confirmed: np.ndarray, prior: float, seed: int) -> t
             for t in texts]
     telling = _telling(rows, confirmed)
     rows = [row[telling[row]] for row in rows]
-    rng = np.random.default_rng(seed)
     first, second = np.zeros(WEIGHTS + 1), np.zeros(WEIGHTS + 1)
-
-    def scores(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        flat = np.concatenate([rows[i] for i in chosen])
-        owner = np.repeat(np.arange(len(chosen)), [len(rows[i]) for i in chosen])
-        return np.bincount(owner, weights[flat], len(chosen)) + bias, flat, owner
+    flat, owner, count = [], [], []
+    for side in (confirmed, ~confirmed):
+        chosen = [rows[i] for i in np.flatnonzero(side)]
+        flat.append(np.concatenate(chosen))
+        owner.append(np.repeat(np.arange(len(chosen)), [len(row) for row in chosen]))
+        count.append(len(chosen))
 
     for step in range(1, STEPS + 1):
-        batch = [rng.choice(side, min(len(side), n), replace=False)
-                 for side, n in zip(sides, (128, 512))]
-        (toxic, flat_p, own_p), (any_, flat_u, own_u) = map(scores, batch)
-        risk = np.logaddexp(0, any_).mean() - prior * np.logaddexp(0, toxic).mean()
-        up_p, up_u = 1 / (1 + np.exp(-toxic)), 1 / (1 + np.exp(-any_))
-        # Slopes of the two risks: calling unlabelled texts clean, and toxic ones toxic.
-        slope_u = up_u / len(any_)
-        slope_p = -prior * up_p / len(toxic)
-        if risk >= 0:
-            slope_p = slope_p - prior * (1 - up_p) / len(toxic)
+        toxic, any_ = (
+            1 / (1 + np.exp(-(np.bincount(o, weights[f], n) + bias)))
+            for f, o, n in zip(flat, owner, count))
+        # Slopes of the risks (sigmoid loss) of calling toxic and unlabelled texts clean.
+        slope_p = prior * toxic * (1 - toxic) / count[0]
+        slope_u = any_ * (1 - any_) / count[1]
+        if any_.mean() - prior * toxic.mean() >= 0:
+            slope_p = -2 * slope_p
         else:
-            slope_u, slope_p = -slope_u, -slope_p
-        slope = np.bincount(np.append(flat_p, flat_u),
-                            np.append(slope_p[own_p], slope_u[own_u]), WEIGHTS + 1)
+            slope_u = -slope_u
+        slope = np.bincount(np.append(*flat), np.append(slope_p[owner[0]], slope_u[owner[1]]),
+                            WEIGHTS + 1)
         slope[WEIGHTS] = slope_p.sum() + slope_u.sum()
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope * slope
         move = RATE * first / (1 - 0.9 ** step) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-        weights -= move[:WEIGHTS]
+        weights = np.maximum(weights - move[:WEIGHTS], 0)
         bias -= move[WEIGHTS]
     return weights, bias
 
@@ -156,9 +184,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         F.explode("picked").alias("model"), "text", F.lit(False).alias("confirmed"))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["confirmed", "text"], kind="stable")
-        weights, bias = train(group["text"].tolist(), group["confirmed"].to_numpy(bool), prior,
-                              int(group["model"].iloc[0]))
+        group = group.sort_values(["confirmed", "text"], kind="stable")  # any order of arrival
+        weights, bias = train(group["text"].tolist(), group["confirmed"].to_numpy(bool), prior)
         return pd.DataFrame({"weights": [weights.tolist()], "bias": [bias]})
 
     fitted = confirmed.union(unlabelled).groupBy("model").applyInPandas(
