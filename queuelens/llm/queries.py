@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing, simhash, tiling, toxicity
+from queuelens.llm import packing, quality, simhash, tiling, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts, rules and verdict for every document."""
+    return quality.quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document packed into sequences of 2048 ids."""
     return packing.pack_documents(_table(spark, sf, "documents"))
@@ -35,5 +40,6 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_tiling": op3_tiling,
     "op4_simhash": op4_simhash,
+    "op7_quality": op7_quality,
     "op10_packing": op10_packing,
 }
