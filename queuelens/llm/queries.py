@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing, quality, simhash, tiling, toxicity
+from queuelens.llm import packing, quality, simhash, tiling, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op6_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts, rule and verdict of every page's URL."""
+    return urls.judge(_table(spark, sf, "pages"))
+
+
 def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Counts, rules and verdict for every document."""
     return quality.quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
@@ -40,6 +45,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_tiling": op3_tiling,
     "op4_simhash": op4_simhash,
+    "op6_urls": op6_urls,
     "op7_quality": op7_quality,
     "op10_packing": op10_packing,
 }
