@@ -1,24 +1,70 @@
-"""The corpus pipeline: five stages over ``documents``, each calling one operator."""
+"""The corpus pipeline: five stages over ``documents``, each calling one operator.
+
+Every stage works on all that the one before kept, and takes and returns rows with the
+columns of ``documents``; only the last returns the packed pieces. Rows without a doc_id
+cannot be named in a list of documents to drop, so such lists leave them in. Null texts
+are empty texts to every stage. An empty table stays one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing
+from queuelens.llm import packing, pii, simhash, tiling, toxicity
 from queuelens.llm.frames import kept
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifiers do not call toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.scored(docs, toxicity.learn(docs, labels), score="__toxicity")
+    return scored.where("__toxicity < 0.5").select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of near copies.
+
+    Rows that repeat an id are one document, of which one row stays.
+    """
+    found = kept(simhash.near_duplicates(docs).where("doc_id IS NOT NULL"), "near-copies")
+    left = _without(docs, found.where("doc_id <> component_id"))
+    repeated = found.groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        return left
+    again = left.join(repeated.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    return _without(left, repeated).union(again.dropDuplicates(["doc_id"]))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, kept(tiling.contaminated(docs, items), "contaminated"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked and ``n_chars`` counted anew."""
+    return pii.masked(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all remaining documents, with sequence and offset."""
     return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("best-fit packing", packed),
+    ("toxicity", clean_of_toxicity),
+    ("near-duplicates", one_of_each_group),
+    ("decontamination", decontaminated),
+    ("personal data", without_personal_data),
+    ("packing", packed),
 ]
 
 # Fingerprints, a trained classifier and a tokenizer are beyond SQL.
@@ -28,6 +74,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; every stage is written and read again before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for place, (name, stage) in enumerate(STAGES):
+    for place, (_, stage) in enumerate(STAGES):
         docs = kept(stage(spark, docs, sf_dir), f"stage-{place}")
     return docs

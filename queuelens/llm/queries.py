@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing, quality, simhash, tiling, toxicity, urls
+from queuelens.llm import packing, pii, quality, quotes, simhash, tiling, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message without quotations, linked to the message it answers."""
+    return quotes.reply_order(_table(spark, sf, "conversations"))
+
+
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
@@ -26,6 +31,11 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find(_table(spark, sf, "documents"))
+
+
 def op6_urls(spark: SparkSession, sf: str) -> DataFrame:
     """Parts, rule and verdict of every page's URL."""
     return urls.judge(_table(spark, sf, "pages"))
@@ -42,9 +52,11 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quotes": op1_quotes,
     "op2_toxicity": op2_toxicity,
     "op3_tiling": op3_tiling,
     "op4_simhash": op4_simhash,
+    "op5_pii": op5_pii,
     "op6_urls": op6_urls,
     "op7_quality": op7_quality,
     "op10_packing": op10_packing,
