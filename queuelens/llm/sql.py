@@ -2,4 +2,17 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n
+            FROM pages),
+        r AS (
+            SELECT page_id, html, n,
+                CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS largest
+            FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+            CASE WHEN page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id <> largest THEN largest END AS refers_to
+        FROM r""",
+}
