@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing, pii, quality, quotes, simhash, tiling, toxicity, urls, warc
+from queuelens.llm import packing, pii, quality, quotes, simhash, tiling, tokenfile, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -46,6 +46,11 @@ def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op8_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of every document, coded into files and read back."""
+    return tokenfile.round_trip(_table(spark, sf, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Every page written to WARC archives and read back by the salvage reader."""
     return warc.round_trip(_table(spark, sf, "pages"))
@@ -64,6 +69,7 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_urls": op6_urls,
     "op7_quality": op7_quality,
+    "op8_tokens": op8_tokens,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
 }
