@@ -18,7 +18,7 @@ from queuelens.plans.ordered import ranked, running
 MARKS = r"^((?:[ \t]*>)+)[ \t]?"
 NEITHER_LETTER_NOR_DIGIT = r"[^\p{L}\p{N}]+"
 # A line that ends like this right before a quotation only introduces it.
-INTRODUCES = r"(?i)\b(wrote|schrieb|écrit|escribió)\s*:\s*$"
+INTRODUCES = r"(^|[^\p{L}])(wrote|schrieb|écrit|escribió)\s*:\s*$"
 
 
 def normalised(text: Column) -> Column:
@@ -148,6 +148,6 @@ def reply_order(messages: DataFrame, conversation: str = "conv_id", turn: str =
         "parent_turn", F.coalesce("root_turn", "turn").alias("root_turn"),
         F.coalesce("depth", F.lit(0)).cast("bigint").alias("depth"),
         F.coalesce("root_turn", "turn").isNull().cast("int").alias("__last"),
-        F.xxhash64("role", "text").alias("__tie"))
+        F.sha2(F.concat(F.coalesce("role", F.lit("")), F.lit("\n"), F.col("text")), 256).alias("__tie"))
     return ranked(joined, ["conv_id"], ["__last", "root_turn", "depth", "turn", "__tie"],
                   "place").drop("__last", "__tie")
