@@ -1,0 +1,88 @@
+"""Counts against a plain version, and the log-likelihood ratio against plain counts."""
+
+import collections
+import math
+import random
+import re
+
+import pytest
+
+from queuelens.llm import quality
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    often = collections.Counter(windows)
+    repeated = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 8)}
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(repeated),
+            n < 20 or 100 * len(repeated) > 30 * n)
+
+
+r = random.Random(4)
+TEXTS = [None, "", " \n\t", "a", "a b\x0bc\x0cd\re", "é #*$ %&|<> \x85x", "line\nline\n\nline \n", "w " * 30,
+         "a b c d e f g h " * 2, "a b c d e f g h x a b c d e f g h", "x\n" * 3000]
+TEXTS += [" ".join(r.choice("abc") for _ in range(r.randrange(60))) + "\n" * r.randrange(3) for _ in range(60)]
+GOOD = " ".join(f"good{n % 40}" for n in range(60))
+JUNK = " ".join(f"junk{n * n % 83}***" for n in range(60))
+TEXTS += [GOOD] * 5 + [JUNK] * 3
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)) + [(None, GOOD)], "doc_id bigint, text string")
+    good = [(n, int(t == GOOD)) for n, t in enumerate(TEXTS) if n % 2]
+    labels = spark.createDataFrame(good + good[:2] + [(None, 1), (10 ** 9, 1)], "doc_id bigint, quality int")
+    return docs.selectExpr("*", "1 AS n_words", "2 AS ratios"), labels
+
+
+def test_counts_and_verdict(spark, tables):
+    found = quality.quality(*tables).collect()
+    assert len(found) == len(TEXTS) + 1
+    for row in found:
+        text = GOOD if row.doc_id is None else TEXTS[row.doc_id]
+        assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words,
+                row.base_failed) == plain(text), text
+        assert row.kept == (not row.base_failed and row.score >= quality.THRESHOLD)
+        if text in (GOOD, JUNK):
+            assert (row.score > 0) == (text == GOOD)
+
+
+def test_log_ratios(spark, tables):
+    docs, labels = tables
+    hashed = spark.createDataFrame(
+        [(n, WORD.findall(t or "")) for n, t in enumerate([*TEXTS, GOOD])], "n int, w array<string>").selectExpr(
+        "n", "transform(w, x -> xxhash64(x)) AS h").selectExpr(
+        "n", "h", "transform(h, (x, i) -> xxhash64(x, get(h, i + 1))) AS pairs")
+    raw, target = collections.Counter(), collections.Counter()
+    trusted = {n for n, t in enumerate(TEXTS) if n % 2 and t == GOOD}
+    for row in hashed.collect():
+        buckets = [h % quality.BUCKETS for h in [*row.h, *row.pairs[:max(0, len(row.h) - 1)]]]
+        raw.update(buckets)
+        if row.n in trusted:
+            target.update(buckets)
+    ratios = quality.log_ratios(docs, labels).first().ratios
+    share = lambda c, b: math.log((c[b] + 1) / (sum(c.values()) + quality.BUCKETS))
+    assert len(ratios) == quality.BUCKETS
+    for bucket in [*raw][:500] + list(range(0, quality.BUCKETS, 997)):
+        assert ratios[bucket] == pytest.approx(share(target, bucket) - share(raw, bucket))
+
+
+def test_empty_tables(spark, tables):
+    docs, labels = tables
+    assert quality.quality(docs.limit(0), labels).count() == 0
+    assert quality.quality(docs, labels.limit(0)).count() == len(TEXTS) + 1
+
+
+def test_plan_has_no_python(spark, tables):
+    plan = quality.quality(*tables)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
