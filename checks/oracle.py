@@ -79,8 +79,8 @@ sums AS (
     SELECT event_type, sum(w) AS weight, sum(w * value) / sum(w) AS mean
     FROM weighted GROUP BY event_type
 )
-SELECT event_type, round(weight, 6) AS weight, round(mean, 6) AS "mean",
-       round(sqrt(sum(w * (value - mean) * (value - mean)) / weight), 6) AS "stddev"
+SELECT event_type, round(weight, 4) AS weight, round(mean, 4) AS "mean",
+       round(sqrt(sum(w * (value - mean) * (value - mean)) / weight), 4) AS "stddev"
 FROM weighted JOIN sums USING (event_type)
 GROUP BY event_type, weight, mean
 """
@@ -356,41 +356,54 @@ FROM events GROUP BY event_type
 # Request routing
 
 ROUTED = """
-registry AS (
-    SELECT * FROM (VALUES ('click', 'ClickImpl'), ('view', 'ViewImpl'),
-                          ('purchase', 'PurchaseImpl')) AS r(service, impl)
+requests AS (
+    SELECT event_id, user_id, CASE WHEN event_id % 97 <> 0 THEN event_type END AS service,
+           CASE WHEN event_id % 11 = 0 THEN 'part' ELSE 'greet' END AS method,
+           CASE WHEN event_id % 13 = 0 THEN 'string,int' ELSE 'string' END AS types
+    FROM events
+),
+services AS (
+    SELECT * FROM (VALUES ('click', 'ClickImpl', ''), ('view', 'ViewImpl', ', have a look'),
+                          ('purchase', 'PurchaseImpl', ', thank you')) AS s(service, name, more)
+),
+looked_up AS (
+    SELECT requests.*, name, more,
+           name IS NOT NULL AND method = 'greet'
+               AND (types = 'string' OR requests.service = 'purchase') AS found
+    FROM requests LEFT JOIN services USING (service)
 ),
 routed AS (
-    SELECT event_id, user_id, event_type, impl,
-           CASE WHEN impl IS NOT NULL THEN 'hello ' || CAST(user_id AS VARCHAR) END AS result,
-           CASE WHEN impl IS NULL THEN event_type || ' not found' END AS error
-    FROM events LEFT JOIN registry ON event_type = service
+    SELECT event_id, user_id, service, method, CASE WHEN found THEN name END AS impl,
+           CASE WHEN found THEN 'hello ' || CAST(user_id AS VARCHAR) || more END AS result,
+           CASE WHEN found THEN NULL
+                WHEN name IS NULL THEN coalesce(service, 'null') || ' not found'
+                ELSE service || '.' || method || '(' || types || ') not found' END AS error
+    FROM looked_up
 )
 """
 
 ORACLE["route_requests"] = f"WITH {ROUTED} SELECT * FROM routed"
 
 ORACLE["dead_letters"] = (
-    f"WITH {ROUTED} SELECT event_id, event_type, error FROM routed WHERE impl IS NULL"
+    f"WITH {ROUTED} SELECT event_id, service, method, error FROM routed WHERE impl IS NULL"
 )
 
 ORACLE["dispatch_summary"] = f"""
 WITH {ROUTED}
-SELECT event_type, impl, count(*) AS n_requests, count(DISTINCT user_id) AS n_callers,
+SELECT service, impl, count(*) AS n_requests, count(DISTINCT user_id) AS n_callers,
        count(error) AS n_failed
-FROM routed GROUP BY event_type, impl
+FROM routed GROUP BY service, impl
 """
 
 # Addresses and storage
 
 
 def quoted(path: str) -> str:
-    marks = [("%", "%25"), (" ", "%20"), ('"', "%22"), ("#", "%23"), ("<", "%3C"), (">", "%3E"),
-             ("?", "%3F"), ("[", "%5B"), ("\\", "%5C"), ("]", "%5D"), ("^", "%5E"), ("`", "%60"),
-             ("{", "%7B"), ("|", "%7C"), ("}", "%7D")]
-    for mark, code in marks:
-        path = f"replace({path}, '{mark}', '{code}')"
-    return path
+    """Every printable ASCII character that a path may not hold, as its code in hex."""
+    may = "[A-Za-z0-9/._~!$&()*+,;=:@-]"
+    return (f"array_to_string(list_transform(string_split({path}, ''), lambda c: CASE WHEN "
+            f"regexp_matches(c, '^{may}$') OR c = chr(39) OR unicode(c) NOT BETWEEN 32 AND 126 "
+            "THEN c ELSE '%' || upper(hex(c)) END), '')")
 
 
 PATH = "regexp_replace(url, '^(?:[^:/]+:)?//[^/]*', '')"
@@ -457,7 +470,9 @@ ORACLE["log_level_filter"] = f"""
 WITH {LOGS} SELECT event_id, level, logger FROM logs WHERE level IN ('INFO', 'WARN', 'ERROR')
 """
 
-ORACLE["log_daily_roll"] = "SELECT CAST(ts AS DATE) AS log_date, count(*) AS n FROM events GROUP BY 1"
+ORACLE["log_daily_roll"] = f"""
+WITH {LOGS} SELECT CAST(ts AS DATE) AS log_date, {FILE_LINE} AS text FROM logs
+"""
 
 ORACLE["log_level_daily"] = f"""
 WITH {LOGS} SELECT CAST(ts AS DATE) AS log_date, level, count(*) AS n FROM logs GROUP BY 1, 2
@@ -467,9 +482,10 @@ WITH {LOGS} SELECT CAST(ts AS DATE) AS log_date, level, count(*) AS n FROM logs
 
 ORACLE["stream_events"] = ORACLE["event_source"]
 
+ORACLE["stream_latency"] = "SELECT event_id, true AS in_range FROM events"
+
 ORACLE["stream_latency_tumbling"] = f"""
-SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period_start, {statistics('latency_ms')},
-       {', '.join(f"quantile_disc(latency_ms, {q}) AS {n}" for n, q in QUANTILES.items())}
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period_start, {snapshot('latency_ms')}
 FROM {LATENCY} WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)
 GROUP BY 1
 """
@@ -488,6 +504,16 @@ ORACLE["stream_log_etl"] = f"""
 WITH {LOGS}
 SELECT CAST(ts AS DATE) AS log_date, level, count(*) AS n FROM logs
 WHERE level IN ('INFO', 'WARN', 'ERROR') GROUP BY 1, 2
+UNION ALL SELECT NULL, NULL, count(*) FROM events WHERE event_type = 'error'
 """
 
-ORACLE["periodic_report"] = f"SELECT {statistics('latency_ms')} FROM {LATENCY}"
+ORACLE["periodic_report"] = ORACLE["latency_summary"]
+
+ORACLE["storage_report"] = " UNION ALL ".join(
+    f"SELECT '{name}.parquet' AS dataset, CAST(1 AS BIGINT) AS files, count(*) AS n_rows FROM {name}"
+    for name in (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+        "embeddings", "pages", "benchmark", "labels", "conversations"))
+
+ORACLE.update({f"hot_{name}": ORACLE[name] for name in (
+    "latency_by_client", "latency_tumbling", "buffer_state", "fifo_match", "lock_order_edges")})

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from queuelens.functions.times import ntz
+from queuelens.functions.times import millis_between_instants, ntz
 from queuelens.operators import (
     allocation, buffers, counting, events as ev, logs, measures, ordering, routing, triggers, uris,
 )
+from queuelens.plans.hotkeys import HOT_ROWS
 from queuelens.session import shared_path
+from queuelens.sources.schemas import TABLES
 from queuelens.sources.tables import (
     event_source, event_stream, load_uri, storage_report, table,
 )
 from queuelens.streaming import operators as stream
-from queuelens.streaming.sinks import append_all, complete_all, stored
+from queuelens.streaming.sinks import append_all, complete_all, stored_complete
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,13 +29,19 @@ CAPACITY = 3
 ALPHA_PER_HOUR = 0.015
 REGISTERED = """
 SELECT * FROM VALUES
-    ('click', 'ClickImpl', 1), ('view', 'OldViewImpl', 2), ('view', 'ViewImpl', 3),
-    ('purchase', 'PurchaseImpl', 4) AS registry(service, impl, seq)
+    ('click', 'ClickImpl', 1, 'greet', array('string')),
+    ('view', 'OldViewImpl', 2, 'greet', array('string')),
+    ('view', 'OldViewImpl', 2, 'part', array('string')),
+    ('view', 'ViewImpl', 3, 'greet', array('string')),
+    ('purchase', 'PurchaseImpl', 4, 'greet', array('string')),
+    ('purchase', 'PurchaseImpl', 4, 'greet', array('string', 'int'))
+    AS registry(service, impl, seq, method, param_types)
 """
 SCHEMES = """
 SELECT * FROM VALUES
-    ('file', 'LocalFileSystem'), ('hdfs', 'DistributedFileSystem'), ('https', 'WebFileSystem')
-    AS registry(scheme, file_system)
+    ('file', 'LocalFileSystem', 1), ('hdfs', 'DistributedFileSystem', 2),
+    ('https', 'OldWebFileSystem', 3), ('https', 'WebFileSystem', 4)
+    AS registry(scheme, file_system, seq)
 """
 SPLIT_COLUMNS = ["page_id", "scheme", "authority", "path", "path_quoted"]
 
@@ -110,7 +119,7 @@ def latency_cumulative(spark, sf):
 @query
 def latency_decayed(spark, sf):
     decayed = ev.latency_decayed(events(spark, sf), ["event_type"], "value", ALPHA_PER_HOUR)
-    return rounded(decayed, 6, "weight", "mean", "stddev")
+    return rounded(decayed, 4, "weight", "mean", "stddev")
 
 
 @query
@@ -339,26 +348,49 @@ def registry(spark: SparkSession) -> DataFrame:
     return spark.sql(REGISTERED)
 
 
+def bodies() -> dict[str, Column]:
+    """What each implementation answers to the first argument."""
+    greeting = F.concat(F.lit(routing.GREETING), F.get("args", F.lit(0)))
+    return {
+        "ClickImpl": greeting,
+        "ViewImpl": F.concat(greeting, F.lit(", have a look")),
+        "PurchaseImpl": F.concat(greeting, F.lit(", thank you")),
+    }
+
+
+ANSWER = ["event_id", "user_id", "service", "method", "impl", "result", "error"]
+
+
+def requests_of(log: DataFrame) -> DataFrame:
+    """Events as requests; some name no service, a method or parameters that are not there."""
+    number = F.col("event_id")
+    one, two = F.array(F.lit("string")), F.array(F.lit("string"), F.lit("int"))
+    return log.select(
+        "event_id", "user_id",
+        F.when(number % 97 != 0, F.col("event_type")).alias("service"),
+        F.when(number % 11 == 0, "part").otherwise("greet").alias("method"),
+        F.when(number % 13 == 0, two).otherwise(one).alias("param_types"),
+        F.array(F.col("user_id").cast("string")).alias("args"))
+
+
 def routed(spark: SparkSession, sf: str) -> DataFrame:
-    requests = events(spark, sf).select("event_id", "user_id", "event_type")
-    caller = F.col("user_id").cast("string")
-    return routing.route_requests(requests, registry(spark), "event_type", caller)
+    return routing.route_requests(requests_of(events(spark, sf)), registry(spark), bodies())
 
 
 @query
 def route_requests(spark, sf):
-    return routed(spark, sf)
+    return routed(spark, sf).select(ANSWER)
 
 
 @query
 def dead_letters(spark, sf):
-    requests = events(spark, sf).select("event_id", "event_type")
-    return routing.dead_letters(requests, registry(spark), "event_type")
+    lost = routing.dead_letters(requests_of(events(spark, sf)), registry(spark))
+    return lost.select("event_id", "service", "method", "error")
 
 
 @query
 def dispatch_summary(spark, sf):
-    return routing.dispatch_summary(routed(spark, sf), ["event_type"], "user_id")
+    return routing.dispatch_summary(routed(spark, sf), ["service"], "user_id")
 
 
 # Addresses and storage
@@ -385,7 +417,8 @@ def scheme_route(spark, sf):
 
 @query
 def load_uri_(spark, sf):
-    return load_uri(spark, f"file://{sf}/nation.parquet")
+    folder = sf if ":/" in sf else f"file:{sf}"
+    return load_uri(spark, f"{folder}/nation.parquet")
 
 
 
@@ -397,7 +430,8 @@ def clean_container_path(spark, sf):
 
 @query
 def storage_report_(spark, sf):
-    return storage_report(spark, sf)
+    report = storage_report(spark, sf, [f"{name}.parquet" for name in TABLES])
+    return report.select("dataset", "files", "n_rows")
 
 
 
@@ -442,7 +476,8 @@ def log_daily_roll(spark, sf):
     path = shared_path(spark, "log_daily_roll")
     lines = log_lines(spark, sf).select("ts", "text")
     logs.log_daily_roll(lines, path)
-    return logs.rolled_days(spark, path, "ts TIMESTAMP_NTZ, text STRING")
+    rolled = spark.read.schema("ts TIMESTAMP_NTZ, text STRING, log_date DATE").parquet(path)
+    return rolled.select("log_date", "text")
 
 
 @query
@@ -460,17 +495,20 @@ def stream_events(spark, sf):
 
 @query
 def stream_latency(spark, sf):
-    timed = stream.stream_latency(events_streamed(spark, sf)).select("event_id", "latency_ms")
-    return append_all(timed, shared_path(spark, "stream_latency"))
+    """Whether each latency lies between the clock before and after the run."""
+    clock = lambda: F.lit(datetime.now(timezone.utc))
+    before = F.date_trunc("millisecond", clock())
+    timed = stream.stream_latency(events_streamed(spark, sf)).select("event_id", "ts", "latency_ms")
+    seen = append_all(timed, shared_path(spark, "stream_latency"))
+    low, high = (millis_between_instants(F.col("ts"), t) for t in (before, clock()))
+    return seen.select("event_id", F.col("latency_ms").between(low, high).alias("in_range"))
 
 
 @query
 def stream_latency_tumbling(spark, sf):
-    windows = stream.stream_latency_tumbling(
-        events_streamed(spark, sf), ntz(AS_OF), "1 day", "1 hour"
-    )
-    emitted = append_all(windows, shared_path(spark, "stream_latency_tumbling"))
-    return rounded(emitted, 3, "mean", "stddev")
+    counts = stream.stream_latency_counts(events_streamed(spark, sf), ntz(AS_OF), "1 day", "1 hour")
+    emitted = append_all(counts, shared_path(spark, "stream_latency_tumbling"))
+    return rounded_snapshot(stream.stream_latency_tumbling(emitted))
 
 
 @query
@@ -487,30 +525,55 @@ def stream_distinct(spark, sf):
 
 @query
 def stream_nth_event(spark, sf):
-    reached = stream.stream_nth_event(events_streamed(spark, sf), "user_id", 5)
-    return append_all(reached, shared_path(spark, "stream_nth_event"))
+    log, path = events_streamed(spark, sf), shared_path(spark, "stream_nth_event")
+    stream.start_nth_event(log, ["user_id"], 5, path).awaitTermination()
+    return stream.stored_nth_events(log, ["user_id"], path)
 
 
 @query
 def stream_routing(spark, sf):
-    requests = events_streamed(spark, sf).select("event_id", "user_id", "event_type")
-    caller = F.col("user_id").cast("string")
-    answered = stream.stream_routing(requests, registry(spark), "event_type", caller)
+    requests = requests_of(events_streamed(spark, sf))
+    answered = stream.stream_routing(requests, registry(spark), bodies()).select(ANSWER)
     return append_all(answered, shared_path(spark, "stream_routing"))
 
 
 @query
 def stream_log_etl(spark, sf):
+    """Rows per day and level; lines that are none (the text of errors) count without a day."""
     folder = shared_path(spark, "stream_log_lines")
-    log_lines(spark, sf).select("text").write.text(folder)
-    kept = stream.stream_log_etl(spark, folder)
-    written = append_all(kept, shared_path(spark, "stream_log_etl"), ("log_date",))
-    return written.groupBy("log_date", "level").agg(F.count("*").alias("n"))
+    traces = events(spark, sf).where("event_type = 'error'").select(F.concat(F.lit("  at "), "props"))
+    log_lines(spark, sf).select("text").union(traces).write.text(folder)
+    path = shared_path(spark, "stream_log_etl")
+    written = append_all(stream.stream_log_etl(spark, folder), path, ("log_date",))
+    rejected = append_all(stream.stream_log_rejects(spark, folder), f"{path}-rejected")
+    lost = rejected.agg(F.count("*").alias("n")).select(
+        F.lit(None).cast("date").alias("log_date"), F.lit(None).cast("string").alias("level"), "n")
+    return written.groupBy("log_date", "level").agg(F.count("*").alias("n")).union(lost)
 
 
 @query
 def periodic_report(spark, sf):
     path = shared_path(spark, "periodic_report")
-    report = stream.latency_report(events_streamed(spark, sf), ntz(AS_OF))
-    stream.periodic_report(report, path, period=None).awaitTermination()
-    return rounded(stored(report, path), 3, "mean", "stddev")
+    counts = stream.latency_counts(events_streamed(spark, sf), ntz(AS_OF))
+    stream.periodic_report(counts, path, period=None).awaitTermination()
+    return rounded_snapshot(stored_complete(stream.latency_report_schema(), spark, path))
+
+
+# The same operators with few rows allowed per key, so that large keys are split.
+HOT = ("latency_by_client", "latency_tumbling", "buffer_state", "fifo_match", "lock_order_edges")
+SPLIT_ABOVE = 200
+
+
+def split_keys(plain: Query) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        before = spark.conf.get(HOT_ROWS, None)
+        spark.conf.set(HOT_ROWS, SPLIT_ABOVE)
+        try:
+            return plain(spark, sf)
+        finally:
+            spark.conf.set(HOT_ROWS, before) if before else spark.conf.unset(HOT_ROWS)
+
+    return run
+
+
+QUERIES.update({f"hot_{name}": split_keys(QUERIES[name]) for name in HOT})

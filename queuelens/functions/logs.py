@@ -20,26 +20,30 @@ MARK = "\u0001"
 
 
 def rendered_time(ts: Column) -> Column:
-    """Time as yyyy-MM-dd HH:mm:ss.SSS.
+    """Time as yyyy-MM-dd HH:mm:ss.SSS, years above 9999 with all their digits.
 
     Cut from the text form, which needs no time zone; date_format would move
     zone-free times that the session zone skips.
     """
     text = ts.cast("string")
-    millis = F.rpad(F.substring(text, 21, 3), 3, "0")
-    return F.concat(F.substring(text, 1, 19), F.lit("."), millis)
+    millis = F.rpad(F.substring(F.regexp_extract(text, r"\.(\d+)$", 1), 1, 3), 3, "0")
+    return F.concat(F.substring_index(text, ".", 1), F.lit("."), millis)
 
 
 def rendered_line(ts: Column, level: Column, logger: Column, message: Column,
                   line: Column | None = None, layout: str = "stdout") -> Column:
-    """A log line; the ``file`` layout puts the time in brackets, ``line`` may be left out."""
-    time = rendered_time(ts)
+    """A log line; the ``file`` layout puts the time in brackets, ``line`` may be left out.
+
+    A level is padded, never cut. Missing parts read ``null``, so that no line is lost.
+    """
+    or_null = lambda part: F.coalesce(part.cast("string"), F.lit("null"))
+    time, level, logger, message = (or_null(p) for p in (rendered_time(ts), level, logger, message))
     if layout == "file":
         time = F.concat(F.lit("["), time, F.lit("]"))
     elif layout != "stdout":
         raise ValueError(f"unknown log layout {layout!r}")
-    place = logger if line is None else F.concat(logger, F.lit(":"), line.cast("string"))
-    padded = F.rpad(level, LEVEL_WIDTH, " ")
+    place = logger if line is None else F.concat(logger, F.lit(":"), or_null(line))
+    padded = F.when(F.char_length(level) < LEVEL_WIDTH, F.rpad(level, LEVEL_WIDTH, " ")).otherwise(level)
     return F.concat(time, F.lit(" "), padded, F.lit(" ["), place, F.lit("] - "), message)
 
 

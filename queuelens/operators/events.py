@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from queuelens.functions.times import millis_between
-from queuelens.plans.joins import broadcast_if_small, join_on_key
+from queuelens.plans.joins import broadcast_if_small, join_on_key, with_key_values
 from queuelens.plans.ordered import running
 from queuelens.plans.snapshots import COUNT, snapshot, snapshot_of_counts, value_counts
 from queuelens.session import cut_lineage
@@ -52,9 +52,22 @@ def latency_by_client(df: DataFrame, client: str = "user_id", value: str = "late
     return snapshot(df, [client], value, approx=approx, hot_rows=hot_rows)
 
 
+# Bucket numbers are 64-bit integers.
+MOST_BUCKETS = float(2**63)
+
+
+def bucket_of(value: str, width: float) -> Column:
+    """The number of the bucket of ``value``; null where there is none."""
+    place = F.floor(F.col(value).cast("double") / width)
+    return F.when(F.abs(F.col(value).cast("double") / width) < MOST_BUCKETS, place)
+
+
 def latency_buckets(df: DataFrame, value: str, width: float) -> DataFrame:
-    """Events per fixed-width bucket of ``value``."""
-    bucket = F.floor(F.col(value) / width).cast("bigint")
+    """Events per fixed-width bucket of ``value``.
+
+    Values without a bucket number (null, NaN, beyond 64 bits) share the bucket null.
+    """
+    bucket = bucket_of(value, width)
     return (
         df.select(bucket.alias("bucket"))
         .groupBy("bucket")
@@ -79,7 +92,8 @@ def latency_cumulative(df: DataFrame, period: str, ts: str = "ts", value: str =
                        hot_rows: int | None = None) -> DataFrame:
     """Snapshot since the start at the end of each period; nothing is reset.
 
-    Periods are reduced to mergeable moments first; only those are accumulated.
+    Periods are reduced to mergeable moments first; only those are accumulated. Their
+    means are centred on the mean of all, as squares of large values would cancel.
     """
     amount = F.col(value).cast("double")
     moments = cut_lineage(
@@ -94,21 +108,24 @@ def latency_cumulative(df: DataFrame, period: str, ts: str = "ts", value: str =
         )
         .where("__n > 0")
     )
+    centre = moments.agg(F.sum("__sum") / F.sum("__n")).scalar()
+    moments = moments.withColumn("__centre", centre)
+    off = F.col("__sum") / F.col("__n") - F.col("__centre")
     so_far = running(
         moments, [], ["period_start"],
         {
             "n": ("sum", F.col("__n")),
             "min": ("min", F.col("__min")),
             "max": ("max", F.col("__max")),
-            "__total": ("sum", F.col("__sum")),
-            "__spread": ("sum", F.col("__within") + F.col("__sum") * F.col("__sum") / F.col("__n")),
+            "__total": ("sum", F.col("__n") * off),
+            "__spread": ("sum", F.col("__within") + F.col("__n") * off * off),
         },
         hot_rows=hot_rows,
     )
     squares = F.col("__spread") - F.col("__total") * F.col("__total") / F.col("n")
     return so_far.select(
         "period_start", "n", "min", "max",
-        (F.col("__total") / F.col("n")).alias("mean"),
+        (F.col("__centre") + F.col("__total") / F.col("n")).alias("mean"),
         F.when(F.col("n") > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (F.col("n") - 1)))
         .alias("stddev"),
     )
@@ -120,31 +137,47 @@ def _age_weight(df: DataFrame, ts: str, newest: Column, alpha_per_hour: float) -
     return F.exp(F.lit(-alpha_per_hour) * age_ms / F.lit(MS_PER_HOUR))
 
 
+def _weighed(df: DataFrame, key: list[str], value: str, alpha_per_hour: float,
+             ts: str) -> DataFrame:
+    """Rows that have a value, with ``__w``, its age weight against the newest row of the key.
+
+    The newest row of a key weighs 1, so a key that has long been quiet keeps its shape.
+    """
+    rows = df.select(*key, ts, value).where(F.col(value).isNotNull())
+    per_key = cut_lineage(rows.groupBy(*key).agg(
+        F.max(ts).alias("__newest"), F.avg(value).alias("__centre")))
+    joined = with_key_values(rows, per_key, key)
+    return joined.withColumn("__w", _age_weight(joined, ts, F.col("__newest"), alpha_per_hour))
+
+
 def latency_decayed(df: DataFrame, key: Sequence[str], value: str, alpha_per_hour: float,
                     ts: str = "ts") -> DataFrame:
-    """Exponentially time-decayed count, mean and deviation per key."""
+    """Exponentially time-decayed count, mean and deviation per key.
+
+    ``weight`` is measured from the newest row of all; it may underflow to zero for a key
+    that has been quiet for long, whose mean and deviation are still right.
+    """
     key = list(key)
     # Values are centred on the plain mean so that the squares do not cancel.
-    anchor = df.agg(F.struct(F.max(ts).alias("newest"), F.avg(value).alias("centre")))
-    rows = df.select(*key, ts, value).withColumn("__anchor", anchor.scalar())
-    weight = _age_weight(rows, ts, F.col("__anchor.newest"), alpha_per_hour)
-    off = F.col(value) - F.col("__anchor.centre")
+    off = F.col(value) - F.col("__centre")
+    newest = df.where(F.col(value).isNotNull()).agg(F.max(ts)).scalar()
     sums = (
-        rows.select(*key, weight.alias("__w"), off.alias("__off"),
-                    F.col("__anchor.centre").alias("__centre"))
-        .where(F.col("__off").isNotNull())
+        _weighed(df, key, value, alpha_per_hour, ts)
         .groupBy(*key)
         .agg(
-            F.sum("__w").alias("weight"),
-            F.sum(F.col("__w") * F.col("__off")).alias("__first"),
-            F.sum(F.col("__w") * F.col("__off") * F.col("__off")).alias("__second"),
+            F.sum("__w").alias("__weight"),
+            F.sum(F.col("__w") * off).alias("__first"),
+            F.sum(F.col("__w") * off * off).alias("__second"),
             F.first("__centre").alias("__centre"),
+            F.max("__newest").alias("__newest"),
         )
-    )
-    shift = F.col("__first") / F.col("weight")
-    variance = F.col("__second") / F.col("weight") - shift * shift
+    ).withColumn("__all", newest)
+    shift = F.col("__first") / F.col("__weight")
+    variance = F.col("__second") / F.col("__weight") - shift * shift
     return sums.select(
-        *key, "weight",
+        *key,
+        (F.col("__weight") * _age_weight(sums, "__newest", F.col("__all"), alpha_per_hour))
+        .alias("weight"),
         (F.col("__centre") + shift).alias("mean"),
         F.sqrt(F.greatest(variance, F.lit(0.0))).alias("stddev"),
     )
@@ -153,14 +186,14 @@ def latency_decayed(df: DataFrame, key: Sequence[str], value: str, alpha_per_hou
 def latency_decayed_quantile(df: DataFrame, key: Sequence[str], value: str, width: float,
                              alpha_per_hour: float, q: float = 0.5, ts: str = "ts",
                              hot_rows: int | None = None) -> DataFrame:
-    """Weighted quantile over fixed-width value buckets, as the bucket that reaches it."""
+    """Weighted quantile over fixed-width value buckets, as the bucket that reaches it.
+
+    Values without a bucket number are left out.
+    """
     key = list(key)
-    newest = df.agg(F.max(ts)).scalar()
-    rows = df.select(*key, ts, value).withColumn("__newest", newest)
+    bucketed = df.select(*key, ts, bucket_of(value, width).alias("bucket"))
     weights = cut_lineage(
-        rows.where(F.col(value).isNotNull())
-        .select(*key, F.floor(F.col(value) / width).cast("bigint").alias("bucket"),
-                _age_weight(rows, ts, F.col("__newest"), alpha_per_hour).alias("__w"))
+        _weighed(bucketed, key, "bucket", alpha_per_hour, ts)
         .groupBy(*key, "bucket")
         .agg(F.sum("__w").alias("__w"))
     )

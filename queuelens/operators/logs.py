@@ -39,6 +39,11 @@ def log_level_filter(df: DataFrame, root: str = "INFO",
     return df.where(level_rank(F.col("level")) >= required)
 
 
+def unparsed(lines: DataFrame) -> DataFrame:
+    """The raw text of parsed rows that held no log line: stack traces, continuation lines."""
+    return lines.where(F.col("ts").isNull() & F.col("level").isNull()).select("raw")
+
+
 def with_log_date(df: DataFrame) -> DataFrame:
     return df.withColumn("log_date", F.to_date("ts"))
 

@@ -2,41 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from queuelens.plans.joins import broadcast_if_small
 
-# The one service body there is, and the text of the one error (fixed values).
+# What a greeting starts with, and the text of the one error (fixed values).
 GREETING = "hello "
 NOT_FOUND = " not found"
 
 
+def signature(method: Column, param_types: Column) -> Column:
+    """A method with its parameter types, as in ``greet(string,int)``; null without a name."""
+    types = F.array_join(F.coalesce(param_types, F.array().cast("array<string>")), ",", "null")
+    return F.concat(method, F.lit("("), types, F.lit(")"))
+
+
 def latest_registry(registry: DataFrame) -> DataFrame:
-    """One implementation per service: the last registration wins."""
-    return registry.groupBy(F.col("service").alias("__service")).agg(
-        F.max_by("impl", "seq").alias("impl")
-    )
+    """(__service, __impl, __methods): of the implementations of a service the last registered.
+
+    ``registry`` has a row per service, impl, seq and method with its param_types; a
+    service has few methods, which are gathered in an array.
+    """
+    last = registry.groupBy(F.col("service").alias("__service")).agg(
+        F.max_by("impl", "seq").alias("__impl"))
+    methods = registry.groupBy(F.col("service").alias("__of"), F.col("impl").alias("__by")).agg(
+        F.collect_set(signature(F.col("method"), F.col("param_types"))).alias("__methods"))
+    same = (F.col("__service") == F.col("__of")) & (F.col("__impl") == F.col("__by"))
+    return last.join(methods, same, "left").select("__service", "__impl", "__methods")
+
+
+def _looked_up(requests: DataFrame, registry: DataFrame, broadcast: bool) -> DataFrame:
+    """``requests`` with the implementation (``impl``) and ``error``, of which one is null."""
+    table = latest_registry(registry)
+    table = broadcast_if_small(table) if broadcast else table
+    wanted = signature(F.col("method"), F.col("param_types"))
+    joined = requests.join(table, F.col("service") == F.col("__service"), "left")
+    known = F.col("__impl").isNotNull()
+    found = known & F.coalesce(F.array_contains("__methods", wanted), F.lit(False))
+    service = F.coalesce("service", F.lit("null"))
+    missing = F.when(known, F.concat(service, F.lit("."), F.coalesce(wanted, F.lit("null"))))
+    return joined.withColumns({
+        "impl": F.when(found, F.col("__impl")),
+        "error": F.when(~found, F.concat(F.coalesce(missing, service), F.lit(NOT_FOUND))),
+    }).drop("__service", "__impl", "__methods")
+
 
+def route_requests(requests: DataFrame, registry: DataFrame, bodies: Mapping[str, Column],
+                   broadcast: bool = True) -> DataFrame:
+    """Every request with its implementation and either a result or an error.
 
-def route_requests(requests: DataFrame, registry: DataFrame, service: str,
-                   argument: Column) -> DataFrame:
-    """Every request with its implementation and either a result or an error."""
-    table = broadcast_if_small(latest_registry(registry))
-    routed = requests.join(table, F.col(service) == F.col("__service"), "left").drop("__service")
-    found = F.col("impl").isNotNull()
-    return routed.withColumns({
-        "result": F.when(found, F.concat(F.lit(GREETING), argument)),
-        "error": F.when(~found, F.concat(F.col(service), F.lit(NOT_FOUND))),
-    })
+    ``requests`` has service, method, param_types and args. A service is looked up by its
+    name, then its method by name and parameter types. ``bodies`` has what each
+    implementation returns, as an expression over the request. ``broadcast`` measures the
+    registry now; a stream leaves that to each of its micro-batches.
+    """
+    routed = _looked_up(requests, registry, broadcast)
+    result = F.lit(None).cast("string")
+    for impl, body in bodies.items():
+        result = F.when(F.col("impl") == impl, body).otherwise(result)
+    return routed.withColumn("result", result)
 
 
-def dead_letters(requests: DataFrame, registry: DataFrame, service: str) -> DataFrame:
-    """Requests for a service that is not registered, with the error."""
-    known = broadcast_if_small(latest_registry(registry).select("__service"))
-    missed = requests.join(known, F.col(service) == F.col("__service"), "left_anti")
-    return missed.withColumn("error", F.concat(F.col(service), F.lit(NOT_FOUND)))
+def dead_letters(requests: DataFrame, registry: DataFrame) -> DataFrame:
+    """Requests for a service or method that is not registered, with the error."""
+    return _looked_up(requests, registry, True).where(F.col("error").isNotNull()).drop("impl")
 
 
 def dispatch_summary(routed: DataFrame, service: Sequence[str], caller: str) -> DataFrame:
@@ -44,5 +75,5 @@ def dispatch_summary(routed: DataFrame, service: Sequence[str], caller: str) ->
     return routed.groupBy(*service, "impl").agg(
         F.count("*").alias("n_requests"),
         F.count_distinct(caller).alias("n_callers"),
-        F.count_if(F.col("error").isNotNull()).alias("n_failed"),
+        F.count_if(F.col("impl").isNull()).alias("n_failed"),
     )

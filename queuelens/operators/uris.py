@@ -30,11 +30,9 @@ def authority_rollup(df: DataFrame, url: str = "url") -> DataFrame:
 
 
 def scheme_route(df: DataFrame, registry: DataFrame, url: str = "url") -> DataFrame:
-    """``df`` with the file system registered for its scheme, or null."""
-    table = broadcast_if_small(
-        registry.select(F.col("scheme").alias("__scheme"), F.col("file_system"))
-        .dropDuplicates(["__scheme"])
-    )
+    """``df`` with the file system last registered (by ``seq``) for its scheme, or null."""
+    table = broadcast_if_small(registry.groupBy(F.col("scheme").alias("__scheme")).agg(
+        F.max_by("file_system", "seq").alias("file_system")))
     split = df.withColumn("scheme", uri_scheme(F.col(url)))
     return split.join(table, F.col("scheme") == F.col("__scheme"), "left").drop("__scheme")
 

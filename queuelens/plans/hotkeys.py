@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 HOT_ROWS = "spark.queuelens.hotRows"
 DEFAULT_HOT_ROWS = 1_000_000
-# No data set is cut into more pieces than this, so piece tables stay small.
-MAX_CHUNKS = 100_000
 
 
 def hot_rows_of(spark: SparkSession, hot_rows: int | None) -> int:
@@ -36,7 +34,7 @@ def measure(df: DataFrame, key: list[str], hot_rows: int | None = None) -> Sizes
     per_key = df.groupBy(*key).agg(F.count("*").alias("n"))
     total, largest = per_key.agg(F.sum("n"), F.max("n")).first()
     total, largest = total or 0, largest or 0
-    return Sizes(total, largest, max(allowed, total // MAX_CHUNKS))
+    return Sizes(total, largest, allowed)
 
 
 def hot_keys(df: DataFrame, key: list[str], limit: int) -> DataFrame:

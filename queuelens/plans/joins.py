@@ -6,19 +6,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# A side with at most this many rows may be sent to every executor.
+# A side with at most this many rows, and bytes of text, may be sent to every executor.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting that it is within the bound.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only after measuring that it is within the bounds.
 
     A larger side is returned as it is: the join then shuffles both sides and
-    adaptive execution splits its skewed partitions.
+    adaptive execution splits its skewed partitions. Bytes are those of the rows as JSON.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    text = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(text), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def join_on_key(left: DataFrame, right: DataFrame, key: list[str], how: str = "left") -> DataFrame:

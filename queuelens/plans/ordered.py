@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from queuelens.plans.hotkeys import MAX_CHUNKS, hot_keys, hot_rows_of, measure
-from queuelens.plans.joins import join_on_key
+from queuelens.plans.hotkeys import hot_keys, hot_rows_of, measure
+from queuelens.plans.joins import broadcast_if_small, join_on_key
+from queuelens.session import cut_lineage
 
 # Candidate cut points per chunk; every OVERSAMPLE-th one is used, which evens out chunk sizes.
 OVERSAMPLE = 8
@@ -24,6 +24,8 @@ OVERSAMPLE = 8
 ONE_TASK_ROWS = 1000
 # Spark limits the rows per key before the shuffle only up to this rank.
 PRUNED_RANK = 1000
+# Parts of a key whose first rows are found on their own.
+SALTS = 16
 
 CHUNK, CUTS, SPLIT, POSITION = "__chunk", "__cuts", "__split", "__position"
 
@@ -46,10 +48,8 @@ def _cut_rows(df: DataFrame, key: list[str], order: list[str], kept: list[str],
     ends = picked.withColumn("__i", F.row_number().over(by_key)).where(F.col("__i") % step == 0)
     sorted_ends = F.array_sort(F.collect_list(F.struct(*dict.fromkeys(order + kept))))
     cuts = ends.groupBy(*key).agg(sorted_ends.alias(CUTS))
-    # Small by construction: keep it as a local table so that no pass recomputes it.
-    local = cuts.toArrow()
-    most = pc.max(pc.list_value_length(local[CUTS])).as_py() or 0
-    return df.sparkSession.createDataFrame(local, schema=cuts.schema), most
+    cuts = cut_lineage(cuts)
+    return cuts, cuts.agg(F.max(F.size(CUTS))).first()[0] or 0
 
 
 def _with_position(df: DataFrame, order: list[str], most_cuts: int) -> DataFrame:
@@ -80,7 +80,7 @@ def _split(df: DataFrame, key: list[str], order: list[str], kept: list[str],
         sizes = measure(df, key, hot_rows)
         if not sizes.has_hot_keys:
             return None
-        hot = F.broadcast(hot_keys(df, key, sizes.limit))
+        hot = broadcast_if_small(cut_lineage(hot_keys(df, key, sizes.limit)))
         hot_part = join_on_key(df, hot, key, "left_semi")
         ends, most = _cut_rows(hot_part, key, order, kept, sizes.limit)
     else:
@@ -88,13 +88,13 @@ def _split(df: DataFrame, key: list[str], order: list[str], kept: list[str],
         if total <= ONE_TASK_ROWS:
             return None
         share = -(-total // spark.sparkContext.defaultParallelism)
-        limit = max(1, min(hot_rows_of(spark, hot_rows), share), total // MAX_CHUNKS)
+        limit = max(1, min(hot_rows_of(spark, hot_rows), share))
         ends, most = _cut_rows(df, key, order, kept, limit)
 
     orders_only = F.transform(CUTS, lambda end: F.struct(*[end[o].alias(o) for o in order]))
     cuts = ends.select(*key, orders_only.alias(CUTS))
     with_cuts = (
-        join_on_key(df, F.broadcast(cuts), key, "left") if key
+        join_on_key(df, broadcast_if_small(cuts), key, "left") if key
         else df.withColumn(CUTS, cuts.scalar())
     )
     split = F.col(CUTS).isNotNull()
@@ -155,7 +155,8 @@ def running(df: DataFrame, key: Sequence[str], order: Sequence[str],
             _COMBINE[fn][0](n).over(before).alias(f"__carry_{n}")
             for n, (fn, _) in totals.items()
         ])
-        joined = join_on_key(joined, F.broadcast(carry), within, "left").withColumns({
+        carry = broadcast_if_small(cut_lineage(carry))
+        joined = join_on_key(joined, carry, within, "left").withColumns({
             n: _COMBINE[fn][1](F.col(n), F.col(f"__carry_{n}")) for n, (fn, _) in totals.items()
         })
     if previous:
@@ -166,7 +167,7 @@ def running(df: DataFrame, key: Sequence[str], order: Sequence[str],
             *[F.col("__end")[f"__in_{n}"].alias(f"__carry_{n}") for n in previous],
         )
         first = F.col("__row") == 1
-        joined = join_on_key(joined, F.broadcast(carry), within, "left").withColumns({
+        joined = join_on_key(joined, broadcast_if_small(carry), within, "left").withColumns({
             n: F.when(first, F.col(f"__carry_{n}")).otherwise(F.col(n)) for n in previous
         })
     return joined.select(*df.columns, *totals, *previous)
@@ -179,15 +180,27 @@ def ranked(df: DataFrame, key: Sequence[str], order: Sequence[str], name: str =
     return running(df, key, order, totals={name: ("sum", one)}, hot_rows=hot_rows)
 
 
+def _first_of(rows: DataFrame, parts: list[str], order: Sequence[str], n: int,
+              column: str) -> DataFrame:
+    by_order = Window.partitionBy(*parts).orderBy(*order)
+    return rows.withColumn(column, F.row_number().over(by_order)).where(F.col(column) <= n)
+
+
+def first_by_salt(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of each of ``SALTS`` parts of every key, cut by a hash of the order."""
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    return _first_of(salted, [*key, "__salt"], order, n, "__place").drop("__salt", "__place")
+
+
 def first_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int,
                name: str = "n", hot_rows: int | None = None) -> DataFrame:
     """The first ``n`` rows of each key with their position.
 
-    Up to ``PRUNED_RANK`` every task drops what cannot be among the first ``n``
-    before the shuffle, so a hot key costs at most ``n`` rows per task.
+    Every task drops what cannot be among the first ``n`` before a shuffle, up to
+    ``PRUNED_RANK``. Rows of a key meet in parts first, so that no task gets more than
+    ``SALTS * n`` rows of a key however many splits hold it.
     """
     if n > PRUNED_RANK:
         return ranked(df, key, order, name, hot_rows).where(F.col(name) <= n)
-    by_order = Window.partitionBy(*key).orderBy(*order)
-    numbered = df.withColumn(name, F.row_number().over(by_order))
-    return numbered.where(F.col(name) <= n).withColumn(name, F.col(name).cast("bigint"))
+    few = first_by_salt(df, key, order, n)
+    return _first_of(few, list(key), order, n, name).withColumn(name, F.col(name).cast("bigint"))

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from queuelens.plans.hotkeys import MAX_CHUNKS, hot_keys, measure
+from queuelens.plans.hotkeys import HOT_ROWS, hot_keys, measure
 from queuelens.plans.joins import broadcast_if_small, join_on_key, with_key_values
 from queuelens.plans.ordered import running
 from queuelens.session import cut_lineage
@@ -29,6 +29,12 @@ PERCENTILE_ROWS = 100_000
 COUNT, CELL = "__count", "__cell"
 
 
+def _percentile_rows(df: DataFrame, hot_rows: int | None) -> int:
+    """Rows of a group above which it is not left to the built-in percentile."""
+    named = df.sparkSession.conf.get(HOT_ROWS, None)
+    return hot_rows or min(PERCENTILE_ROWS, int(named or PERCENTILE_ROWS))
+
+
 def basic_statistics(value: str) -> list[Column]:
     return [
         F.count(value).alias("n"),
@@ -102,8 +108,7 @@ def _by_cells(rows: DataFrame, key: list[str], value: str, quantiles: Mapping[st
         F.array(*ranks), lambda rank: (before <= rank) & (rank < F.col("__upto"))
     )
     wanted = upto.where(holds_a_rank).select(*key, CELL, before.alias("__before"))
-    # At most two cells per quantile and group, and groups split are at most MAX_CHUNKS.
-    wanted = broadcast_if_small(wanted, 2 * len(quantiles) * MAX_CHUNKS)
+    wanted = broadcast_if_small(cut_lineage(wanted))
     few = join_on_key(placed, wanted, [*key, CELL], "inner")
     values = cut_lineage(
         few.groupBy(*key, CELL, "__before", "n", value).agg(F.sum(COUNT).alias(COUNT))
@@ -142,7 +147,7 @@ def snapshot_of_counts(counts: DataFrame, key: Sequence[str], value: str,
     ``extra`` holds further aggregates over the value and ``COUNT`` columns.
     """
     key, extra = list(key), dict(extra or {})
-    if measure(counts, key, hot_rows or PERCENTILE_ROWS).has_hot_keys:
+    if measure(counts, key, _percentile_rows(counts, hot_rows)).has_hot_keys:
         return _by_cells(counts, key, value, quantiles, extra, hot_rows)
     whole = _whole(counts, key, value, extra)
     rows = with_key_values(counts, whole.select(*key, "n", "mean"), key)
@@ -166,12 +171,12 @@ def snapshot(df: DataFrame, key: Sequence[str], value: str,
         return _one_pass(df, key, value, quantiles, approx=True)
     # A null counts nothing. Filtering it out would compute the value twice per row.
     counted = df.withColumn(COUNT, F.col(value).isNotNull().cast("bigint"))
-    sizes = measure(counted, key, hot_rows or PERCENTILE_ROWS)
+    sizes = measure(counted, key, _percentile_rows(df, hot_rows))
     if not sizes.has_hot_keys:
         return _one_pass(df, key, value, quantiles, approx=False)
     if not key:
         return _by_cells(counted, key, value, quantiles, {}, hot_rows)
-    hot = F.broadcast(cut_lineage(hot_keys(counted, key, sizes.limit)))
+    hot = broadcast_if_small(cut_lineage(hot_keys(counted, key, sizes.limit)))
     split = _by_cells(
         join_on_key(counted, hot, key, "left_semi"), key, value, quantiles, {}, hot_rows
     )

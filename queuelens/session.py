@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="queuelens-")
     spark.sparkContext.setCheckpointDir(local)

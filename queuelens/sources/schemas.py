@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-# The event record: when it was made, by which client, and its unique id.
-EVENT_RECORD = "created TIMESTAMP, client_id INT, uuid STRING"
-
 EVENTS = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
     "value DOUBLE, props STRING"
@@ -14,7 +11,9 @@ REQUESTS = (
     "service STRING, method STRING, param_types ARRAY<STRING>, args ARRAY<STRING>"
 )
 
-REGISTRY = "service STRING, impl STRING, seq INT"
+REGISTRY = (
+    "service STRING, impl STRING, seq INT, method STRING, param_types ARRAY<STRING>"
+)
 
 TABLES = {
     "region": "r_regionkey INT, r_name STRING",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from queuelens.sources.schemas import EVENTS, TABLES
@@ -37,23 +40,18 @@ def load_uri(spark: SparkSession, uri: str, format: str = "parquet") -> DataFram
     return spark.read.format(format).load(uri)
 
 
-def storage_report(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
-    """Files and bytes per dataset below ``folder``.
+def storage_report(spark: SparkSession, folder: str, names: Sequence[str],
+                   format: str = "parquet") -> DataFrame:
+    """Files, bytes and rows per table of ``folder``, from reading the tables themselves.
 
-    A dataset is a top-level entry: a single file or a folder of part files.
-    Only the file listing is read; no file is opened.
+    A table is named by what it is called below the folder, unchanged; it may be one file
+    or a folder of part files. Tables without a row are left out.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(folder)
-        .select("path", "length")
-    )
-    root = folder.split(":", 1)[-1].strip("/")
-    below_root = F.substring_index("path", f"/{root}/", -1)
-    return (
-        files.withColumn("dataset", F.regexp_replace(F.substring_index(below_root, "/", 1), r"\.[^.]+$", ""))
-        .groupBy("dataset")
-        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-    )
+    parts = [
+        spark.read.format(format).load(f"{folder}/{name}").select(
+            F.lit(name).alias("dataset"), "_metadata.file_path", "_metadata.file_size")
+        for name in names]
+    per_file = reduce(DataFrame.unionAll, parts).groupBy("dataset", "file_path", "file_size").agg(
+        F.count("*").alias("n_rows"))
+    return per_file.groupBy("dataset").agg(
+        F.count("*").alias("files"), F.sum("file_size").alias("bytes"), F.sum("n_rows").alias("n_rows"))

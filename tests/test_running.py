@@ -77,7 +77,17 @@ def test_empty_table(skewed):
 
 def test_first_rows_are_pruned_before_the_shuffle(skewed):
     plan = first_rows(skewed, ["k"], ORDER, 5)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") == 4
+
+
+@pytest.mark.parametrize("n", [1, 100])
+def test_first_rows_of_one_key_over_many_splits(spark, n):
+    """What reaches the task of a key is bounded by the salts, not by the splits that hold it."""
+    one = spark.range(0, 64_000, 1, 64).selectExpr("1 AS k", "hash(id) AS ts", "id AS event_id")
+    assert ordered.first_by_salt(one, ["k"], ORDER, n).count() == ordered.SALTS * n
+    by_order = Window.partitionBy("k").orderBy(*ORDER)
+    want = one.withColumn("n", F.row_number().over(by_order).cast("bigint")).where(F.col("n") <= n)
+    assert same(first_rows(one, ["k"], ORDER, n), want)
 
 
 def test_first_rows_beyond_the_pruned_rank(skewed):

@@ -1,5 +1,7 @@
 """Snapshots from value counts equal the built-in aggregates."""
 
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from queuelens.operators import events as ev
 from queuelens.plans.snapshots import QUANTILES, snapshot
 from queuelens.sources.tables import table
 from tests.conftest import MEDIUM
-from tests.helpers import rows
+from tests.helpers import at, rows
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +91,30 @@ def test_event_map_pandas_keeps_rows(latencies):
         2 * rows_in.agg(F.sum("value")).first()[0])
     with pytest.raises(Exception, match="keep the number of events"):
         ev.event_map_pandas(rows_in, lambda b: b.head(1), "event_id BIGINT, value DOUBLE").count()
+
+
+def test_cumulative_deviation_of_large_values(spark):
+    """Latencies near 2.7e9 that differ by one: squares of the values would cancel."""
+    data = [(i, at(3600 * i), 2_678_392_820 + i % 3) for i in range(60)]
+    df = spark.createDataFrame(data, "event_id INT, ts TIMESTAMP_NTZ, latency_ms BIGINT")
+    last = ev.latency_cumulative(df, "1 day").orderBy(F.desc("period_start")).first()
+    values = [v for _, _, v in data]
+    assert last.stddev == pytest.approx(statistics.stdev(values), rel=1e-6)
+    assert last["mean"] == pytest.approx(statistics.mean(values), rel=1e-12)
+
+
+def test_a_key_quiet_beyond_underflow(spark):
+    """A weight 100 days old underflows against the newest row of all, not of its own key."""
+    data = [("quiet", at(i), 100.0 + 100 * i) for i in range(3)] + [("busy", at(100 * 86_400), 1.0)]
+    df = spark.createDataFrame(data, "k STRING, ts TIMESTAMP_NTZ, value DOUBLE")
+    found = {r.k: r for r in ev.latency_decayed(df, ["k"], "value", 1.0).collect()}
+    assert found["quiet"]["mean"] == pytest.approx(200, abs=0.1) and found["quiet"].weight == 0
+    assert found["busy"].weight == 1
+    middle = {r.k: r.lower for r in ev.latency_decayed_quantile(df, ["k"], "value", 100, 1.0).collect()}
+    assert middle == {"quiet": 200, "busy": 0}
+
+
+def test_values_without_a_bucket(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (1e300,), (-1e300,), (5.0,), (-0.5,)], "v DOUBLE")
+    found = {r.bucket: r.n for r in ev.latency_buckets(df, "v", 1.0).collect()}
+    assert found == {None: 4, 5: 1, -1: 1}

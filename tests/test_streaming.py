@@ -9,7 +9,9 @@ from queuelens.session import shared_path
 from queuelens.sources.schemas import EVENTS, REGISTRY
 from queuelens.sources.tables import event_stream, table
 from queuelens.streaming import operators as stream
-from queuelens.streaming.sinks import append_all, complete_all, start_append, start_complete, stored
+from queuelens.streaming.sinks import (
+    append_all, complete_all, start_append, start_complete, stored, stored_complete,
+)
 from tests.conftest import SMALL
 from tests.helpers import rows, same
 
@@ -65,26 +67,57 @@ def test_restart_continues_exactly_once(spark, events, out):
     start_complete(counts, out).awaitTermination()
     start_append(copies, f"{out}/copies").awaitTermination()
     start_append(copies, f"{out}/copies").awaitTermination()
-    assert same(stored(counts, out), events.groupBy("event_type").agg(F.count("*").alias("n")))
+    assert same(stored_complete(counts.schema, spark, out), events.groupBy("event_type").agg(F.count("*").alias("n")))
     assert same(stored(copies, f"{out}/copies"), events)
 
 
+def nth_events(log, key, n, path):
+    stream.start_nth_event(log, key, n, path).awaitTermination()
+    return stream.stored_nth_events(log, key, path)
+
+
 def test_nth_event(events, source, out):
-    reached = append_all(stream.stream_nth_event(source, "user_id", 5), out)
+    reached = nth_events(source, ["user_id"], 5, out)
     batch = triggers.nth_event(events, ["user_id"], ["ts", "event_id"], 5)
     assert same(reached, batch.select(*reached.columns))
 
 
+def odd_events(events):
+    """Keys of two columns, with nulls and ids that a double cannot hold."""
+    number = F.col("event_id")
+    return events.withColumns({
+        "user_id": F.when(number % 5 > 0, F.lit(2**60) + number % 4).cast("bigint"),
+        "event_id": F.lit(2**60) + number,
+        "value": F.when(number % 3 == 0, F.lit(float("nan"))).otherwise(F.col("value")),
+        "props": F.when(number % 2 == 0, F.col("props"))}).select(events.columns)
+
+
+def test_nth_event_of_odd_keys(spark, events, out):
+    folder, odd = shared_path(spark, "odd-input"), odd_events(events)
+    for part in range(4):
+        odd.where(F.pmod(F.col("event_id"), F.lit(1000)) % 4 == part).coalesce(1).write.mode("append").parquet(folder)
+    log = event_stream(spark, folder)
+    reached = nth_events(log, ["user_id", "event_type"], 7, out)
+    batch = triggers.nth_event(odd, ["user_id", "event_type"], ["ts", "event_id"], 7)
+    assert same(reached, batch.select(*reached.columns))
+
+
+def test_distinct_keeps_nulls_nan_and_large_ids(spark, events, out):
+    folder, odd = shared_path(spark, "odd-copies"), odd_events(events)
+    odd.union(odd.where("event_type = 'view'")).repartition(3).write.parquet(folder)
+    kept = append_all(stream.stream_distinct(event_stream(spark, folder), "event_id", "60 days"), out)
+    assert same(kept, odd)
+
+
 def test_nth_event_counts_by_arrival(spark, events, out):
     """Files in reverse order: each user's count starts with the last file."""
     folder = shared_path(spark, "reversed-input")
     for low in (500, 0):
         write_slice(events, folder, low, low + 500)
-        reached = stream.stream_nth_event(event_stream(spark, folder), "user_id", 20)
-        start_append(reached, out).awaitTermination()
+        reached = nth_events(event_stream(spark, folder), ["user_id"], 20, out)
     late = F.when(F.col("event_id") >= 500, 0).otherwise(1)
     arrival = triggers.nth_event(events.withColumn("file", late), ["user_id"], ["file", "ts", "event_id"], 20)
-    assert same(stored(reached, out), arrival.select("user_id", "ts", "event_id"))
+    assert same(reached, arrival.select("user_id", "ts", "event_id"))
 
 
 def test_copies_are_dropped(spark, events, out):
@@ -100,14 +133,30 @@ def test_copies_are_dropped(spark, events, out):
 
 
 def test_windows_equal_batch_until_the_last(events, source, out):
-    windows = append_all(
-        stream.stream_latency_tumbling(source, ntz(AS_OF), "1 day", "1 hour"), out)
+    counts = append_all(stream.stream_latency_counts(source, ntz(AS_OF), "1 day", "1 hour"), out)
+    windows = stream.stream_latency_tumbling(counts)
     batch = ev.latency_tumbling(ev.event_latency(events, ntz(AS_OF)), "1 day")
     closed = batch.where("period_start < TIMESTAMP_NTZ'2024-01-30'")
-    exact = ["period_start", "n", "min", "max"]
-    assert same(windows.select(exact), closed.select(exact))
-    near = windows.join(closed.withColumnRenamed("mean", "batch_mean"), "period_start")
-    assert near.where(F.abs(F.col("mean") - F.col("batch_mean")) > 1e-3).isEmpty()
+    near = lambda df: df.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
+    assert same(near(windows), near(closed))
+
+
+def test_large_windows_stay_exact(spark, out):
+    """100,000 distinct latencies in one window, far beyond what a sketch keeps."""
+    day = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:00' AS first")
+    many = spark.range(100_000).join(day).selectExpr(
+        "id AS event_id", "first + make_dt_interval(0, 0, 0, id * 0.8) AS ts", "1L AS user_id", "'x' AS event_type",
+        "1D AS value", "'' AS props")
+    last = many.limit(1).selectExpr("-1L AS event_id", "ts + INTERVAL 5 DAYS AS ts", "user_id", "event_type", "value", "props")
+    folder = shared_path(spark, "large-window")
+    many.write.parquet(folder)
+    last.write.mode("append").parquet(folder)
+    counts = append_all(stream.stream_latency_counts(
+        event_stream(spark, folder), ntz(AS_OF), "1 day", "1 hour"), out)
+    found = stream.stream_latency_tumbling(counts).where("n > 1")
+    batch = ev.latency_tumbling(ev.event_latency(many, ntz(AS_OF)), "1 day")
+    quantiles = ["period_start", "n", "p50", "p75", "p95", "p98", "p99", "p999"]
+    assert same(found.select(quantiles), batch.select(quantiles))
 
 
 def test_late_rows_are_left_out(spark, events, out):
@@ -116,11 +165,11 @@ def test_late_rows_are_left_out(spark, events, out):
     late = events.where("event_id = 0")
     write_slice(events, folder, 1, 700)
     for low, high in ((700, 1000), (0, 1)):
-        windows = stream.stream_latency_tumbling(event_stream(spark, folder), ntz(AS_OF), "1 day", "1 hour")
-        start_append(windows, out).awaitTermination()
+        counts = stream.stream_latency_counts(event_stream(spark, folder), ntz(AS_OF), "1 day", "1 hour")
+        start_append(counts, out).awaitTermination()
         write_slice(events, folder, low, high)
-    start_append(windows, out).awaitTermination()
-    first = stored(windows, out).orderBy("period_start").first()
+    start_append(counts, out).awaitTermination()
+    first = stream.stream_latency_tumbling(stored(counts, out)).orderBy("period_start").first()
     day = events.where("ts < '2024-01-02'").count()
     assert first.n == day - 1 and late.count() == 1
 
@@ -132,10 +181,23 @@ def test_time_zone_must_be_utc(source, zone):
 
 
 def test_routing(spark, events, source, out):
-    registry = spark.createDataFrame([("click", "C", 1), ("view", "V", 1)], REGISTRY)
-    caller = F.col("user_id").cast("string")
-    routed = append_all(stream.stream_routing(source, registry, "event_type", caller), out)
-    assert same(routed, routing.route_requests(events, registry, "event_type", caller))
+    registry = spark.createDataFrame(
+        [("click", "Old", 0, "greet", ["string"]), ("click", "C", 1, "greet", ["string"]),
+         ("view", "V", 1, "greet", None), ("view", "V", 1, "part", ["string"])], REGISTRY)
+    request = {"service": F.when(F.col("event_id") % 9 > 0, F.col("event_type")), "method": F.lit("greet"),
+               "param_types": F.array(F.lit("string")), "args": F.array(F.col("user_id").cast("string"))}
+    bodies = {"C": F.concat(F.lit("hello "), F.get("args", F.lit(0)))}
+    routed = append_all(stream.stream_routing(source.withColumns(request), registry, bodies), out)
+    batch = routing.route_requests(events.withColumns(request), registry, bodies)
+    assert same(routed, batch)
+    assert batch.where("impl IS NULL AND error IS NULL").isEmpty()
+    assert {r.error for r in batch.where("service IS NULL OR service = 'view'").select("error").collect()} == {
+        "null not found", "view.greet(string) not found"}
+    assert {r.impl for r in batch.where("service = 'click'").collect()} == {"C"}
+    lost = routing.dead_letters(events.withColumns(request), registry)
+    assert lost.count() == batch.where("error IS NOT NULL").count()
+    summary = routing.dispatch_summary(batch, ["service"], "user_id")
+    assert summary.agg(F.sum("n_failed")).first()[0] == lost.count()
 
 
 def test_log_etl(spark, events, out):
@@ -148,17 +210,20 @@ def test_log_etl(spark, events, out):
     kept = append_all(stream.stream_log_etl(spark, lines), out, ("log_date",))
     batch = logs.with_log_date(logs.log_level_filter(logs.log_parse(rendered, "text")))
     assert same(kept.drop("raw"), batch.drop("raw"))
+    rejected = append_all(stream.stream_log_rejects(spark, lines), f"{out}-rejected")
+    assert rows(rejected) == [("not a log line",)]
     assert len(rows(kept.select("log_date").distinct())) > 20
 
 
-def test_periodic_report_is_emitted_by_the_clock(events, source, out):
-    report = stream.latency_report(source, ntz(AS_OF))
-    query = stream.periodic_report(report, out, "1 second")
+def test_periodic_report_is_emitted_by_the_clock(spark, events, source, out):
+    query = stream.periodic_report(stream.latency_counts(source, ntz(AS_OF)), out, "1 second")
     try:
         query.processAllAvailable()
     finally:
         query.stop()
-    assert stored(report, out).first().n == events.count()
+    report = stored_complete(stream.latency_report_schema(), spark, out).first()
+    batch = ev.latency_summary(ev.event_latency(events, ntz(AS_OF))).first()
+    assert (report.n, report.p50, report.p999) == (events.count(), batch.p50, batch.p999)
 
 
 def test_schema_is_fixed(source):

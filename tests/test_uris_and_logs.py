@@ -28,31 +28,23 @@ ADDRESSES = {
 }
 
 
-def split(url):
-    """Scheme, authority and path by scanning the text."""
-    scheme = authority = None
-    rest = url
-    colon, slash = url.find(":"), url.find("/")
-    if colon > 0 and slash == colon + 1:
-        scheme, rest = url[:colon], url[colon + 1:]
-    if rest.startswith("//") and len(rest) > 2:
-        end = rest.find("/", 2)
-        end = len(rest) if end < 0 else end
-        authority, rest = rest[2:end] or None, rest[end:]
-    return scheme, authority, rest
-
-
 def test_addresses(spark):
     df = uris.uri_split(spark.createDataFrame([(u,) for u in ADDRESSES], "url STRING"))
     assert {r.url: (r.scheme, r.authority, r.path) for r in df.collect()} == ADDRESSES
 
 
-def test_random_addresses(spark):
-    import itertools
-
-    texts = ["".join(t) for n in range(1, 7) for t in itertools.product("a:/", repeat=n)]
-    df = uris.uri_split(spark.createDataFrame([(u,) for u in texts], "url STRING"))
-    assert {r.url: (r.scheme, r.authority, r.path) for r in df.collect()} == {u: split(u) for u in texts}
+def test_put_together_addresses(spark):
+    """The splitter gives back the parts that an address was made of."""
+    made = {}
+    for scheme in (None, "file", "hdfs", "s3-x", "a.b+c"):
+        for authority in (None, "h", "h:9000", "user@h", "[::1]:80", "é"):
+            for path in ("/", "/a", "/a//b", "/a:b/c", "/p?q=1#f", "//x", "/ \n"):
+                if authority is None and path.startswith("//"):
+                    continue  # would read as an authority
+                url = (f"{scheme}:" if scheme else "") + (f"//{authority}" if authority else "") + path
+                made[url] = (scheme, authority, path)
+    df = uris.uri_split(spark.createDataFrame([(u,) for u in made], "url STRING"))
+    assert {r.url: (r.scheme, r.authority, r.path) for r in df.collect()} == made
 
 
 def test_quoted_path(spark):
@@ -61,7 +53,8 @@ def test_quoted_path(spark):
 
 
 def test_unregistered_scheme_has_no_file_system(spark):
-    registry = spark.createDataFrame([("file", "Local")], "scheme STRING, file_system STRING")
+    registry = spark.createDataFrame(
+        [("file", "Old", 1), ("file", "Local", 3), ("file", "Older", 0)], "scheme STRING, file_system STRING, seq INT")
     df = spark.createDataFrame([("file:/x",), ("ftp://h/x",), ("x",)], "url STRING")
     routed = uris.scheme_route(df, registry)
     assert rows(routed, "url", "file_system") == [("file:/x", "Local"), ("ftp://h/x", None), ("x", None)]
@@ -105,6 +98,19 @@ def test_skipped_hour_is_rendered_as_written(spark, zone):
     assert logs.log_render(df).first().text == "2024-03-10 02:30:00.500 INFO  [a] - m"
 
 
+def test_long_levels_and_missing_parts_are_not_lost(spark):
+    data = [(at(0), "NOTICE", "a", "m"), (at(1), "WARNING", "a", None), (at(2), None, "a", "m"), (at(3), "INFO", None, "m")]
+    df = spark.createDataFrame(data, "ts TIMESTAMP_NTZ, level STRING, logger STRING, message STRING")
+    assert [t for (t,) in rows(logs.log_render(df), "text")] == [
+        "2024-01-01 00:00:00.000 NOTICE [a] - m", "2024-01-01 00:00:01.000 WARNING [a] - null",
+        "2024-01-01 00:00:02.000 null  [a] - m", "2024-01-01 00:00:03.000 INFO  [null] - m"]
+
+
+def test_years_of_five_digits(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'+12024-03-10 02:30:00.5' ts, 'INFO' level, 'a' logger, 'm' message")
+    assert logs.log_render(df).select("text").first().text.endswith("12024-03-10 02:30:00.500 INFO  [a] - m")
+
+
 def test_other_lines_are_kept_raw(spark):
     lines = ["garbage", "", "2024-13-45 00:00:00.000 INFO  [a] - no such day", "\u0001a\u0001b\u0001c\u0001d\u0001e"]
     parsed = logs.log_parse(spark.createDataFrame([(t,) for t in lines], "value STRING"))
