@@ -27,8 +27,6 @@ RULES = (
 # Labelled URLs that the trees learn from, at most; picked by a hash of id and URL.
 LEARNT = 40_000
 TREES, DEPTH, RATE, SEED = 20, 4, 0.2, 11
-# A suffix's share of allowed URLs starts from this many URLs with the overall share.
-PRIOR_URLS = 20
 ALPHABET = string.ascii_lowercase + string.digits + "./-_?=&%:#"
 LEXICAL = ("length", "host_length", "path_length", "depth", "host_depth", "digit_ratio",
            "entropy", "n_params", "n_hyphens", "query_length")
@@ -86,21 +84,21 @@ def featured(pages: DataFrame, url: str, rules: Sequence[tuple[str, str]]) -> Da
         "tld": F.substring_index(host, ".", -1), "domain": F.substring_index(host, ".", -2)})
 
 
-def with_suffix_shares(rows: DataFrame) -> tuple[DataFrame, list[str]]:
-    """``rows`` with, per suffix, how common it is and the share of its labelled URLs allowed.
+def with_suffix_statistics(rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``rows`` with, per suffix of the host, how common it is and what its URLs are like.
 
-    Counts cover all rows and are formed before any shuffle.
+    Counts and means cover all rows and are formed before any shuffle. Labels are left
+    out: the rules label whole suffixes, so a share of allowed URLs would tell the trees
+    everything about those and nothing about others.
     """
-    allowed = (F.col("ruled") == "allow").cast("double")
-    overall = rows.agg(F.coalesce(F.avg(allowed), F.lit(0.5))).first()[0]
     columns = []
     for suffix in SUFFIXES:
-        shares = rows.groupBy(suffix).agg(
+        means = {f"{suffix}_{name}": F.avg(name) for name in ("length", "depth", "digit_ratio")}
+        statistics = rows.groupBy(suffix).agg(
             F.log1p(F.count("*").cast("double")).alias(f"{suffix}_common"),
-            ((F.coalesce(F.sum(allowed), F.lit(0.0)) + PRIOR_URLS * overall)
-             / (F.count("ruled") + PRIOR_URLS)).alias(f"{suffix}_allowed"))
-        rows = rows.join(shares, suffix, "left")
-        columns += [f"{suffix}_common", f"{suffix}_allowed"]
+            *[mean.alias(name) for name, mean in means.items()])
+        rows = rows.join(statistics, suffix, "left")
+        columns += [f"{suffix}_common", *means]
     return rows, columns
 
 
@@ -126,7 +124,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url",
     Extra columns of the input are ignored.
     """
     only = pages.select(F.col(key).alias("page_id"), F.col(url).cast("string").alias("url"))
-    rows, suffix_columns = with_suffix_shares(kept(featured(only, "url", rules), "urls"))
+    rows, suffix_columns = with_suffix_statistics(kept(featured(only, "url", rules), "urls"))
     pick = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30))
     assembled = VectorAssembler(inputCols=[*LEXICAL, *suffix_columns], outputCol="features").transform(
         rows.withColumn("pick", pick))

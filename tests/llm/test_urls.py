@@ -1,0 +1,77 @@
+"""Parts and rules of URLs against a plain version, the trees on what they have to learn."""
+
+import re
+
+import pytest
+
+from queuelens.llm import urls
+from queuelens.sources.tables import table
+
+ODD = [None, "", "no address", "http://", "http:///p", "HTTP://A.Org", "https://ORG/en", "ftp://x.org?q#f", "a://b://c/d",
+       "http://example.org/es/1", "http://sub.example.org/es/", "http://notexample.org/es/x", "http://example.org/en/12",
+       "http://example.org/en/2", "http://x.com/fr/", "http://com/de/9", "http://x.com/de", "http://a.net/x?y=1&z=2#t",
+       "http://h.org:80/x", "http://é.org/é", "x" * 20_000, "http://x.org/" + "a/" * 5000]
+
+
+def plain(url):
+    m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
+    host, path = (re.sub("[A-Z]", lambda c: c[0].lower(), m[1]), m[2]) if m else ("", "")
+    fits = []
+    for verdict, rule in urls.RULES:
+        name, _, rest = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
+            fits.append((len(rule), rule, verdict))
+    return host, path, *(max(fits)[1:] if fits else (None, None))
+
+
+def test_parts_and_rules(spark):
+    pages = spark.createDataFrame(list(enumerate(ODD)) + [(None, ODD[5]), (3, ODD[3])], "page_id int, url string")
+    found = urls.judge(pages.selectExpr("*", "'x' AS host", "1 AS label", "2 AS tld")).collect()
+    assert len(found) == len(ODD) + 2
+    for row in found:
+        if row.page_id is not None:
+            host, path, rule, verdict = plain(ODD[row.page_id])
+            assert (row.host, row.path, row.rule) == (host, path, rule), ODD[row.page_id]
+            assert row.verdict in ("allow", "block") and (verdict is None or row.verdict == verdict)
+
+
+def test_without_labels_all_is_allowed(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x"), (2, None)], "page_id int, url string")
+    assert {r.verdict for r in urls.judge(pages).collect()} == {"allow"}
+    assert urls.judge(pages.limit(0)).count() == 0
+
+
+def test_given_pages(spark):
+    pages = table(spark, "/root/testdata/sf0.1", "pages")
+    found = {r.page_id: r for r in urls.judge(pages).collect()}
+    assert len(found) == pages.count()
+    for page in pages.select("page_id", "url").collect():
+        row, (host, path, rule, verdict) = found[page.page_id], plain(page.url)
+        assert (row.host, row.path, row.rule) == (host, path, rule) and (verdict or row.verdict) == row.verdict
+
+
+def test_trees_learn_lexical_signs(spark):
+    # Rules label two hosts whose paths differ in depth and digits; unseen hosts follow suit.
+    rows = [(n, f"http://h{n % 7}.good/section/page-{'abc'[n % 3]}") for n in range(300)]
+    rows += [(1000 + n, f"http://h{n % 7}.evil/1/2/3/{n * 7919}?a={n}&b={n}") for n in range(300)]
+    rows += [(2000, "http://h9.news/section/page-b"), (2001, "http://h9.news/4/5/6/778899?a=4&b=6")]
+    pages = spark.createDataFrame(rows, "page_id int, url string")
+    found = {r.page_id: r for r in urls.judge(pages, rules=(("allow", "good/"), ("block", "evil/"))).collect()}
+    assert (found[2000].verdict, found[2001].verdict) == ("allow", "block")
+
+
+def test_plan_has_no_python(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/"), (2, "http://b.com/de/")], "page_id int, url string")
+    plan = urls.judge(pages)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+@pytest.mark.parametrize("text", ["", "aaaa", "http://a.b/c?d=1&e=22#f", "a1-2_3"])
+def test_features(spark, text):
+    frame = urls.featured(spark.createDataFrame([(text,)], "url string"), "url", urls.RULES).first()
+    assert frame.length == len(text) and frame.n_hyphens == text.count("-")
+    assert frame.digit_ratio == pytest.approx(sum(c.isdigit() for c in text) / max(1, len(text)))
+    assert frame.n_params == len(re.findall("=", (re.search(r"\?([^#]*)", text) or [""])[0]))
+    from math import log2
+    counts = {c: text.count(c) for c in set(text)}
+    assert frame.entropy == pytest.approx(-sum(k / len(text) * log2(k / len(text)) for k in counts.values()) if text else 0)
