@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from queuelens.llm.frames import kept
 from queuelens.session import shared_path
 
 VERSION = b"WARC/1.0\r\n"
@@ -25,8 +26,9 @@ END = b"\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
 # Payloads this long are stored once.
 SHARED_BYTES = 1000
-# About how many payload bytes go in one archive file.
+# About how many bytes go in one archive file, and in the header of a record.
 FILE_BYTES = 32 << 20
+HEADER_BYTES = 400
 LONGEST_HEADER = 1 << 16
 # Compressed bytes that are opened at a time.
 READ_BYTES = 1 << 16
@@ -143,18 +145,20 @@ def with_references(pages: DataFrame, key: str, payload: str) -> DataFrame:
     """``pages`` with digest, bytes and ``refers_to``: the largest id of an equal, long payload.
 
     Equal means the same length, SHA-1 and SHA-256. The id is null for the payload's own
-    response, for short payloads, and where the id is null.
+    response, for short payloads, and where the id is null. Only digests are shuffled to
+    find revisits; Spark broadcasts these if they are few and shuffles payloads if not.
     """
-    raw = F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8")
-    rows = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(payload), F.lit("")).alias("payload"),
-                        F.sha1(raw).alias("sha1"), F.sha2(raw, 256).alias("sha2"),
-                        F.octet_length(F.coalesce(F.col(payload), F.lit(""))).alias("bytes"))
-    long = rows.where(F.col("bytes") >= SHARED_BYTES)
+    text = F.coalesce(F.col(payload), F.lit(""))
+    raw = F.encode(text, "UTF-8")
     same = ["sha2", "sha1", "bytes"]
-    largest = long.groupBy(*same).agg(F.max("page_id").alias("largest"), F.count("*").alias("n"))
-    joined = rows.join(largest.where("n > 1").drop("n"), same, "left")
-    return joined.withColumn("refers_to", F.when(
-        F.col("page_id") != F.col("largest"), F.col("largest"))).drop("largest")
+    rows = pages.select(F.col(key).alias("page_id"), text.alias("payload"), F.sha1(raw).alias("sha1"),
+                        F.sha2(raw, 256).alias("sha2"), F.octet_length(text).alias("bytes"))
+    long = kept(rows.where(F.col("bytes") >= SHARED_BYTES).select("page_id", *same), "digests")
+    largest = long.groupBy(*same).agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
+    revisits = kept(
+        long.join(largest.where("n > 1").drop("n"), same).where("page_id <> refers_to").distinct(),
+        "revisits")
+    return rows.join(revisits, ["page_id", *same], "left")
 
 
 def record_text(rows: DataFrame) -> DataFrame:
@@ -184,10 +188,11 @@ def write(pages: DataFrame, path: str, key: str = "page_id", payload: str = "htm
     A record ends with two line ends, which is what separates the rows of the text files.
     """
     rows = with_references(pages, key, payload)
-    total = rows.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    files = max(1, -(-total // FILE_BYTES))
-    spread = rows.repartition(files, F.xxhash64("page_id", "sha2"))
-    record_text(spread).write.option("lineSep", END.decode()).text(path)
+    size = F.octet_length(F.coalesce(F.col(payload), F.lit("")))
+    mean = pages.agg(F.coalesce(F.avg(size), F.lit(0.0))).first()[0]
+    per_file = max(1, int(FILE_BYTES / (mean + HEADER_BYTES)))
+    record_text(rows).write.option("lineSep", END.decode()).option(
+        "maxRecordsPerFile", per_file).text(path)
 
 
 RECORDS = ("path string, start bigint, stop bigint, kind string, record_id string, refers_to string, "
@@ -231,11 +236,11 @@ def pages_of(records: DataFrame) -> DataFrame:
 
     The length of a revisit is that of the response it refers to; null if that is lost.
     """
-    rows = records.where("gap IS NULL").select(
+    rows = kept(records.where("gap IS NULL").select(
         _number("record_id").alias("page_id"),
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"),
-        F.col("kind").alias("record_type"), _number("refers_to").alias("refers_to"))
+        F.col("kind").alias("record_type"), _number("refers_to").alias("refers_to")), "records")
     responses = rows.where("record_type = 'response'").groupBy(
         F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("whole"))
     joined = rows.where("record_type = 'revisit'").join(responses, ["refers_to", "payload_digest"], "left")
