@@ -18,8 +18,10 @@ SYMBOL = r"[#*$%&|<>]"
 BUCKETS = 1 << 16
 # Trusted texts that the target distribution is counted over, at most; picked by a hash of the id.
 TRUSTED = 50_000
-SMOOTHING = 1.0
-THRESHOLD = -0.4
+# The target starts from this many n-grams distributed like the raw corpus, so that n-grams
+# which few trusted texts could hold do not count against a document.
+PRIOR = 4 * BUCKETS
+THRESHOLD = -0.15
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
@@ -101,13 +103,11 @@ def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     totals = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"),
                         F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
 
-    def log_share(column: str, total: int) -> Column:
-        count = F.coalesce(column, F.lit(0))
-        return F.log((count + SMOOTHING) / (total + SMOOTHING * BUCKETS))
-
+    share_of_raw = (F.coalesce("raw", F.lit(0)) + 1) / (totals["raw"] + BUCKETS)
+    share = (F.coalesce("target", F.lit(0)) + PRIOR * share_of_raw) / (totals["target"] + PRIOR)
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     ratios = every.join(counts, "bucket", "left").select(
-        "bucket", (log_share("target", totals["target"]) - log_share("raw", totals["raw"])).alias("r"))
+        "bucket", F.log(share / share_of_raw).alias("r"))
     return ratios.agg(F.array_sort(F.collect_list(F.struct("bucket", "r")))["r"].alias("ratios"))
 
 
@@ -116,8 +116,8 @@ def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """Counts, base rules, score and verdict: one row per row of ``docs``.
 
     A null or empty text has no words, so it fails the base rules; its score is 0.
-    Without a trusted document the target is uniform over the buckets. Extra columns of
-    the input are ignored.
+    Without a trusted document the target is the raw corpus, and all scores are 0. Extra
+    columns of the input are ignored.
     """
     ratios = kept(log_ratios(docs, labels, key, text, label), "log-ratios").scalar()
     whole = F.coalesce(F.col("text"), F.lit(""))

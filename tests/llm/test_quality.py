@@ -55,6 +55,7 @@ def test_counts_and_verdict(spark, tables):
         assert row.kept == (not row.base_failed and row.score >= quality.THRESHOLD)
         if text in (GOOD, JUNK):
             assert (row.score > 0) == (text == GOOD)
+            assert text == JUNK or row.kept or row.base_failed
 
 
 def test_log_ratios(spark, tables):
@@ -71,10 +72,11 @@ def test_log_ratios(spark, tables):
         if row.n in trusted:
             target.update(buckets)
     ratios = quality.log_ratios(docs, labels).first().ratios
-    share = lambda c, b: math.log((c[b] + 1) / (sum(c.values()) + quality.BUCKETS))
+    n, m, b = sum(raw.values()), sum(target.values()), quality.BUCKETS
     assert len(ratios) == quality.BUCKETS
     for bucket in [*raw][:500] + list(range(0, quality.BUCKETS, 997)):
-        assert ratios[bucket] == pytest.approx(share(target, bucket) - share(raw, bucket))
+        usual = (raw[bucket] + 1) / (n + b)
+        assert ratios[bucket] == pytest.approx(math.log((target[bucket] + 4 * b * usual) / (m + 4 * b) / usual))
 
 
 def test_empty_tables(spark, tables):
