@@ -9,8 +9,12 @@ from queuelens.sources.schemas import TABLES
 BENCHMARK = "the quick brown fox jumps over the lazy dog near the old stone bridge at dawn"
 
 
+def word(number):
+    return "".join(chr(97 + number // 16 ** place % 16) for place in range(4))
+
+
 def text(n, words=120):
-    return " ".join(f"w{(n * 7919 + i * i * 31) % 4001}" for i in range(words))
+    return " ".join(word((n * 7919 + i * i * 31) % 40_009) for i in range(words))
 
 
 DOCS = [(n, text(n)) for n in range(60)]
