@@ -27,7 +27,7 @@ MAP_BITS = 24
 BASE = 0x9E3779B97F4A7C15
 WORD = re.compile(r"[^\W_]+")
 # Words whose hashes a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 REGIONS = "row_id bigint, doc_id bigint, start bigint, tokens array<bigint>, seeds array<bigint>"
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 # Words remembered by one worker; beyond it the memory starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 400_000
 # Words of these letters, with an optional point or comma, are single words to the tokenizer.
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 

@@ -34,7 +34,7 @@ MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB8
 # The score, before squashing, of every text if no toxic text is known.
 NONE_KNOWN = -20.0
 WORD = re.compile(r"[^\W\d_]+")
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 def features(word: str) -> list[int]:
