@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 VOCABULARY = "word_bpe_49k.json"
 # Words remembered by one worker; beyond it the memory starts anew.
 REMEMBERED = 400_000
-# Words of these letters, with an optional point or comma, are single words to the tokenizer.
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# Words of these letters are single words to the tokenizer, and so are marks right after them.
+SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*#%&$]*)")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -57,7 +57,12 @@ class WordEncoder:
         if ids is None:
             tokens = self.tokenizer.model.tokenize(lower.translate(self.shown))
             ids = self.known[lower] = tuple(t.id for t in tokens)
-        return ids + self.known.setdefault(mark, self._ids(mark)) if mark else ids
+        if not mark:
+            return ids
+        after = self.known.get(mark)
+        if after is None:
+            after = self.known[mark] = self._ids(mark)
+        return ids + after
 
     def words(self, words: list[str]) -> list[tuple[int, ...]]:
         """The ids of each word."""
