@@ -13,10 +13,12 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from queuelens.llm.frames import bounded, strings
+
 FOLDS = 5
 # Classifiers, and how many confirmed and unlabelled texts each one learns from at most.
 # The samples are picked by a hash of the id, so they are the same in every run.
@@ -47,20 +49,30 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
-def _different(texts: list[str]) -> list[int]:
-    """Places of texts that are no near copy of an earlier one.
+def text_features(text: str | None) -> np.ndarray:
+    """The distinct features of a text, sorted."""
+    return np.unique([f for w in words_of(text) for f in features(w)]).astype(np.int32)
+
+
+def smallest_hashes(text: str | None) -> list[int]:
+    """The smallest hash of all runs of three words, in four orders; none for no words."""
+    words = WORD.findall((text or "").lower())
+    values = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+                       for w in words], np.uint64)
+    if len(values) > 2:
+        values = values[:-2] * np.uint64(3) + values[1:-1] * np.uint64(5) + values[2:]
+    return [int((values * np.uint64(m)).min()) >> 1 for m in MIXERS] if words else []
+
+
+def different(hashes: list[list[int]]) -> list[int]:
+    """Places of texts that are no near copy of an earlier one, from their smallest hashes.
 
     Copies share most runs of three words, and so one of the four smallest hashes.
     Without this, any word of a text that was copied often would seem to tell toxicity.
     """
     seen, places = set(), []
-    for place, text in enumerate(texts):
-        words = WORD.findall((text or "").lower())
-        values = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-                           for w in words], np.uint64)
-        if len(values) > 2:
-            values = values[:-2] * np.uint64(3) + values[1:-1] * np.uint64(5) + values[2:]
-        mixed = [(n, int((values * np.uint64(m)).min())) for n, m in enumerate(MIXERS)] if words else []
+    for place, four in enumerate(hashes):
+        mixed = list(enumerate(four))
         if seen.isdisjoint(mixed):
             places.append(place)
         seen.update(mixed)
@@ -79,22 +91,15 @@ def _telling(rows: list[np.ndarray], confirmed: np.ndarray) -> np.ndarray:
             & (errors >= LEAST_ERRORS))
 
 
-def train(texts: list[str], confirmed: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+def train(rows: list[np.ndarray], confirmed: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise the non-negative risk estimate.
 
-    Weights stay at zero or above, as only signs of toxicity are learnt from.
+    ``rows`` are the features of each text. Weights stay at zero or above, as only signs
+    of toxicity are learnt from.
     """
-    confirmed = np.asarray(confirmed, bool)
-    places = np.concatenate([
-        side[_different([texts[i] for i in side])]
-        for side in (np.flatnonzero(confirmed), np.flatnonzero(~confirmed)) if len(side)])
-    texts, confirmed = [texts[i] for i in places], confirmed[places]
     weights, bias = np.zeros(WEIGHTS), -1.0
-    sides = [np.flatnonzero(confirmed), np.flatnonzero(~confirmed)]
-    if not len(sides[0]) or not len(sides[1]):
+    if confirmed.all() or not confirmed.any():
         return weights, NONE_KNOWN
-    rows = [np.unique([f for w in words_of(t) for f in features(w)]).astype(np.int64)
-            for t in texts]
     telling = _telling(rows, confirmed)
     rows = [row[telling[row]] for row in rows]
     first, second = np.zeros(WEIGHTS + 1), np.zeros(WEIGHTS + 1)
@@ -183,17 +188,40 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     unlabelled = texts.withColumn("picked", any_).where(F.size("picked") > 0).select(
         F.explode("picked").alias("model"), "text", F.lit(False).alias("confirmed"))
 
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["confirmed", "text"], kind="stable")  # any order of arrival
-        weights, bias = train(group["text"].tolist(), group["confirmed"].to_numpy(bool), prior)
-        return pd.DataFrame({"weights": [weights.tolist()], "bias": [bias]})
-
-    fitted = confirmed.union(unlabelled).groupBy("model").applyInPandas(
-        fit, "weights array<double>, bias double").collect()
+    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches):
+            texts = strings(batch).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("model"), batch.column("confirmed"),
+                 pa.array([smallest_hashes(t) for t in texts], pa.list_(pa.int64())),
+                 pa.array([text_features(t) for t in texts], pa.list_(pa.int32()))],
+                names=["model", "confirmed", "hashes", "features"])
+
+    def fit(group: pa.Table) -> pa.Table:
+        table = group.combine_chunks()
+        hashes, confirmed = table.column("hashes").to_pylist(), table.column("confirmed").to_numpy()
+        # Texts arrive in any order; their hashes put them in one that is always the same.
+        order = sorted(range(len(hashes)), key=lambda i: (confirmed[i], hashes[i]))
+        places = [i for side in (False, True) for i in _of(order, hashes, confirmed, side)]
+        rows = [table.column("features")[i].values.to_numpy() for i in places]
+        weights, bias = train(rows, confirmed[places], prior)
+        return pa.table({"weights": pa.array([weights.tolist()], pa.list_(pa.float64())), "bias": [bias]})
+
+    fitted = confirmed.union(unlabelled).mapInArrow(
+        prepare, "model int, confirmed boolean, hashes array<bigint>, features array<int>").groupBy(
+        "model").applyInArrow(fit, "weights array<double>, bias double").collect()
+    if not fitted:
+        return np.zeros(WEIGHTS), NONE_KNOWN
     return (np.mean([np.array(r.weights) for r in fitted], axis=0),
             float(np.mean([r.bias for r in fitted])))
 
 
+def _of(order: list[int], hashes: list[list[int]], confirmed: np.ndarray, side: bool) -> list[int]:
+    """The texts of one side in order, without near copies."""
+    mine = [i for i in order if confirmed[i] == side]
+    return [mine[place] for place in different([hashes[i] for i in mine])]
+
+
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
            score: str = "score") -> DataFrame:
     """``docs`` with a column from 0 to 1, higher where a text is likelier toxic.
@@ -203,17 +231,17 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def compute(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def compute(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights, bias = shared.value
         learnt = _Learnt(weights)
         for part in parts:
             sums = np.full(len(part), bias)
             for row, text in enumerate(part):
-                words = WORD.findall((text or "").lower())
+                words = WORD.findall((text.as_py() or "").lower())
                 found = set(chain.from_iterable(filter(None, map(learnt.__getitem__, words))))
                 sums[row] += weights[sorted(found)].sum()
-            yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -700, 700))))
+            yield pa.array(1 / (1 + np.exp(-np.clip(sums, -700, 700))))
 
     return docs.withColumn(score, compute(F.col(text)))
 

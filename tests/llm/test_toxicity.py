@@ -26,7 +26,8 @@ def test_positive_and_unlabelled_texts_are_enough():
     rng = np.random.default_rng(0)
     unlabelled, _ = sample(rng, 1500, 0.1)
     confirmed, _ = sample(rng, 200, 1.0)
-    weights, bias = toxicity.train(unlabelled + confirmed, np.array([False] * 1500 + [True] * 200), 0.1)
+    rows = [toxicity.text_features(t) for t in unlabelled + confirmed]
+    weights, bias = toxicity.train(rows, np.array([False] * 1500 + [True] * 200), 0.1)
     assert (weights >= 0).all() and bias < 0
     texts, toxic = sample(rng, 800, 0.3)
     learnt = toxicity._Learnt(weights)
@@ -35,13 +36,14 @@ def test_positive_and_unlabelled_texts_are_enough():
 
 
 def test_without_confirmed_texts_nothing_is_toxic():
-    weights, bias = toxicity.train(["a b", "c"], np.array([False, False]), 0.0)
+    weights, bias = toxicity.train([toxicity.text_features("a b")] * 2, np.array([False, False]), 0.0)
     assert not weights.any() and bias == toxicity.NONE_KNOWN
 
 
 def test_near_copies_count_once():
     copies = ["one two three four five six seven " * 5 + str(n) for n in range(20)]
-    assert toxicity._different(copies + ["quite another text with other words", None, ""]) == [0, 20, 21, 22]
+    texts = copies + ["quite another text with other words", None, ""]
+    assert toxicity.different([toxicity.smallest_hashes(t) for t in texts]) == [0, 20, 21, 22]
 
 
 def test_held_out_accuracy(spark):
