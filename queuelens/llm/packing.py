@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from queuelens.llm.frames import bounded, kept, strings, texts_of
-from queuelens.llm.tokens import encoder, vocabulary_path
+from queuelens.llm.tokens import WordEncoder, vocabulary_path
 
 LENGTH = 2048
 END = 0
@@ -41,7 +41,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     path = vocabulary or vocabulary_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = WordEncoder(path).encode
         for batch in bounded(batches):
             ids, at = encode(strings(batch))
             sizes = np.diff(at) + 1

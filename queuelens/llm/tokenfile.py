@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from queuelens.llm.frames import bounded, kept, strings, texts_of
 from queuelens.llm.mixing import decode, encode
-from queuelens.llm.tokens import encoder, vocabulary_path
+from queuelens.llm.tokens import WordEncoder, vocabulary_path
 from queuelens.session import shared_path
 
 END = 2
 BLOCK = 4096
 # Blocks that are coded side by side.
-TOGETHER = 1024
+TOGETHER = 768
 
 BLOCKS = ("part int, block bigint, first bigint, n_ids int, crc32 bigint, doc_ids array<bigint>, "
           "doc_numbers array<bigint>, pieces array<bigint>, last array<boolean>, lengths array<bigint>, "
@@ -83,6 +83,7 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", e
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, filler, done = TaskContext.get().partitionId(), _Filler(), 0
+        encode_words = WordEncoder(names).encode
 
         def coded(blocks: list) -> pa.RecordBatch:
             nonlocal done
@@ -100,7 +101,7 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", e
                        "last", "lengths", "code"])
 
         for batch in bounded(batches):
-            ids, at = encoder(names).encode(strings(batch))
+            ids, at = encode_words(strings(batch))
             for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), at, at[1:]):
                 filler.add(doc_id, np.append(ids[a:b], np.uint32(end)))
             while len(filler.blocks) >= TOGETHER:

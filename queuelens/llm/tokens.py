@@ -1,4 +1,4 @@
-"""Token ids of whole texts, with every distinct word encoded once per worker.
+"""Token ids of whole texts, with every distinct word encoded once per task.
 
 The tokenizer drops white space and never forms a token across it, so a text is
 split at ASCII white space and the ids of its words are put together. Words come
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -17,7 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
-# Words remembered by one worker; beyond it the memory starts anew.
+# Words remembered by one task; beyond it the memory starts anew. The next task starts
+# with none, as idle workers would hold on to theirs.
 REMEMBERED = 400_000
 # Words of these letters are single words to the tokenizer, and so are marks right after them.
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*#%&$]*)")
@@ -93,9 +93,3 @@ class WordEncoder:
         place = np.repeat(begins[at] - until[:-1], counts)
         place += np.arange(until[-1])
         return ids[place], until[ends]
-
-
-@lru_cache(maxsize=4)
-def encoder(path: str) -> WordEncoder:
-    """The encoder of this worker process, with the words it has met."""
-    return WordEncoder(path)
