@@ -32,7 +32,7 @@ def kept(df: DataFrame, label: str) -> DataFrame:
 
 
 def bounded(batches: Iterator[pa.RecordBatch], column: str = "text",
-            max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+            max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about ``max_bytes`` of ``column``, or one row."""
     for batch in batches:
         if not batch.num_rows:

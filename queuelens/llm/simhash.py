@@ -30,7 +30,7 @@ BLOCK = 8192
 CHUNK = 131_072
 FRONTIER = 4_000_000
 # Shingles whose bits are laid out at a time.
-LAID_OUT = 262_144
+LAID_OUT = 65_536
 
 
 def _hashes(text: bytes) -> list[int]:
