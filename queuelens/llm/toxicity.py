@@ -9,10 +9,11 @@ negative, which only overfitting explains, the step goes the other way.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,7 +26,6 @@ FOLDS = 5
 MODELS = 3
 CONFIRMED = 3000
 UNLABELLED = 9000
-WEIGHTS = 1 << 18
 STEPS = 400
 RATE = 0.05
 # A feature is learnt from if it is in so many confirmed texts and this share of them, so many
@@ -37,12 +37,18 @@ MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB8
 NONE_KNOWN = -20.0
 WORD = re.compile(r"[^\W\d_]+")
 REMEMBERED = 200_000
+# Words of a passage. A text is as toxic as its worst passage, so that signs too weak to tell
+# anything do not add up over a long text, and a toxic part counts however long the rest is.
+PASSAGE = 400
 
 
 def features(word: str) -> list[int]:
-    """Hashed features of a lower-case word: itself and its first four and five letters."""
+    """Features of a lower-case word: itself and its first four and five letters.
+
+    63 bits of a hash name each, so that no two of any corpus are taken for one another.
+    """
     parts = {word, word[:4] + "*", word[:5] + "*"}
-    return [xxhash.xxh32_intdigest(p.encode("utf-8", "surrogatepass")) % WEIGHTS for p in parts]
+    return [xxhash.xxh64_intdigest(p.encode("utf-8", "surrogatepass")) >> 1 for p in parts]
 
 
 def words_of(text: str | None) -> set[str]:
@@ -51,7 +57,7 @@ def words_of(text: str | None) -> set[str]:
 
 def text_features(text: str | None) -> np.ndarray:
     """The distinct features of a text, sorted."""
-    return np.unique([f for w in words_of(text) for f in features(w)]).astype(np.int32)
+    return np.unique(np.array([f for w in words_of(text) for f in features(w)], np.int64))
 
 
 def smallest_hashes(text: str | None) -> list[int]:
@@ -80,29 +86,41 @@ def different(hashes: list[list[int]]) -> list[int]:
 
 
 def _telling(rows: list[np.ndarray], confirmed: np.ndarray) -> np.ndarray:
-    """Which features are clearly more frequent in confirmed than in unlabelled texts."""
-    counts = [np.bincount(np.concatenate([rows[i] for i in np.flatnonzero(side)]),
-                          minlength=WEIGHTS) for side in (confirmed, ~confirmed)]
+    """The features clearly more frequent in confirmed than in unlabelled texts, sorted."""
     n_toxic = confirmed.sum()
-    share = counts[0] / n_toxic
-    usual = (counts[1] + 1) / (len(rows) - n_toxic + 1)
+    found, toxic = np.unique(np.concatenate([rows[i] for i in np.flatnonzero(confirmed)]),
+                             return_counts=True)
+    often = (toxic >= LEAST_TEXTS) & (toxic / n_toxic >= LEAST_SHARE)
+    found, share = found[often], toxic[often] / n_toxic
+    others = np.bincount(np.concatenate([_places(found, rows[i]) for i in np.flatnonzero(~confirmed)]),
+                         minlength=len(found))
+    usual = (others + 1) / (len(rows) - n_toxic + 1)
     errors = (share - usual) / np.sqrt(usual * np.maximum(1 - usual, 1e-9) / n_toxic)
-    return ((counts[0] >= LEAST_TEXTS) & (share >= LEAST_SHARE) & (share >= LEAST_LIFT * usual)
-            & (errors >= LEAST_ERRORS))
+    return found[(share >= LEAST_LIFT * usual) & (errors >= LEAST_ERRORS)]
+
+
+def _places(found: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The places in ``found`` of the features that ``row`` holds as well; both are sorted."""
+    return np.intersect1d(found, row, assume_unique=True, return_indices=True)[1]
 
 
-def train(rows: list[np.ndarray], confirmed: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and intercept that minimise the non-negative risk estimate.
+def _unlearnt() -> pd.Series:
+    return pd.Series([], np.array([], np.int64), float)
+
+
+def train(rows: list[np.ndarray], confirmed: np.ndarray, prior: float) -> tuple[pd.Series, float]:
+    """Weights by feature and intercept that minimise the non-negative risk estimate.
 
     ``rows`` are the features of each text. Weights stay at zero or above, as only signs
-    of toxicity are learnt from.
+    of toxicity are learnt from; features without a weight are left out.
     """
-    weights, bias = np.zeros(WEIGHTS), -1.0
     if confirmed.all() or not confirmed.any():
-        return weights, NONE_KNOWN
+        return _unlearnt(), NONE_KNOWN
     telling = _telling(rows, confirmed)
-    rows = [row[telling[row]] for row in rows]
-    first, second = np.zeros(WEIGHTS + 1), np.zeros(WEIGHTS + 1)
+    rows = [_places(telling, row) for row in rows]
+    n = len(telling)
+    weights, bias = np.zeros(n), -1.0
+    first, second = np.zeros(n + 1), np.zeros(n + 1)
     flat, owner, count = [], [], []
     for side in (confirmed, ~confirmed):
         chosen = [rows[i] for i in np.flatnonzero(side)]
@@ -112,8 +130,8 @@ def train(rows: list[np.ndarray], confirmed: np.ndarray, prior: float) -> tuple[
 
     for step in range(1, STEPS + 1):
         toxic, any_ = (
-            1 / (1 + np.exp(-(np.bincount(o, weights[f], n) + bias)))
-            for f, o, n in zip(flat, owner, count))
+            1 / (1 + np.exp(-(np.bincount(o, weights[f], size) + bias)))
+            for f, o, size in zip(flat, owner, count))
         # Slopes of the risks (sigmoid loss) of calling toxic and unlabelled texts clean.
         slope_p = prior * toxic * (1 - toxic) / count[0]
         slope_u = any_ * (1 - any_) / count[1]
@@ -122,30 +140,45 @@ def train(rows: list[np.ndarray], confirmed: np.ndarray, prior: float) -> tuple[
         else:
             slope_u = -slope_u
         slope = np.bincount(np.append(*flat), np.append(slope_p[owner[0]], slope_u[owner[1]]),
-                            WEIGHTS + 1)
-        slope[WEIGHTS] = slope_p.sum() + slope_u.sum()
+                            n + 1)
+        slope[n] = slope_p.sum() + slope_u.sum()
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope * slope
         move = RATE * first / (1 - 0.9 ** step) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-        weights = np.maximum(weights - move[:WEIGHTS], 0)
-        bias -= move[WEIGHTS]
-    return weights, bias
+        weights = np.maximum(weights - move[:n], 0)
+        bias -= move[n]
+    return pd.Series(weights, telling)[weights > 0], bias
 
 
 class _Learnt(dict):
     """The weighted features of each word; forgets all when it holds too many words."""
 
-    def __init__(self, weights: np.ndarray):
+    def __init__(self, weights: pd.Series):
         super().__init__()
-        self.weights = weights
+        self.weights = weights.to_dict()
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = found = tuple(f for f in features(word) if self.weights[f])
+        self[word] = found = tuple(f for f in features(word) if f in self.weights)
         return found
 
 
+def strongest(words: list[str], learnt: _Learnt) -> float:
+    """The largest weight of the distinct features in any ``PASSAGE`` consecutive words."""
+    hits = [(place, found) for place, found in enumerate(map(learnt.__getitem__, words)) if found]
+    best, first, held = 0.0, 0, Counter()
+    for place, found in hits:
+        while hits[first][0] <= place - PASSAGE:
+            held.subtract(hits[first][1])
+            first += 1
+        new = any(held[f] <= 0 for f in found)
+        held.update(found)
+        if new:
+            best = max(best, sum(learnt.weights[f] for f in sorted(held) if held[f] > 0))
+    return best
+
+
 def held_out(key: Column) -> Column:
     """Whether labels of the row are kept for measuring; false where there is no id."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
@@ -158,7 +191,7 @@ def _picked(key: Column, total: int, most: int, model: Column) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-          label: str = "toxic") -> tuple[np.ndarray, float]:
+          label: str = "toxic") -> tuple[pd.Series, float]:
     """Mean weights and intercept of the classifiers; one task trains each.
 
     Only labels outside the held-out fold are read. Of labels that repeat an id the
@@ -171,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     )
     n_known, n_toxic = known.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_toxic:
-        return np.zeros(WEIGHTS), NONE_KNOWN
+        return _unlearnt(), NONE_KNOWN
     prior = n_toxic / n_known
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     texts = texts.where(~held_out(F.col("id")) & F.col("id").isNotNull())
@@ -194,7 +227,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays(
                 [batch.column("model"), batch.column("confirmed"),
                  pa.array([smallest_hashes(t) for t in texts], pa.list_(pa.int64())),
-                 pa.array([text_features(t) for t in texts], pa.list_(pa.int32()))],
+                 pa.array([text_features(t) for t in texts], pa.list_(pa.int64()))],
                 names=["model", "confirmed", "hashes", "features"])
 
     def fit(group: pa.Table) -> pa.Table:
@@ -205,15 +238,17 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         places = [i for side in (False, True) for i in _of(order, hashes, confirmed, side)]
         rows = [table.column("features")[i].values.to_numpy() for i in places]
         weights, bias = train(rows, confirmed[places], prior)
-        return pa.table({"weights": pa.array([weights.tolist()], pa.list_(pa.float64())), "bias": [bias]})
+        return pa.table({
+            "features": pa.array([weights.index.tolist()], pa.list_(pa.int64())),
+            "weights": pa.array([weights.tolist()], pa.list_(pa.float64())), "bias": [bias]})
 
     fitted = confirmed.union(unlabelled).mapInArrow(
-        prepare, "model int, confirmed boolean, hashes array<bigint>, features array<int>").groupBy(
-        "model").applyInArrow(fit, "weights array<double>, bias double").collect()
+        prepare, "model int, confirmed boolean, hashes array<bigint>, features array<bigint>").groupBy(
+        "model").applyInArrow(fit, "features array<bigint>, weights array<double>, bias double").collect()
     if not fitted:
-        return np.zeros(WEIGHTS), NONE_KNOWN
-    return (np.mean([np.array(r.weights) for r in fitted], axis=0),
-            float(np.mean([r.bias for r in fitted])))
+        return _unlearnt(), NONE_KNOWN
+    every = pd.concat([pd.Series(r.weights, np.array(r.features, np.int64), float) for r in fitted])
+    return every.groupby(level=0).sum() / len(fitted), float(np.mean([r.bias for r in fitted]))
 
 
 def _of(order: list[int], hashes: list[list[int]], confirmed: np.ndarray, side: bool) -> list[int]:
@@ -222,11 +257,12 @@ def _of(order: list[int], hashes: list[list[int]], confirmed: np.ndarray, side:
     return [mine[place] for place in different([hashes[i] for i in mine])]
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
+def scored(docs: DataFrame, model: tuple[pd.Series, float], text: str = "text",
            score: str = "score") -> DataFrame:
     """``docs`` with a column from 0 to 1, higher where a text is likelier toxic.
 
-    Every feature of the whole text counts once. A text without words, null too,
+    Every passage of the whole text is looked at, and the worst one gives the score; in it
+    each feature counts once. A text without words, null too,
     has the score of the intercept. A column named like ``score`` is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -238,9 +274,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
         for part in parts:
             sums = np.full(len(part), bias)
             for row, text in enumerate(part):
-                words = WORD.findall((text.as_py() or "").lower())
-                found = set(chain.from_iterable(filter(None, map(learnt.__getitem__, words))))
-                sums[row] += weights[sorted(found)].sum()
+                sums[row] += strongest(WORD.findall((text.as_py() or "").lower()), learnt)
             yield pa.array(1 / (1 + np.exp(-np.clip(sums, -700, 700))))
 
     return docs.withColumn(score, compute(F.col(text)))

@@ -59,6 +59,33 @@ def test_held_out_accuracy(spark):
     assert caught > 0.8 and wrong < 0.02
 
 
+def test_long_texts_of_clean_ones_stay_clean_and_hide_no_toxic_one(spark):
+    docs, labels = table(spark, MEDIUM, "documents"), table(spark, MEDIUM, "labels")
+    model = toxicity.learn(docs, labels)
+    found = toxicity.scored(docs.join(labels.select("doc_id", "toxic"), "doc_id"), model).collect()
+    clean = [r.text for r in found if not r.toxic and r.score < 0.5]
+    toxic = [r.text for r in found if r.score >= 0.5][:20]
+    rng = np.random.default_rng(3)
+    joined = [(n, " ".join(rng.choice(clean, n))) for n in (5, 20, 50, 100, 200) for _ in range(20)]
+    joined += [(0, " ".join([*rng.choice(clean, 50), bad, *rng.choice(clean, 50)])) for bad in toxic]
+    # Words that no text holds, so that only a collision could give them weight.
+    unseen = " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 9)) for _ in range(30_000))
+    judged = toxicity.scored(spark.createDataFrame([*joined, (1, unseen)], "n int, text string"), model).collect()
+    assert {r.n: sum(x.score >= 0.5 for x in judged if x.n == r.n) for r in judged} == {
+        0: len(toxic), 1: 0, 5: 0, 20: 0, 50: 0, 100: 0, 200: 0}
+
+
+def test_the_worst_passage_counts():
+    weighted = {toxicity.features(w)[0]: v for w, v in (("ab", 1.0), ("cd", 2.0), ("ef", 4.0))}
+    learnt = toxicity._Learnt(toxicity.pd.Series(weighted))
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 300, 3000):
+        words = list(rng.choice(["ab", "cd", "ef", "x"], n, p=[0.002, 0.002, 0.001, 0.995]))
+        plain = max((sum({f: learnt.weights[f] for w in words[i:i + toxicity.PASSAGE] for f in learnt[w]}.values())
+                     for i in range(n)), default=0)
+        assert toxicity.strongest(words, learnt) == plain
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     labels = table(spark, "/root/testdata/sf0.01", "labels")
