@@ -20,6 +20,8 @@ BUCKETS = 1 << 16
 TRUSTED = 50_000
 # The target starts from this many n-grams distributed like the raw corpus, so that n-grams
 # which few trusted texts could hold do not count against a document.
+# No score is below log(PRIOR / (T + PRIOR)) for T trusted n-grams: under about 42,400 of them
+# none reaches THRESHOLD, and the ratio rejects nothing.
 PRIOR = 4 * BUCKETS
 THRESHOLD = -0.15
 WINDOW = 8
