@@ -111,27 +111,31 @@ def test_observed_stage_counts_rows(spark):
 
 def test_greeting_is_routed(spark):
     registry = spark.createDataFrame(
-        [("GreetingService", "OldGreeting", 1), ("GreetingService", "Greeting", 2)], REGISTRY
+        [("GreetingService", "OldGreeting", 1, "greeting", ["String"]),
+         ("GreetingService", "Greeting", 2, "greeting", ["String"])], REGISTRY
     )
     requests = spark.createDataFrame(
-        [("GreetingService", "greeting", ["String"], ["ada"]), ("Missing", "greeting", [], ["bob"])],
+        [("GreetingService", "greeting", ["String"], ["juno"]), ("Missing", "greeting", [], ["bob"])],
         REQUESTS,
     )
-    routed = routing.route_requests(requests, registry, "service", F.col("args")[0])
+    bodies = {"Greeting": F.concat(F.lit(routing.GREETING), F.get("args", F.lit(0)))}
+    routed = routing.route_requests(requests, registry, bodies)
     assert rows(routed, "impl", "result", "error") == [
-        (None, None, "Missing not found"), ("Greeting", "hello ada", None)
+        (None, None, "Missing not found"), ("Greeting", "hello juno", None)
     ]
-    assert rows(routing.dead_letters(requests, registry, "service"), "service", "error") == [
+    assert rows(routing.dead_letters(requests, registry), "service", "error") == [
         ("Missing", "Missing not found")
     ]
 
 
 def test_large_registry_is_not_broadcast(spark):
+    none = F.array().cast("array<string>")
     registry = spark.range(300_000).select(
         F.col("id").cast("string").alias("service"), F.lit("x").alias("impl"),
-        F.lit(1).alias("seq"),
+        F.lit(1).alias("seq"), F.lit("m").alias("method"), none.alias("param_types"),
     )
-    requests = spark.createDataFrame([("7",), ("-1",)], "service STRING")
-    routed = routing.route_requests(requests, registry, "service", F.lit("a"))
+    requests = spark.createDataFrame([("7", "m"), ("-1", "m")], "service STRING, method STRING")
+    requests = requests.withColumns({"param_types": none, "args": none})
+    routed = routing.route_requests(requests, registry, {"x": F.lit("a")})
     assert "broadcast" not in routed._jdf.queryExecution().analyzed().toString().lower()
     assert rows(routed, "service", "impl") == [("-1", None), ("7", "x")]
