@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing, pii, quality, quotes, simhash, tiling, tokenfile, toxicity, urls, warc
+from queuelens.llm import packing, perfecthash, pii, quality, quotes, simhash, tiling, tokenfile, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -61,6 +61,13 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf, "documents"))
 
 
+def op13_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """The row of equal texts that stays; the lower half of the ids is the indexed history."""
+    documents = _table(spark, sf, "documents")
+    low, high = documents.agg(F.min("doc_id"), F.max("doc_id")).first()
+    return perfecthash.remove_repeats(documents, F.col("doc_id") <= ((low or 0) + (high or 0)) // 2)
+
+
 QUERIES = {
     "op1_quotes": op1_quotes,
     "op2_toxicity": op2_toxicity,
@@ -72,4 +79,5 @@ QUERIES = {
     "op8_tokens": op8_tokens,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op13_exact": op13_exact,
 }

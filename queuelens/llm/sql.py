@@ -84,4 +84,15 @@ ORACLE: dict[str, str] = {
             CASE WHEN page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN page_id <> largest THEN largest END AS refers_to
         FROM r""",
+    "op13_exact": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+                sha256(translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))
+                    AS text_sha256
+            FROM documents),
+        g AS (
+            SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+                row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id
+            FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id NULLS LAST))
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g""",
 }
