@@ -84,6 +84,34 @@ ORACLE: dict[str, str] = {
             CASE WHEN page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN page_id <> largest THEN largest END AS refers_to
         FROM r""",
+    "op12_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        i AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        c AS (SELECT count(*) FILTER (len(terms) > 0) AS docs, sum(len(terms))::BIGINT AS words FROM d),
+        t AS (
+            SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM d)
+            WHERE term IN (SELECT term FROM i) GROUP BY rid, term),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM t, c GROUP BY term, docs),
+        s AS (
+            SELECT item_id, rid, doc_id, sum(w * ((1000000000 * tf)
+                // (1000 * tf + 20 * (50 + (50 * len(terms) * docs) // words))))::BIGINT AS score
+            FROM i JOIN w USING (term) JOIN t USING (term) JOIN d USING (rid), c
+            GROUP BY item_id, rid, doc_id),
+        r AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, rid)
+                AS rank, doc_id, score
+            FROM s WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 50""",
     "op13_exact": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_chars,
