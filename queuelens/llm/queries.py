@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from queuelens.llm import packing, perfecthash, pii, quality, quotes, ranking, simhash, tiling, tokenfile, toxicity, urls, warc
+from queuelens.llm import (
+    alignment, packing, perfecthash, pii, quality, quotes, ranking, simhash, tiling, tokenfile, toxicity,
+    urls, warc,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -61,6 +64,11 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    return alignment.alignment(_table(spark, sf, "documents"))
+
+
 def op12_search(spark: SparkSession, sf: str) -> DataFrame:
     """The fifty best documents of every benchmark item."""
     return ranking.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
@@ -84,6 +92,7 @@ QUERIES = {
     "op8_tokens": op8_tokens,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
     "op12_search": op12_search,
     "op13_exact": op13_exact,
 }
