@@ -12,13 +12,17 @@ go to all executors, in a number with a bound, and the links of the others to a
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,6 +34,10 @@ BYTES_A, PIECES_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 ID_BITS = 20
 # Pairs of ids that are sent to all executors: the most frequent ones.
 SENT_PAIRS = 1_000_000
+# Kinds of bytes that tell where a text can be cut.
+LETTER, MARK, VISIBLE, SPACE, LINE = 1, 2, 4, 8, 16
+# Chunks of text whose ids a task remembers, and the bytes of the longest of them.
+REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
 # Bytes of text aligned at a time.
 AT_A_TIME = 1 << 20
 
@@ -46,8 +54,15 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+SPACE_LETTER = next(c for c, b in byte_letters().items() if b == ord(" "))
+
+
 class Tokenizers:
-    """Ids of a text by both tokenizers, and the bytes of each id."""
+    """Ids of a text by both tokenizers, and the bytes of each id.
+
+    A splits texts by the usual pattern of byte-level vocabularies; B has byte pieces and
+    leaves texts as they are, but for a space that it adds.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,6 +78,16 @@ class Tokenizers:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         if max(len(self.bytes_a), len(self.bytes_b)) > 1 << ID_BITS:
             raise ValueError(f"token ids must be below {1 << ID_BITS}")
+        # What the end of a line becomes, and the marks that no token of B has after a letter.
+        self.line = len(self.b.encode("\n"))
+        pieces = [p for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))
+                  if not self.b.is_byte(i)]
+        self.separable = not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
+        joined = {m for p in pieces for m in re.findall(r"(?<=[A-Za-z])[!-/:-@\[-`{-~]", p)} | {"'"}
+        self.kinds = np.array([
+            LETTER * c.isalpha() | MARK * (not c.isalnum() and c not in joined) | VISIBLE if "!" <= c <= "~"
+            else SPACE * (c == " ") | LINE * (c == "\n") for c in map(chr, range(256))], np.uint8)
+        self.known: dict[bytes, tuple[tuple[int, ...], tuple[int, ...]]] = {}
         self.sizes_a = np.array([len(t) for t in self.bytes_a])
         self.sizes_b = np.array([len(t) for t in self.bytes_b])
         # How an id is written: A before another A, A at the end of a group, and so for B.
@@ -75,16 +100,92 @@ class Tokenizers:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of each text by A and B; none if it is empty or they do not spell it."""
-        ids_a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = self.b.encode(texts, num_threads=1)
-        byte_a, byte_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        for n, text in enumerate(texts):
-            spelled = b" " + text.encode()
-            if not text or b"".join(map(byte_a, ids_a[n])) != spelled or b"".join(map(byte_b, ids_b[n])) != spelled:
-                ids_a[n], ids_b[n] = [], []
-        return ids_a, ids_b
+    def _ids_a(self, chunks: list[bytes]) -> list[list[int]]:
+        """The ids of each chunk by A; a word of letters goes straight to the merges."""
+        word = [c.isalpha() if c[:1] != b" " else c[1:].isalpha() for c in chunks]
+        rest = [c.decode() for c, plain in zip(chunks, word) if not plain]
+        others = iter(self.a.encode_batch(rest, add_special_tokens=False) if rest else ())
+        merge = self.a.model.tokenize
+        return [[t.id for t in merge(c.decode().replace(" ", SPACE_LETTER))] if plain else next(others).ids
+                for c, plain in zip(chunks, word)]
+
+    def _chunks(self, chunks: list[bytes]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+        """The ids of each chunk by A and B; none if they do not spell it."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = [c for c in chunks if c not in self.known]
+        # Behind the end of a line, B adds no space to a text.
+        ids_b = self.b.encode(["\n" + c.decode() for c in new], num_threads=1)
+        byte_a, byte_b, long = self.bytes_a.__getitem__, self.bytes_b.__getitem__, {}
+        for chunk, a, b in zip(new, self._ids_a(new), ids_b):
+            b = b[self.line:]
+            spelled = b"".join(map(byte_a, a)) == chunk == b"".join(map(byte_b, b))
+            kept_in = self.known if len(chunk) <= LONGEST_REMEMBERED else long
+            kept_in[chunk] = (tuple(a), tuple(b)) if spelled else ((), ())
+        return [self.known[c] if c in self.known else long[c] for c in chunks]
+
+    def _begins(self, raw: np.ndarray) -> np.ndarray:
+        """Where a chunk begins: both tokenizers end a token there, whatever else the text holds.
+
+        That is a single space before a visible ASCII character, a mark after an ASCII letter,
+        and either side of one line end between visible ASCII characters.
+        """
+        begins = np.zeros(len(raw), bool)
+        if self.separable:
+            kind = self.kinds[raw]
+            before, here, after = kind[:-1], kind[1:], np.append(kind[2:], 0)
+            line = ((before & VISIBLE) > 0) & ((here & LINE) > 0) & ((after & VISIBLE) > 0)
+            begins[1:] = (((here & SPACE) > 0) & ((before & SPACE) == 0) & ((after & VISIBLE) > 0)
+                          | ((before & LETTER) > 0) & ((here & MARK) > 0) | line)
+            begins[2:] |= line[:-1]
+        return begins
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, "Flat", "Flat"]:
+        """The places of the texts that both tokenizers spell, and their ids by A and B.
+
+        Texts are cut where both tokenizers are sure to end a token, and every chunk is encoded once.
+        """
+        having = np.flatnonzero(pc.binary_length(texts).to_numpy())
+        empty, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
+        spaced = pc.binary_join_element_wise(empty, texts.take(pa.array(having)), space).cast(pa.large_binary())
+        if not len(having):
+            return having, Flat.of([], having, having), Flat.of([], having, having)
+        _, offsets, data = spaced.buffers()
+        ends = np.frombuffer(offsets, np.int64)[spaced.offset:spaced.offset + len(spaced) + 1]
+        raw = np.frombuffer(data, np.uint8)[:ends[-1]]
+        begins = self._begins(raw)
+        begins[ends[:-1]] = True
+        at = np.append(np.flatnonzero(begins), ends[-1])
+        coded = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), data]).dictionary_encode()
+        each = coded.indices.to_numpy()
+        gc.disable()  # what is made here stays, and there is a lot of it
+        try:
+            found = self._chunks(coded.dictionary.to_pylist())
+        finally:
+            gc.enable()
+        first = np.searchsorted(at, ends[:-1])
+        spelled = np.logical_and.reduceat(np.fromiter((len(a) > 0 for a, _ in found), bool, len(found))[each], first)
+        counts = np.diff(np.append(first, len(each)))
+        each = each[np.repeat(spelled, counts)]
+        until = np.cumsum(counts[spelled])
+        return having[spelled], Flat.of([a for a, _ in found], each, until), Flat.of([b for _, b in found], each, until)
+
+
+@dataclass
+class Flat:
+    """The ids of several texts one after the other, and how many there are up to the end of each."""
+
+    ids: np.ndarray
+    until: np.ndarray
+
+    @staticmethod
+    def of(known: list[tuple[int, ...]], each: np.ndarray, until: np.ndarray) -> "Flat":
+        """Texts made of the chunks ``each``, of which ``until`` say where texts end."""
+        sizes = np.fromiter(map(len, known), np.int64, len(known))
+        ids = np.fromiter(chain.from_iterable(known), np.int64, int(sizes.sum()))
+        count = sizes[each]
+        ends = np.append(0, np.cumsum(count))
+        return Flat(ids[_ragged((np.cumsum(sizes) - sizes)[each], count)], ends[until])
 
 
 def _ragged(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -100,7 +201,7 @@ def _near_middle(ends_a: np.ndarray, ends_b: np.ndarray, low: np.ndarray, high:
     """
     middle = (low + high) // 2
     found = np.full(len(low), -1)
-    left, reach = np.arange(len(low)), 1
+    left, reach = np.arange(len(low)), 0
     while len(left):
         first = np.maximum(low[left], middle[left] - reach)
         last = np.minimum(high[left], middle[left] + reach + 1)
@@ -114,7 +215,7 @@ def _near_middle(ends_a: np.ndarray, ends_b: np.ndarray, low: np.ndarray, high:
         hit = best < np.iinfo(np.int64).max
         found[left[hit]] = middle[left[hit]] + np.where(best[hit] & 1, -(best[hit] >> 1), best[hit] >> 1)
         whole = (first == low[left]) & (last == high[left])
-        left, reach = left[~hit & ~whole], 4 * reach
+        left, reach = left[~hit & ~whole], 4 * reach + 1
     return found
 
 
@@ -163,14 +264,15 @@ class Aligned:
         Between two neighbouring ends of either side lies one token of A and one of B, and
         every linked pair of tokens overlaps in one such stretch.
         """
-        ends = np.union1d(self.ends_a, self.ends_b)
+        of_b = np.ones(len(self.ends_b), bool)
+        of_b[self.groups_b] = False  # A ends there too
+        ends = np.sort(np.concatenate([self.ends_a, self.ends_b[of_b]]))
         a, b = np.searchsorted(self.ends_a, ends), np.searchsorted(self.ends_b, ends)
         text = np.searchsorted(self.texts_a, a, "right")
-        pair = (self.ids_a[a] << ID_BITS) | self.ids_b[b]
-        order = np.lexsort((pair, text))
-        text, pair = text[order], pair[order]
-        new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])))
-        return text[new], pair[new], np.diff(np.append(new, len(pair)))
+        both = np.sort(text << 2 * ID_BITS | self.ids_a[a] << ID_BITS | self.ids_b[b])
+        new = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        times = np.diff(np.append(new, len(both)))
+        return both[new] >> 2 * ID_BITS, both[new] & (1 << 2 * ID_BITS) - 1, times
 
     def spelled(self, written: list[bytes], n_a: int, n_b: int) -> list[bytes]:
         """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
@@ -185,15 +287,12 @@ class Aligned:
         return [b"".join(map(write, shown[x:y]))[:-1] for x, y in zip(ends, ends[1:])]
 
 
-def align(ids_a: list[list[int]], ids_b: list[list[int]], sizes_a: np.ndarray, sizes_b: np.ndarray) -> Aligned:
+def align(a: Flat, b: Flat, sizes_a: np.ndarray, sizes_b: np.ndarray) -> Aligned:
     """The groups of texts that have tokens."""
-    texts_a, texts_b = (np.cumsum([len(i) for i in ids]) for ids in (ids_a, ids_b))
-    all_a, all_b = (np.fromiter((i for text in ids for i in text), np.int64, int(n[-1]))
-                    for ids, n in ((ids_a, texts_a), (ids_b, texts_b)))
-    ends_a, ends_b = np.cumsum(sizes_a[all_a]), np.cumsum(sizes_b[all_b])
-    groups_a, groups_b = common_ends(ends_a, ends_b, texts_a, texts_b)
-    return Aligned(all_a, all_b, ends_a, ends_b, texts_a, texts_b, groups_a, groups_b,
-                   np.searchsorted(groups_a, texts_a))
+    ends_a, ends_b = np.cumsum(sizes_a[a.ids]), np.cumsum(sizes_b[b.ids])
+    groups_a, groups_b = common_ends(ends_a, ends_b, a.until, b.until)
+    return Aligned(a.ids, b.ids, ends_a, ends_b, a.until, b.until, groups_a, groups_b,
+                   np.searchsorted(groups_a, a.until))
 
 
 def _paths(a: str | None, b: str | None) -> tuple[str, str]:
@@ -202,15 +301,13 @@ def _paths(a: str | None, b: str | None) -> tuple[str, str]:
 
 def _aligned(batch: pa.RecordBatch, tokenizers: Tokenizers):
     """The places in ``batch`` of texts that have tokens, and these aligned (None if none has)."""
-    ids_a, ids_b = tokenizers.encode(strings(batch).to_pylist())
-    having = [n for n, ids in enumerate(ids_a) if ids]
-    if not having:
+    having, a, b = tokenizers.encode(strings(batch))
+    if not len(having):
         return having, None
-    return having, align([ids_a[n] for n in having], [ids_b[n] for n in having],
-                         tokenizers.sizes_a, tokenizers.sizes_b)
+    return having, align(a, b, tokenizers.sizes_a, tokenizers.sizes_b)
 
 
-def _lists(having: list[int], rows: int, sizes: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+def _lists(having: np.ndarray, rows: int, sizes: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
     """One list for each of ``rows`` rows; those not in ``having`` are empty."""
     counts = np.zeros(rows, np.int64)
     counts[having] = sizes

@@ -88,6 +88,20 @@ def test_counts_however_many_pairs_are_sent(spark, sent):
     check(spark, docs, sent=sent)
 
 
+def test_chunks_give_the_ids_of_whole_texts():
+    rng = random.Random(8)
+    letters = [" ", " ", "  ", "a", "B", "the", "é", "日", "\n", "\t", "1", "'", "s", "-", ".", "▁", "<s>", "\x00", "ä ", " \u3000"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
+    tokenizers = alignment.Tokenizers(*alignment._paths(None, None))
+    import pyarrow as pa
+    having, a, b = tokenizers.encode(pa.array(texts, pa.large_string()))
+    for flat, side in ((a, 0), (b, 1)):
+        split = np.split(flat.ids, flat.until)[:-1]
+        found = dict(zip(having.tolist(), map(np.ndarray.tolist, split)))
+        for n, text in enumerate(texts):
+            assert found.get(n, []) == plain_doc(text)[side], repr(text)
+
+
 def test_divide_and_conquer_finds_all_common_ends():
     rng = np.random.default_rng(0)
     for share in (0.02, 0.3, 0.9):
