@@ -60,10 +60,33 @@ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period_start, {snapshot('late
 FROM {LATENCY} GROUP BY 1
 """
 
-ORACLE["latency_cumulative"] = f"""
-WITH days AS (SELECT DISTINCT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period_start FROM events)
-SELECT period_start, {statistics('latency_ms', 2)}
-FROM days JOIN {LATENCY} ON ts < period_start + INTERVAL 1 DAY
+
+
+def cumulative(rows: str, step: str, start: str) -> str:
+    """Snapshots of all rows up to the end of each period, also of those without a row."""
+    quantiles = ", ".join(
+        f"round(quantile_cont(latency_ms, {q}), 3) AS {name}" for name, q in QUANTILES.items())
+    return f"""
+WITH ends AS (SELECT min({start}) AS lo, max({start}) AS hi FROM {rows}),
+periods AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL {step})) AS TIMESTAMP) AS period_start FROM ends)
+SELECT period_start, {statistics('latency_ms', 2)}, {quantiles}
+FROM periods JOIN {rows} ON ts < period_start + INTERVAL {step}
+GROUP BY period_start
+"""
+
+
+ORACLE["latency_cumulative"] = cumulative(LATENCY, "1 DAY", "CAST(date_trunc('day', ts) AS TIMESTAMP)")
+
+WORKING = f"(SELECT * FROM {LATENCY} WHERE isodow(ts) < 6)"
+QUARTER = "time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01')"
+
+ORACLE["quiet_cumulative"] = cumulative(WORKING, "6 HOURS", QUARTER)
+
+ORACLE["quiet_tumbling"] = f"""
+WITH ends AS (SELECT min({QUARTER}) AS lo, max({QUARTER}) AS hi FROM {WORKING}),
+periods AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 6 HOURS)) AS TIMESTAMP) AS period_start FROM ends)
+SELECT period_start, {snapshot('latency_ms')}
+FROM periods LEFT JOIN {WORKING} ON {QUARTER} = period_start
 GROUP BY period_start
 """
 

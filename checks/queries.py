@@ -59,6 +59,10 @@ def rounded_snapshot(df: DataFrame) -> DataFrame:
     return rounded(df, 3, "mean", "stddev", "p50", "p75", "p95", "p98", "p99", "p999")
 
 
+def rounded_cumulative(df: DataFrame) -> DataFrame:
+    return rounded(rounded(df, 2, "mean", "stddev"), 3, "p50", "p75", "p95", "p98", "p99", "p999")
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
     return event_source(spark, f"{sf}/events.parquet")
 
@@ -113,7 +117,22 @@ def latency_tumbling(spark, sf):
 
 @query
 def latency_cumulative(spark, sf):
-    return rounded(ev.latency_cumulative(latencies(spark, sf), "1 day"), 2, "mean", "stddev")
+    return rounded_cumulative(ev.latency_cumulative(latencies(spark, sf), "1 day"))
+
+
+def weekdays(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of working days only, so that whole days pass without one."""
+    return latencies(spark, sf).where(F.weekday("ts") < 5)
+
+
+@query
+def quiet_tumbling(spark, sf):
+    return rounded_snapshot(ev.latency_tumbling(weekdays(spark, sf), "6 hours"))
+
+
+@query
+def quiet_cumulative(spark, sf):
+    return rounded_cumulative(ev.latency_cumulative(weekdays(spark, sf), "6 hours"))
 
 
 @query

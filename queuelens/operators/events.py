@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from queuelens.functions.times import millis_between
 from queuelens.plans.joins import broadcast_if_small, join_on_key, with_key_values
 from queuelens.plans.ordered import running
-from queuelens.plans.snapshots import COUNT, snapshot, snapshot_of_counts, value_counts
+from queuelens.plans.prefixes import prefix_quantiles
+from queuelens.plans.snapshots import COUNT, QUANTILES, snapshot, snapshot_of_counts, value_counts
 from queuelens.session import cut_lineage
 
 MS_PER_HOUR = 3_600_000.0
@@ -81,24 +82,37 @@ def with_period(df: DataFrame, period: str, ts: str = "ts") -> DataFrame:
     return df.withColumn("period_start", F.window(ts, period)["start"])
 
 
+def every_period(found: DataFrame, period: str) -> DataFrame:
+    """All periods from the first to the last ``period_start`` of ``found``, in one column.
+
+    There is a row for each of them, so choose a period that suits the time the events span.
+    """
+    ends = found.agg(F.min("period_start").alias("first"), F.max("period_start").alias("last"))
+    return ends.select(F.explode(F.sequence("first", "last", F.expr(f"INTERVAL {period}"))).alias("period_start"))
+
+
 def latency_tumbling(df: DataFrame, period: str, ts: str = "ts", value: str = "latency_ms",
                      approx: bool = False, hot_rows: int | None = None) -> DataFrame:
-    """One histogram snapshot per reporting period."""
-    return snapshot(with_period(df, period, ts), ["period_start"], value,
-                    approx=approx, hot_rows=hot_rows)
+    """One histogram snapshot per reporting period; periods between without an event have n = 0."""
+    found = cut_lineage(snapshot(with_period(df, period, ts), ["period_start"], value,
+                                 approx=approx, hot_rows=hot_rows))
+    rows = join_on_key(every_period(found, period), found, ["period_start"], "left")
+    return rows.withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
 
 
 def latency_cumulative(df: DataFrame, period: str, ts: str = "ts", value: str = "latency_ms",
                        hot_rows: int | None = None) -> DataFrame:
     """Snapshot since the start at the end of each period; nothing is reset.
 
-    Periods are reduced to mergeable moments first; only those are accumulated. Their
-    means are centred on the mean of all, as squares of large values would cancel.
+    There is a row for every period from the first to the last with a value; one without
+    carries the snapshot before it. Quantiles are exact. For the rest, periods are reduced to
+    mergeable moments first; only those are accumulated. Their means are centred on the mean
+    of all, as squares of large values would cancel.
     """
     amount = F.col(value).cast("double")
+    rows = with_period(df, period, ts).select("period_start", value)
     moments = cut_lineage(
-        with_period(df, period, ts)
-        .groupBy("period_start")
+        rows.groupBy("period_start")
         .agg(
             F.count(value).alias("__n"),
             F.sum(amount).alias("__sum"),
@@ -109,25 +123,30 @@ def latency_cumulative(df: DataFrame, period: str, ts: str = "ts", value: str =
         .where("__n > 0")
     )
     centre = moments.agg(F.sum("__sum") / F.sum("__n")).scalar()
-    moments = moments.withColumn("__centre", centre)
+    quantiles = cut_lineage(prefix_quantiles(rows, "period_start", value, QUANTILES))
+    every = join_on_key(every_period(moments, period), moments, ["period_start"], "left").withColumns({
+        "__centre": centre, "__active": F.when(F.col("__n").isNotNull(), F.col("period_start"))})
     off = F.col("__sum") / F.col("__n") - F.col("__centre")
     so_far = running(
-        moments, [], ["period_start"],
+        every, [], ["period_start"],
         {
             "n": ("sum", F.col("__n")),
             "min": ("min", F.col("__min")),
             "max": ("max", F.col("__max")),
             "__total": ("sum", F.col("__n") * off),
             "__spread": ("sum", F.col("__within") + F.col("__n") * off * off),
+            "__as_of": ("max", F.col("__active")),
         },
         hot_rows=hot_rows,
     )
     squares = F.col("__spread") - F.col("__total") * F.col("__total") / F.col("n")
-    return so_far.select(
+    known = quantiles.withColumnRenamed("period_start", "__as_of")
+    return join_on_key(so_far, broadcast_if_small(known), ["__as_of"], "left").select(
         "period_start", "n", "min", "max",
         (F.col("__centre") + F.col("__total") / F.col("n")).alias("mean"),
         F.when(F.col("n") > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (F.col("n") - 1)))
         .alias("stddev"),
+        *QUANTILES,
     )
 
 
