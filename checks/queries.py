@@ -544,9 +544,8 @@ def stream_distinct(spark, sf):
 
 @query
 def stream_nth_event(spark, sf):
-    log, path = events_streamed(spark, sf), shared_path(spark, "stream_nth_event")
-    stream.start_nth_event(log, ["user_id"], 5, path).awaitTermination()
-    return stream.stored_nth_events(log, ["user_id"], path)
+    reached = stream.stream_nth_event(events_streamed(spark, sf), ["user_id"], 5)
+    return append_all(reached, shared_path(spark, "stream_nth_event"))
 
 
 @query

@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHIPPED = "_queuelens_shipped"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -67,6 +70,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of all executors, once per application.
+
+    Functions that run in workers import their helpers from it. Not needed where it is
+    installed on every machine or given by ``--py-files``.
+    """
+    context = spark.sparkContext
+    if getattr(context, SHIPPED, False):
+        return
+    root, shared = Path(__file__).resolve().parent, f"{shared_path(spark, 'code')}/queuelens.zip"
+    with tempfile.TemporaryDirectory(prefix="queuelens-") as folder:
+        packed = f"{folder}/queuelens.zip"
+        with zipfile.ZipFile(packed, "w") as archive:
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, file.relative_to(root.parent))
+        local, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"file://{packed}", shared))
+        files = target.getFileSystem(context._jsc.hadoopConfiguration())
+        files.copyFromLocalFile(local, target)
+    context.addPyFile(shared)
+    setattr(context, SHIPPED, True)
+
+
 def require_utc(spark: SparkSession) -> None:
     """Streaming windows cast zone-free times to instants, which is exact in UTC only."""
     zone = spark.conf.get("spark.sql.session.timeZone")

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from queuelens.functions.times import millis_between_instants
 from queuelens.operators.events import event_latency
 from queuelens.operators.logs import log_level_filter, log_parse, unparsed, with_log_date
 from queuelens.operators.routing import route_requests
-from queuelens.plans.joins import join_on_key
-from queuelens.plans.ordered import first_rows
 from queuelens.plans.snapshots import COUNT, QUANTILES, snapshot_of_counts
-from queuelens.session import cut_lineage, require_utc
-from queuelens.streaming.sinks import REPORT_PERIOD, start_complete, triggered
+from queuelens.session import require_utc
+from queuelens.streaming.sinks import REPORT_PERIOD, start_complete
 
 
 def _as_instant(df: DataFrame, ts: str) -> DataFrame:
@@ -66,46 +66,60 @@ def stream_distinct(events: DataFrame, row_id: str, lateness: str, ts: str = "ts
     return kept.withColumn(ts, F.col(ts).cast(events.schema[ts].dataType))
 
 
-def start_nth_event(events: DataFrame, key: Sequence[str], n: int, path: str,
-                    row_id: str = "event_id", ts: str = "ts",
-                    period: str | None = None) -> StreamingQuery:
-    """Write the event at which the count of its key reaches ``n``, once per key.
+# Parts of a key that count on their own before the key does.
+SALTS = 16
+SEEN = "seen BIGINT"
+# Keys travel as text, as pandas would turn whole numbers next to nulls into inexact ones.
+EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
 
-    Micro-batches count in arrival order, rows of one micro-batch in (ts, id) order. How
-    often a key was seen is stored beside the rows, as one count per key and micro-batch
-    up to ``n``; a key that has fired adds no more. A micro-batch that runs again after a
-    crash reads only what came before it, and replaces what it wrote.
+
+def _counter(n: int, order: list[str], only_last: bool) -> StatefulProcessor:
+    """Counts the rows of a group, and passes on the first ``n`` of all, or the n-th."""
+
+    class Counter(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.seen = handle.getValueState("seen", SEEN)
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            before = self.seen.get()[0] if self.seen.exists() else 0
+            first, count = None, 0
+            for batch in rows:
+                count += len(batch)
+                if before < n:
+                    both = batch if first is None else pd.concat([first, batch])
+                    first = both.sort_values(order).head(n - before)
+            if before < n and first is not None:
+                self.seen.update((min(n, before + count),))
+                yield first.iloc[n - before - 1:] if only_last else first
+
+        def close(self) -> None:
+            pass
+
+    return Counter()
+
+
+def stream_nth_event(events: DataFrame, key: Sequence[str], n: int, row_id: str = "event_id",
+                     ts: str = "ts") -> DataFrame:
+    """The event at which the count of its key reaches ``n``, once per key, for append mode.
+
+    Micro-batches count in arrival order, rows of one micro-batch in (ts, id) order; both
+    must not be null. The state is one count per key (and per part of a key, so that a hot
+    one is counted in several tasks) which stops at ``n``: what a trigger costs does not
+    depend on earlier ones, and a key that has fired passes nothing on.
     """
     key = list(key)
-    spark = events.sparkSession
-    rows = events.select(*key, ts, row_id)
-    seen_schema = StructType([*[rows.schema[k] for k in key], StructField("seen", LongType()),
-                              StructField("batch_id", LongType())])
-
-    def fire(batch: DataFrame, batch_id: int) -> None:
-        first = cut_lineage(first_rows(batch, key, [ts, row_id], n, "__place"))
-        before = spark.read.schema(seen_schema).parquet(f"{path}/seen").where(
-            F.col("batch_id") < batch_id).groupBy(*key).agg(F.sum("seen").alias("__seen"))
-        joined = join_on_key(first, before, key, "left").withColumn(
-            "__seen", F.coalesce("__seen", F.lit(0)))
-        reached = joined.where(F.col("__seen") + F.col("__place") == n)
-        reached.select(rows.columns).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        grown = joined.where(F.col("__seen") < n).groupBy(*key).agg(
-            F.least(F.count("*"), n - F.max("__seen")).alias("seen"))
-        grown.write.mode("overwrite").parquet(f"{path}/seen/batch_id={batch_id}")
-
-    # An empty first part gives the readers a folder to read.
-    spark.createDataFrame([], StructType(seen_schema.fields[:-1])).write.mode("overwrite").parquet(
-        f"{path}/seen/batch_id=-1")
-    writer = rows.writeStream.foreachBatch(fire).option("checkpointLocation", f"{path}/progress")
-    return triggered(writer, period).start()
-
-
-def stored_nth_events(events: DataFrame, key: Sequence[str], path: str,
-                      row_id: str = "event_id", ts: str = "ts") -> DataFrame:
-    """What ``start_nth_event`` has written below ``path``."""
-    schema = events.select(*key, ts, row_id).schema
-    return events.sparkSession.read.schema(schema).parquet(f"{path}/rows").select(schema.names)
+    rows = _as_instant(events, ts)
+    as_text = F.to_json(F.struct(*key), EXACT_TIMES)
+    narrow = rows.select(as_text.alias("nth_key"), F.unix_micros(ts).alias("nth_micros"), row_id,
+                         F.pmod(F.xxhash64(ts, row_id), F.lit(SALTS)).alias("nth_salt"))
+    for by, only_last in ((["nth_key", "nth_salt"], False), (["nth_key"], True)):
+        narrow = narrow.groupBy(*by).transformWithStateInPandas(
+            _counter(n, ["nth_micros", row_id], only_last), narrow.schema, "append", "none")
+    kinds = events.select(*key).schema
+    back = F.from_json("nth_key", kinds, EXACT_TIMES)
+    time = F.timestamp_micros("nth_micros").cast(events.schema[ts].dataType)
+    return narrow.select(back.alias("k"), time.alias(ts), row_id).select("k.*", ts, row_id)
 
 
 def stream_routing(requests: DataFrame, registry: DataFrame,
@@ -140,6 +154,16 @@ def stream_log_rejects(spark: SparkSession, folder: str,
     return unparsed(stream_log_lines(spark, folder, files_per_trigger))
 
 
+def with_clock(events: DataFrame, per_second: int = 1) -> DataFrame:
+    """``events`` with rows of nulls that a clock adds, so that a quiet stream still has micro-batches.
+
+    Only for queries with a period; a query over the available input would wait for the clock.
+    """
+    ticks = events.sparkSession.readStream.format("rate").option("rowsPerSecond", per_second).load()
+    return events.unionByName(ticks.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema]))
+
+
 def latency_counts(events: DataFrame, as_of: Column, ts: str = "ts") -> DataFrame:
     """Events per latency over everything seen so far; a report is made of these."""
     return event_latency(events, as_of, ts).where(F.col("latency_ms").isNotNull()).groupBy(
@@ -159,5 +183,8 @@ def latency_report_schema() -> StructType:
 
 def periodic_report(counts: DataFrame, path: str,
                     period: str | None = REPORT_PERIOD) -> StreamingQuery:
-    """Write a report at a fixed wall-clock pace; ``None`` handles all input and stops."""
+    """Write a report at a fixed wall-clock pace; ``None`` handles all input and stops.
+
+    A pace needs counts of events ``with_clock``, or periods without an event have no report.
+    """
     return start_complete(counts, path, period, finish=latency_report)

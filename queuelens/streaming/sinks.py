@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 # How often a report is emitted (fixed value).
 REPORT_PERIOD = "1 second"
@@ -31,32 +31,47 @@ def start_complete(df: DataFrame, path: str, period: str | None = None,
                    finish: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Store the current result, or what ``finish`` makes of it, at every trigger.
 
-    Each result gets a folder of its own, so readers never see a gap and a crash leaves
-    the one before. Folders older than the one before go.
+    Each result gets a folder of its own, and a mark once all of it is written; readers take
+    the newest marked one, so they see neither a gap nor half a result, and a crash leaves the
+    one before. Folders older than the one before go.
     """
 
     def replace(result: DataFrame, batch_id: int) -> None:
         done = finish(result) if finish else result
+        spark = result.sparkSession
         done.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        delete_folder(result.sparkSession, f"{path}/rows/batch_id={batch_id - 2}")
+        _files(spark, f"{path}/complete", lambda files, folder: files.create(folder.suffix(f"/{batch_id}"), True).close())
+        delete_folder(spark, f"{path}/rows/batch_id={batch_id - 2}")
+        delete_folder(spark, f"{path}/complete/{batch_id - 2}")
 
     writer = df.writeStream.outputMode("complete").foreachBatch(replace)
     writer = writer.option("checkpointLocation", f"{path}/progress")
     return triggered(writer, period).start()
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared file system, if it is there."""
+def _files(spark: SparkSession, path: str, use: Callable):
+    """What ``use`` makes of a folder of the shared file system and its address."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return use(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of the shared file system, if it is there."""
+    _files(spark, path, lambda files, folder: files.delete(folder, True))
+
+
+def newest_complete(spark: SparkSession, path: str) -> int | None:
+    """The number of the newest result below ``path`` that is whole, or None."""
+    marks = _files(spark, f"{path}/complete", lambda files, folder: files.globStatus(folder.suffix("/*")))
+    return max((int(mark.getPath().getName()) for mark in marks or ()), default=None)
 
 
 def stored_complete(schema: StructType, spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete result that a query has written below ``path``."""
-    batches = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())]))
-    rows = batches.parquet(f"{path}/rows")
-    newest = rows.agg(F.max("batch_id")).scalar()
-    return rows.where(F.col("batch_id") == newest).select(schema.names)
+    """The newest whole result that a query has written below ``path``; empty if there is none."""
+    newest = newest_complete(spark, path)
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/rows/batch_id={newest}")
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

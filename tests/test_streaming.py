@@ -1,5 +1,8 @@
 """Streams over several files equal their batch twins, also after a restart."""
 
+import time
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from queuelens.sources.schemas import EVENTS, REGISTRY
 from queuelens.sources.tables import event_stream, table
 from queuelens.streaming import operators as stream
 from queuelens.streaming.sinks import (
-    append_all, complete_all, start_append, start_complete, stored, stored_complete,
+    append_all, complete_all, newest_complete, start_append, start_complete, stored, stored_complete,
 )
 from tests.conftest import SMALL
 from tests.helpers import rows, same
@@ -72,8 +75,7 @@ def test_restart_continues_exactly_once(spark, events, out):
 
 
 def nth_events(log, key, n, path):
-    stream.start_nth_event(log, key, n, path).awaitTermination()
-    return stream.stored_nth_events(log, key, path)
+    return append_all(stream.stream_nth_event(log, key, n), path)
 
 
 def test_nth_event(events, source, out):
@@ -82,6 +84,23 @@ def test_nth_event(events, source, out):
     assert same(reached, batch.select(*reached.columns))
 
 
+def test_nth_event_state_stops_growing(spark, events, out):
+    """Counts are all that is kept: as many after five files as after one, and keys that fired stay silent."""
+    folder, sizes = shared_path(spark, "counted-input"), []
+    for low in range(0, 1000, 200):
+        write_slice(events, folder, low, low + 200)
+        log = stream.stream_nth_event(event_stream(spark, folder), ["event_type"], 3)
+        query = start_append(log, out)
+        query.awaitTermination()
+        state = query.lastProgress.stateOperators
+        sizes.append(([o.numRowsTotal for o in state], [o.numRowsUpdated for o in state]))
+    kinds = events.select("event_type").distinct().count()
+    assert all(total[-1] <= kinds * stream.SALTS and min(total) <= kinds for total, _ in sizes)
+    assert sizes[-1][0] == sizes[-2][0] and min(sizes[-1][1]) == 0
+    batch = triggers.nth_event(events, ["event_type"], ["ts", "event_id"], 3)
+    assert same(stored(log, out), batch.select(*log.columns))
+
+
 def odd_events(events):
     """Keys of two columns, with nulls and ids that a double cannot hold."""
     number = F.col("event_id")
@@ -216,15 +235,38 @@ def test_log_etl(spark, events, out):
 
 
 def test_periodic_report_is_emitted_by_the_clock(spark, events, source, out):
-    query = stream.periodic_report(stream.latency_counts(source, ntz(AS_OF)), out, "1 second")
+    """Reports go on a second apart when all events have been read."""
+    log = stream.with_clock(source)
+    query = stream.periodic_report(stream.latency_counts(log, ntz(AS_OF)), out, "1 second")
     try:
-        query.processAllAvailable()
+        end = time.time() + 90
+        while time.time() < end and (newest_complete(spark, out) or 0) < 8:
+            time.sleep(0.5)
+        progress = [p for p in query.recentProgress if p.batchId >= 5]
     finally:
         query.stop()
+    starts = [datetime.fromisoformat(p.timestamp) for p in progress]
+    assert len(starts) > 2 and all(b - a >= timedelta(seconds=0.9) for a, b in zip(starts, starts[1:]))
     report = stored_complete(stream.latency_report_schema(), spark, out).first()
     batch = ev.latency_summary(ev.event_latency(events, ntz(AS_OF))).first()
     assert (report.n, report.p50, report.p999) == (events.count(), batch.p50, batch.p999)
 
 
+def test_readers_see_whole_results_only(spark, events, source, out):
+    counts = complete_all(stream.stream_counts(source, ["user_id"]), out)
+    newest = newest_complete(spark, out)
+    counts.limit(1).write.parquet(f"{out}/rows/batch_id={newest + 1}")  # a result that was never finished
+    assert same(stored_complete(counts.schema, spark, out), events.groupBy("user_id").agg(F.count("*").alias("n")))
+    assert stored_complete(counts.schema, spark, f"{out}-none").collect() == []
+
+
+def test_an_empty_result_replaces_the_one_before(spark, source, out):
+    """A result that filters everything out is the current one, however full the one before was."""
+    few = stream.stream_counts(source, ["user_id"])
+    start_complete(few, out, finish=lambda df: df.where(F.col("n") < 5)).awaitTermination()
+    found = stored_complete(few.schema, spark, out)
+    assert found.isEmpty() and found.columns == ["user_id", "n"]
+
+
 def test_schema_is_fixed(source):
     assert source.sparkSession.createDataFrame([], EVENTS).schema == source.schema
