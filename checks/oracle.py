@@ -92,7 +92,7 @@ GROUP BY period_start
 
 DECAY = f"""
     SELECT event_type, value,
-           exp(-0.015 * {millis('ts', '(SELECT max(ts) FROM events)')} / 3600000.0) AS w
+           exp(-0.015 * (epoch_us((SELECT max(ts) FROM events)) - epoch_us(ts)) / 3600000000.0) AS w
     FROM events
 """
 
@@ -102,8 +102,8 @@ sums AS (
     SELECT event_type, sum(w) AS weight, sum(w * value) / sum(w) AS mean
     FROM weighted GROUP BY event_type
 )
-SELECT event_type, round(weight, 4) AS weight, round(mean, 4) AS "mean",
-       round(sqrt(sum(w * (value - mean) * (value - mean)) / weight), 4) AS "stddev"
+SELECT event_type, round(weight, 6) AS weight, round(mean, 6) AS "mean",
+       round(sqrt(sum(w * (value - mean) * (value - mean)) / weight), 6) AS "stddev"
 FROM weighted JOIN sums USING (event_type)
 GROUP BY event_type, weight, mean
 """
@@ -124,6 +124,39 @@ SELECT event_type, min(bucket) AS bucket, CAST(min(bucket) * 10 AS DOUBLE) AS lo
 FROM upto WHERE upto >= 0.5 * total GROUP BY event_type
 """
 
+RESERVOIR = f"""
+random AS (
+    SELECT event_type, event_id, ts, value,
+           (CAST('0x' || substring(md5(CAST(event_id AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u,
+           0.015 * {millis('ts', 'max(ts) OVER (PARTITION BY event_type)')} / 3600000.0 AS age
+    FROM events
+),
+sample AS (
+    SELECT event_type, event_id, ts, value, exp(-age) AS weight FROM random
+    QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ln(-ln(u)) + age, event_id) <= 1028
+)
+"""
+
+ORACLE["decaying_reservoir"] = (
+    f"WITH {RESERVOIR} SELECT * REPLACE (round(weight, 6) AS weight) FROM sample")
+
+ORACLE["reservoir_snapshot"] = f"""
+WITH {RESERVOIR},
+shares AS (
+    SELECT *, weight / sum(weight) OVER (PARTITION BY event_type) AS share FROM sample
+),
+upto AS (
+    SELECT *, coalesce(sum(share) OVER (PARTITION BY event_type ORDER BY value, event_id
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+           sum(share * value) OVER (PARTITION BY event_type) AS centre
+    FROM shares
+)
+SELECT event_type, count(value) AS n, min(value) AS "min", max(value) AS "max",
+       round(any_value(centre), 6) AS "mean", round(sqrt(sum(share * (value - centre) ** 2)), 6) AS "stddev",
+       {', '.join(f"max(value) FILTER (before <= {q}) AS {name}" for name, q in QUANTILES.items())}
+FROM upto GROUP BY event_type
+"""
+
 ORACLE["replay_latency"] = f"""
 WITH days AS (
     SELECT o_orderpriority,
@@ -348,6 +381,24 @@ SELECT a.held AS "first", a.wanted AS "second", a.n AS n_forward, b.n AS n_backw
 FROM edges a JOIN edges b ON a.held = b.wanted AND a.wanted = b.held AND a.held < a.wanted
 """
 
+ORACLE["lock_order_cycles"] = """
+WITH RECURSIVE steps AS (
+    SELECT event_type || '-' || (user_id % 4) AS wanted,
+           lag(event_type || '-' || (user_id % 4)) OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS held
+    FROM events
+),
+edges AS (
+    SELECT held, wanted FROM steps WHERE held IS NOT NULL AND held <> wanted
+    GROUP BY held, wanted HAVING held < wanted OR count(*) % 5 = 0
+),
+reach AS (
+    SELECT held AS a, wanted AS b FROM edges
+    UNION SELECT reach.a, edges.wanted FROM reach JOIN edges ON reach.b = edges.held
+)
+SELECT r.a AS resource, max(r.b) AS cycle, count(*) AS size
+FROM reach r JOIN reach s ON r.a = s.b AND r.b = s.a GROUP BY r.a
+"""
+
 TURNS = "SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS turn FROM documents"
 
 ORACLE["fair_interleave"] = TURNS
@@ -407,6 +458,33 @@ routed AS (
 
 ORACLE["route_requests"] = f"WITH {ROUTED} SELECT * FROM routed"
 
+ORACLE["route_requests_as_of"] = """
+WITH requests AS (
+    SELECT event_id, user_id, ts, CASE WHEN event_id % 97 <> 0 THEN event_type END AS service,
+           CASE WHEN event_id % 11 = 0 THEN 'part' ELSE 'greet' END AS method,
+           CASE WHEN event_id % 13 = 0 THEN 'string,int' ELSE 'string' END AS types
+    FROM events
+),
+registered AS (
+    SELECT service, TIMESTAMP '2024-01-03 12:00:00' + INTERVAL (5 * (seq - 1)) DAY AS at, name, methods, answer
+    FROM (VALUES ('click', 1, 'ClickImpl', ['greet(string)'], 'hello %s'),
+                 ('view', 2, 'OldViewImpl', ['greet(string)', 'part(string)'], 'wait'),
+                 ('view', 3, 'ViewImpl', ['greet(string)'], 'hello %s, have a look'),
+                 ('purchase', 4, 'PurchaseImpl', ['greet(string)', 'greet(string,int)'], 'hello %s, thank you')
+    ) AS r(service, seq, name, methods, answer)
+),
+looked_up AS (
+    SELECT q.*, name, answer, coalesce(list_contains(methods, method || '(' || types || ')'), false) AS found
+    FROM requests q ASOF LEFT JOIN registered r ON q.service = r.service AND q.ts >= r.at
+)
+SELECT event_id, user_id, service, method, CASE WHEN found THEN name END AS impl,
+       CASE WHEN found THEN replace(answer, '%s', CAST(user_id AS VARCHAR)) END AS result,
+       CASE WHEN found THEN NULL
+            WHEN name IS NULL THEN coalesce(service, 'null') || ' not found'
+            ELSE service || '.' || method || '(' || types || ') not found' END AS error
+FROM looked_up
+"""
+
 ORACLE["dead_letters"] = (
     f"WITH {ROUTED} SELECT event_id, service, method, error FROM routed WHERE impl IS NULL"
 )

@@ -37,6 +37,8 @@ SELECT * FROM VALUES
     ('purchase', 'PurchaseImpl', 4, 'greet', array('string', 'int'))
     AS registry(service, impl, seq, method, param_types)
 """
+# A registration every five days, the first on the third of January.
+REGISTERED_AT = "TIMESTAMP_NTZ'2024-01-03 12:00:00' + make_dt_interval(5 * (seq - 1))"
 SCHEMES = """
 SELECT * FROM VALUES
     ('file', 'LocalFileSystem', 1), ('hdfs', 'DistributedFileSystem', 2),
@@ -138,7 +140,21 @@ def quiet_cumulative(spark, sf):
 @query
 def latency_decayed(spark, sf):
     decayed = ev.latency_decayed(events(spark, sf), ["event_type"], "value", ALPHA_PER_HOUR)
-    return rounded(decayed, 4, "weight", "mean", "stddev")
+    return rounded(decayed, 6, "weight", "mean", "stddev")
+
+
+def reservoir(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.decaying_reservoir(events(spark, sf), ["event_type"], "value", ALPHA_PER_HOUR)
+
+
+@query
+def decaying_reservoir(spark, sf):
+    return rounded(reservoir(spark, sf), 6, "weight")
+
+
+@query
+def reservoir_snapshot(spark, sf):
+    return rounded(ev.reservoir_snapshot(reservoir(spark, sf), ["event_type"], "value"), 6, "mean", "stddev")
 
 
 @query
@@ -324,6 +340,15 @@ def lock_order_inversion(spark, sf):
     return ordering.lock_order_inversion(edges(spark, sf))
 
 
+@query
+def lock_order_cycles(spark, sf):
+    """Cycles among the orders in which days' events follow each other."""
+    by_day = events(spark, sf).withColumns({
+        "day": F.to_date("ts"), "resource": F.concat_ws("-", "event_type", (F.col("user_id") % 4).cast("string"))})
+    return ordering.lock_order_cycles(
+        ordering.lock_order_edges(by_day, ["day"], ORDER, "resource").where("held < wanted OR n % 5 = 0"))
+
+
 @query
 def fair_interleave(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "source")
@@ -401,6 +426,16 @@ def route_requests(spark, sf):
     return routed(spark, sf).select(ANSWER)
 
 
+@query
+def route_requests_as_of(spark, sf):
+    """Requests answered by what was registered when they came."""
+    log = events(spark, sf)
+    requests = requests_of(log).join(log.select("event_id", "ts"), "event_id")
+    registry_log = registry(spark).withColumn("registered_at", F.expr(REGISTERED_AT))
+    answered = routing.route_requests_as_of(requests, registry_log, bodies() | {"OldViewImpl": F.lit("wait")})
+    return answered.select(ANSWER)
+
+
 @query
 def dead_letters(spark, sf):
     lost = routing.dead_letters(requests_of(events(spark, sf)), registry(spark))

@@ -37,6 +37,15 @@ def millis_between(df: DataFrame, start: str, end: Column | str) -> Column:
     return millis_between_instants(F.col(start), end)
 
 
+def micros_between(df: DataFrame, start: str, end: Column) -> Column:
+    """Microseconds from column ``start`` of ``df`` to ``end``, exactly."""
+    if not isinstance(df.schema[start].dataType, T.TimestampNTZType):
+        return F.unix_micros(end) - F.unix_micros(F.col(start))
+    gap = end - F.col(start)
+    minutes = (_part("DAY", gap).cast("bigint") * 24 + _part("HOUR", gap)) * 60 + _part("MINUTE", gap)
+    return minutes * 60_000_000 + (_part("SECOND", gap) * 1_000_000).cast("bigint")
+
+
 def ntz(text: str) -> Column:
     """A zone-free time literal."""
     return F.lit(text).cast("timestamp_ntz")

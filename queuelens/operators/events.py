@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from queuelens.functions.times import millis_between
+from queuelens.functions.times import micros_between, millis_between
 from queuelens.plans.joins import broadcast_if_small, join_on_key, with_key_values
-from queuelens.plans.ordered import running
+from queuelens.plans.ordered import first_of_many, running
 from queuelens.plans.prefixes import prefix_quantiles
 from queuelens.plans.snapshots import COUNT, QUANTILES, snapshot, snapshot_of_counts, value_counts
 from queuelens.session import cut_lineage
@@ -151,9 +151,9 @@ def latency_cumulative(df: DataFrame, period: str, ts: str = "ts", value: str =
 
 
 def _age_weight(df: DataFrame, ts: str, newest: Column, alpha_per_hour: float) -> Column:
-    """Forward-decay weight exp(alpha * (t - newest)), at most 1."""
-    age_ms = millis_between(df, ts, newest)
-    return F.exp(F.lit(-alpha_per_hour) * age_ms / F.lit(MS_PER_HOUR))
+    """Forward-decay weight exp(alpha * (t - newest)), at most 1, by exact ages."""
+    age = micros_between(df, ts, newest)
+    return F.exp(F.lit(-alpha_per_hour) * age / F.lit(1000 * MS_PER_HOUR))
 
 
 def _weighed(df: DataFrame, key: list[str], value: str, alpha_per_hour: float,
@@ -227,6 +227,52 @@ def latency_decayed_quantile(df: DataFrame, key: Sequence[str], value: str, widt
     )
 
 
+# Values that a decaying reservoir holds (fixed value).
+RESERVOIR = 1028
+# Hexadecimal digits of a hash that make a random number, and how many of them there are.
+DIGITS = 13
+
+
+def decaying_reservoir(df: DataFrame, key: Sequence[str], value: str, alpha_per_hour: float,
+                       row_id: str = "event_id", ts: str = "ts", size: int = RESERVOIR) -> DataFrame:
+    """A sample of at most ``size`` rows per key, in which newer rows are likelier by their weight.
+
+    A row of weight w has priority u^(1/w), u a number between 0 and 1 from a hash of its id, and
+    the rows with the largest priorities make the sample, whatever order they come in; so
+    samples of parts can be merged. Rows without a value are left out. ``row_id`` must be unique.
+    Returns key, id, time, value and ``weight`` against the newest row of the key.
+    """
+    key = list(key)
+    number = F.conv(F.substring(F.md5(F.col(row_id).cast("string")), 1, DIGITS), 16, 10).cast("double")
+    random = (number + 0.5) / F.lit(float(16 ** DIGITS))
+    rows = df.select(*dict.fromkeys([*key, row_id, ts, value])).where(F.col(value).isNotNull())
+    newest = cut_lineage(rows.groupBy(*key).agg(F.max(ts).alias("__newest")))
+    aged = with_key_values(rows, newest, key)
+    age = millis_between(aged, ts, F.col("__newest")) / F.lit(MS_PER_HOUR) * F.lit(float(alpha_per_hour))
+    # The logarithm of -ln(u) / w: it falls as the priority grows, and cannot overflow.
+    ranked_rows = aged.withColumns({"weight": F.exp(-age), "__rank": F.log(-F.log(random)) + age})
+    order = ["__rank", row_id]
+    return first_of_many(ranked_rows, key, order, size, "__place").drop("__rank", "__place", "__newest")
+
+
+def reservoir_snapshot(sample: DataFrame, key: Sequence[str], value: str, row_id: str = "event_id",
+                       quantiles: Mapping[str, float] = QUANTILES) -> DataFrame:
+    """The weighted snapshot of a sample: a quantile is the last value before which lies at most its share."""
+    key = list(key)
+    by_value = Window.partitionBy(*key).orderBy(value, row_id)
+    whole, before = Window.partitionBy(*key), by_value.rowsBetween(Window.unboundedPreceding, -1)
+    share = F.col("weight") / F.sum("weight").over(whole)
+    rows = sample.withColumns({"__share": share}).withColumn(
+        "__before", F.coalesce(F.sum("__share").over(before), F.lit(0.0)))
+    rows = rows.withColumn("__mean", F.sum(F.col("__share") * F.col(value)).over(whole))
+    gap = F.col(value) - F.col("__mean")
+    return rows.groupBy(*key).agg(
+        F.count(value).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"),
+        F.first("__mean").alias("mean"), F.sqrt(F.sum(F.col("__share") * gap * gap)).alias("stddev"),
+        *[F.max(F.when(F.col("__before") <= q, F.col(value))).cast("double").alias(name)
+          for name, q in quantiles.items()])
+
+
 def replay_latency(created: DataFrame, consumed: DataFrame, on: tuple[str, str],
                    created_at: str, consumed_at: str, key: Sequence[str],
                    hot_rows: int | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from queuelens.plans.graphs import strongly_connected
 from queuelens.plans.ordered import first_rows, ranked, running
 
 # Name of an owner that never set one (fixed value).
@@ -35,6 +36,17 @@ def lock_order_inversion(edges: DataFrame) -> DataFrame:
     )
 
 
+def lock_order_cycles(edges: DataFrame) -> DataFrame:
+    """(resource, cycle, size) of every resource that lies on a cycle of any length.
+
+    Resources that reach each other can deadlock even if no pair of them is taken in both
+    orders. ``cycle`` is the greatest of those that reach each other, ``size`` how many they are.
+    """
+    parts = strongly_connected(edges.select(F.col("held").alias("a"), F.col("wanted").alias("b")))
+    sizes = parts.groupBy("part").agg(F.count("*").alias("size"))
+    return parts.join(sizes, "part").select(F.col("node").alias("resource"), F.col("part").alias("cycle"), "size")
+
+
 def fair_interleave(df: DataFrame, key: Sequence[str], order: Sequence[str],
                     hot_rows: int | None = None) -> DataFrame:
     """Every row with its turn; reading by (turn, key) serves all keys fairly.

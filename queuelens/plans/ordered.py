@@ -204,3 +204,22 @@ def first_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int,
         return ranked(df, key, order, name, hot_rows).where(F.col(name) <= n)
     few = first_by_salt(df, key, order, n)
     return _first_of(few, list(key), order, n, name).withColumn(name, F.col(name).cast("bigint"))
+
+
+def first_of_many(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int, name: str) -> DataFrame:
+    """The first ``n`` rows of each key with their position, for any ``n``, pruned before the shuffle.
+
+    A key is cut by hash into so many parts that each holds a small share of its first ``n``
+    rows. Parts keep ``PRUNED_RANK`` rows. Should one be full of first rows, which a hash does
+    not do unless ``n`` is large, the key is ranked as a whole instead.
+    """
+    key, order = list(key), list(order)
+    if n <= PRUNED_RANK // 2:
+        return first_rows(df, key, order, n, name)
+    parts = max(SALTS, 4 * -(-n // PRUNED_RANK))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(parts)))
+    few = cut_lineage(_first_of(salted, [*key, "__salt"], order, PRUNED_RANK, "__place"))
+    first = _first_of(few, key, order, n, name)
+    if not first.where(F.col("__place") == PRUNED_RANK).isEmpty():
+        return ranked(df, key, order, name).where(F.col(name) <= n)
+    return first.withColumn(name, F.col(name).cast("bigint")).drop("__salt", "__place")

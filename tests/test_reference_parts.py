@@ -1,0 +1,109 @@
+"""Reservoirs, requests at their time, and cycles of any length, on planted cases."""
+
+import hashlib
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from queuelens.operators import events as ev, ordering, routing
+from queuelens.plans import ordered
+from queuelens.plans.graphs import strongly_connected
+from queuelens.sources.schemas import REGISTRY
+from tests.helpers import at, rows
+
+
+def plain_sample(data, alpha, size):
+    """Ids with the largest u^(1/w) per key."""
+    out = set()
+    for key in {k for k, *_ in data}:
+        mine = [(i, t) for k, i, t, v in data if k == key and v is not None]
+        newest = max(t for _, t in mine)
+
+        def priority(row):
+            u = (int(hashlib.md5(str(row[0]).encode()).hexdigest()[:13], 16) + 0.5) / 16**13
+            return math.log(u) / math.exp(-alpha * (newest - row[1]).total_seconds() / 3600)
+
+        out |= {(key, i) for i, _ in sorted(mine, key=priority, reverse=True)[:size]}
+    return out
+
+
+@pytest.mark.parametrize("size, pruned", [(5, 1000), (40, 1000), (40, 20)])
+def test_reservoir_is_the_weighted_sample(spark, monkeypatch, size, pruned):
+    """Also when the parts of a key are so small that it has to be ranked as a whole."""
+    monkeypatch.setattr(ordered, "PRUNED_RANK", pruned)
+    data = [("hot" if i % 3 else f"k{i % 7}", i, at(60 * i), None if i % 17 == 0 else i * 0.5) for i in range(600)]
+    df = spark.createDataFrame(data, "k STRING, event_id INT, ts TIMESTAMP_NTZ, value DOUBLE")
+    sample = ev.decaying_reservoir(df, ["k"], "value", 0.9, size=size)
+    assert {tuple(r) for r in sample.select("k", "event_id").collect()} == plain_sample(data, 0.9, size)
+    parts = [ev.decaying_reservoir(df.where(c), [], "value", 0.0, size=size).select("event_id", "ts", "value")
+             for c in ("event_id % 2 = 0", "event_id % 2 = 1")]
+    merged = ev.decaying_reservoir(parts[0].union(parts[1]), [], "value", 0.0, size=size)
+    whole = ev.decaying_reservoir(df, [], "value", 0.0, size=size)
+    assert rows(merged, "event_id") == rows(whole, "event_id")
+
+
+def test_reservoir_snapshot_of_equal_weights(spark):
+    sample = spark.createDataFrame([(i, float(v), 1.0) for i, v in enumerate([5, 1, 3, 2])],
+                                   "event_id INT, value DOUBLE, weight DOUBLE")
+    row = ev.reservoir_snapshot(sample, [], "value").first()
+    assert (row.n, row["min"], row["max"], row["mean"], row.p50, row.p75, row.p999) == (4, 1, 5, 2.75, 3, 5, 5)
+    heavy = sample.withColumn("weight", F.when(F.col("value") == 1, 97.0).otherwise(F.col("weight")))
+    assert ev.reservoir_snapshot(heavy, [], "value").first().p95 == 1
+
+
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_the_registration_in_force_answers(spark, hot_rows):
+    """A hot service, requests at the very time of a registration, before all of them, and without a time."""
+    registry = spark.createDataFrame(
+        [("s", f"V{i // 10}", i, "m", ["int"]) for i in range(0, 60, 10)] + [("s", "W30", 31, "m", ["int"])]
+        + [("t", "T", 5, "m", None)], REGISTRY)
+    when = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, floor(seq / 10) * 10)")
+    registry = registry.withColumn("registered_at", when)
+    asked = [(i, at(i - 5), "s") for i in range(80)] + [(100, at(3), "t"), (101, None, "s"), (102, at(3), None)]
+    requests = spark.createDataFrame(asked, "event_id INT, ts TIMESTAMP_NTZ, service STRING").withColumns(
+        {"method": F.lit("m"), "param_types": F.array(F.lit("int")), "args": F.array(F.lit("1"))})
+    found = routing.route_requests_as_of(requests, registry, {"V0": F.lit("zero")}, hot_rows=hot_rows)
+    got = {r.event_id: (r.impl, r.error, r.result) for r in found.collect()}
+    assert len(got) == len(asked)
+
+    def impl(second):
+        if second < 0:
+            return None
+        place = min(second // 10, 5)
+        return "W30" if place == 3 else f"V{place}"
+
+    for i in range(80):
+        want = impl(i - 5)
+        assert got[i] == (want, None if want else "s not found", "zero" if want == "V0" else None)
+    assert got[100] == (None, "t.m(int) not found", None)
+    assert got[101][1] == "s not found" and got[102][1] == "null not found"
+
+
+def plain_parts(edges):
+    reach = {(a, b) for a, b in edges if a is not None and b is not None}
+    while True:
+        more = {(a, d) for a, b in reach for c, d in reach if b == c} - reach
+        if not more:
+            break
+        reach |= more
+    return sorted((a, max(b for x, b in reach if x == a and (b, a) in reach))
+                  for a in {a for a, b in reach} if (a, a) in reach)
+
+
+@pytest.mark.parametrize("seed, nodes, edges", [(1, 12, 14), (2, 15, 40), (3, 30, 33), (4, 5, 4)])
+def test_strongly_connected_parts(spark, seed, nodes, edges):
+    rng = random.Random(seed)
+    data = [(rng.randrange(nodes), rng.randrange(nodes)) for _ in range(edges)] + [(None, 1)]
+    df = spark.createDataFrame(data, "a INT, b INT")
+    assert sorted(tuple(r) for r in strongly_connected(df).collect()) == plain_parts(data)
+
+
+def test_three_locks_in_a_ring(spark):
+    """No pair is taken in both orders, yet three traces can wait for each other."""
+    held = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("x", "y")]
+    edges = spark.createDataFrame([(a, b, 1) for a, b in held], "held STRING, wanted STRING, n INT")
+    assert rows(ordering.lock_order_inversion(edges)) == []
+    assert rows(ordering.lock_order_cycles(edges)) == [(r, "c", 3) for r in "abc"]
+    assert rows(ordering.lock_order_cycles(edges.where("held = 'x'"))) == []
