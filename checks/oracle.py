@@ -41,6 +41,8 @@ ORACLE["event_map"] = (
     "SELECT event_id, CAST(round(value * 100) AS BIGINT) AS value_cents FROM events"
 )
 
+ORACLE["event_map_pandas"] = ORACLE["event_map"]
+
 ORACLE["event_latency"] = f"SELECT event_id, latency_ms FROM {LATENCY}"
 
 ORACLE["latency_summary"] = f"SELECT {snapshot('latency_ms')} FROM {LATENCY}"
@@ -157,11 +159,13 @@ SELECT event_type, count(value) AS n, min(value) AS "min", max(value) AS "max",
 FROM upto GROUP BY event_type
 """
 
-ORACLE["replay_latency"] = f"""
+def replayed(condition: str = "") -> str:
+    """The summary of days from order to shipment, of those that meet a condition."""
+    return f"""
 WITH days AS (
     SELECT o_orderpriority,
            date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS days
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey {condition}
 )
 SELECT o_orderpriority, count(days) AS n, CAST(min(days) AS INTEGER) AS "min",
        CAST(max(days) AS INTEGER) AS "max", round(avg(days), 3) AS "mean",
@@ -171,6 +175,12 @@ SELECT o_orderpriority, count(days) AS n, CAST(min(days) AS INTEGER) AS "min",
 FROM days GROUP BY o_orderpriority
 """
 
+
+ORACLE["replay_latency"] = replayed()
+
+ORACLE["stream_replay_latency"] = replayed(
+    "AND l_shipdate >= o_orderdate - INTERVAL 30 DAY AND l_shipdate <= o_orderdate + INTERVAL 120 DAY")
+
 ORACLE["keyed_lanes"] = """
 SELECT user_id % 10 AS lane, count(*) AS n, count(DISTINCT user_id) AS n_keys
 FROM events GROUP BY 1
@@ -323,12 +333,12 @@ SELECT (place - 1) % 10 AS seller, count(*) AS n_sold FROM ranked GROUP BY 1
 """
 
 AUDIT = """
+sold AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey),
 audit AS (
-    SELECT o_orderkey, count(l_orderkey) AS n_sold,
-           CASE count(l_orderkey) WHEN 0 THEN 'missing' WHEN 1 THEN 'once'
+    SELECT coalesce(o_orderkey, l_orderkey) AS o_orderkey, coalesce(n, 0) AS n_sold,
+           CASE WHEN o_orderkey IS NULL THEN 'unknown' WHEN n IS NULL THEN 'missing' WHEN n = 1 THEN 'once'
                 ELSE 'duplicate' END AS status
-    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_linenumber = 1
-    GROUP BY o_orderkey
+    FROM orders FULL JOIN sold ON o_orderkey = l_orderkey
 )
 """
 
@@ -427,6 +437,8 @@ SELECT event_type, count(*) AS rows_before, count(*) FILTER (value > 10) AS rows
 FROM events GROUP BY event_type
 """
 
+ORACLE["observed_stage"] = "SELECT count(*) AS rows_before, count(*) FILTER (value > 10) AS rows_after FROM events"
+
 # Request routing
 
 ROUTED = """
@@ -608,6 +620,8 @@ WHERE level IN ('INFO', 'WARN', 'ERROR') GROUP BY 1, 2
 UNION ALL SELECT NULL, NULL, count(*) FROM events WHERE event_type = 'error'
 """
 
+ORACLE["load_uri_events"] = ORACLE["event_source"]
+
 ORACLE["periodic_report"] = ORACLE["latency_summary"]
 
 ORACLE["storage_report"] = " UNION ALL ".join(

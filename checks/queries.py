@@ -15,7 +15,7 @@ from queuelens.plans.hotkeys import HOT_ROWS
 from queuelens.session import shared_path
 from queuelens.sources.schemas import TABLES
 from queuelens.sources.tables import (
-    event_source, event_stream, load_uri, storage_report, table,
+    event_source, event_stream, load_uri, storage_report, table, table_stream,
 )
 from queuelens.streaming import operators as stream
 from queuelens.streaming.sinks import append_all, complete_all, stored_complete
@@ -92,6 +92,15 @@ def event_map(spark, sf):
     return ev.event_map(events(spark, sf), {"value_cents": cents}).select("event_id", "value_cents")
 
 
+@query
+def event_map_pandas(spark, sf):
+    """The same by user code over batches of events."""
+    narrow = events(spark, sf).select("event_id", "value")
+    cents = lambda rows: rows.assign(value_cents=rows.value.mul(100).round().astype("int64"))[
+        ["event_id", "value_cents"]]
+    return ev.event_map_pandas(narrow, cents, "event_id BIGINT, value_cents BIGINT")
+
+
 @query
 def event_latency(spark, sf):
     return latencies(spark, sf).select("event_id", "latency_ms")
@@ -385,6 +394,14 @@ def instrumented_stage(spark, sf):
     return measures.instrumented_stage(events(spark, sf), ["event_type"], F.col("value") > 10)
 
 
+@query
+def observed_stage(spark, sf):
+    """Rows before and after a stage, as counted while its result was written."""
+    kept, before, after = measures.observed_stage(events(spark, sf), lambda df: df.where("value > 10"))
+    kept.write.parquet(shared_path(spark, "observed_stage"))
+    return spark.createDataFrame([(before.get["rows"], after.get["rows"])], "rows_before BIGINT, rows_after BIGINT")
+
+
 # Request routing: event types are the services, a user is the caller
 
 
@@ -476,6 +493,13 @@ def load_uri_(spark, sf):
 
 
 
+@query
+def load_uri_events(spark, sf):
+    """A table that grows, by its address."""
+    folder = sf if ":/" in sf else f"file:{sf}"
+    return load_uri(spark, f"{folder}/events.parquet")
+
+
 @query
 def clean_container_path(spark, sf):
     wrapped = pages(spark, sf).withColumn("entry", F.concat(F.lit("file:"), "url", F.lit("!/x")))
@@ -583,6 +607,15 @@ def stream_nth_event(spark, sf):
     return append_all(reached, shared_path(spark, "stream_nth_event"))
 
 
+@query
+def stream_replay_latency(spark, sf):
+    days = stream.stream_replay(
+        table_stream(spark, sf, "orders"), table_stream(spark, sf, "lineitem"), ("o_orderkey", "l_orderkey"),
+        "o_orderdate", "l_shipdate", ["o_orderpriority"], "30 days", "120 days", "1 day")
+    met = append_all(days, shared_path(spark, "stream_replay"))
+    return rounded_snapshot(ev.replay_summary(met, ["o_orderpriority"]))
+
+
 @query
 def stream_routing(spark, sf):
     requests = requests_of(events_streamed(spark, sf))

@@ -68,15 +68,18 @@ def demo_stock(spark: SparkSession, size: int = 10_000) -> DataFrame:
 
 
 def exactly_once_audit(stock: DataFrame, sales: DataFrame, item: str, sold_item: str) -> DataFrame:
-    """Per stock item: how often it was sold, and missing / once / duplicate.
+    """Per item: how often it was sold, and missing / once / duplicate, or unknown if not in stock.
 
-    Sales are counted per item before the join, which leaves one row per item.
+    Sales are counted per item before the join, which leaves one row per item; sales that
+    name no item are one unknown item, null.
     """
     sold = sales.groupBy(F.col(sold_item).alias("__item")).agg(F.count("*").alias("__sold"))
-    joined = stock.select(item).join(sold, F.col(item) == F.col("__item"), "left")
+    held = stock.select(item).withColumn("__held", F.lit(True))
+    joined = held.join(sold, F.col(item) == F.col("__item"), "full_outer")
     n = F.coalesce(F.col("__sold"), F.lit(0).cast("bigint"))
-    status = F.when(n == 0, "missing").when(n == 1, "once").otherwise("duplicate")
-    return joined.select(item, n.alias("n_sold"), status.alias("status"))
+    status = (F.when(F.col("__held").isNull(), "unknown")
+              .when(n == 0, "missing").when(n == 1, "once").otherwise("duplicate"))
+    return joined.select(F.coalesce(item, "__item").alias(item), n.alias("n_sold"), status.alias("status"))
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:

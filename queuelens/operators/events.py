@@ -283,7 +283,13 @@ def replay_latency(created: DataFrame, consumed: DataFrame, on: tuple[str, str],
     key = list(key)
     left = created.select(F.col(on[0]).alias("__id"), *key, F.col(created_at).alias("__from"))
     right = consumed.select(F.col(on[1]).alias("__id"), F.col(consumed_at).alias("__to"))
-    days = left.join(right, "__id").select(*key, F.date_diff("__to", "__from").alias("days"))
+    return replay_summary(
+        left.join(right, "__id").select(*key, F.date_diff("__to", "__from").alias("days")), key, hot_rows)
+
+
+def replay_summary(days: DataFrame, key: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """The snapshot of ``days`` per key, and how many are negative."""
+    key = list(key)
     early = F.sum(F.when(F.col("days") < 0, F.col(COUNT)).otherwise(0))
     return snapshot_of_counts(value_counts(days, key, "days"), key, "days",
                               extra={"n_negative": early}, hot_rows=hot_rows)

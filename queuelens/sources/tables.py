@@ -42,16 +42,29 @@ def load_uri(spark: SparkSession, uri: str, format: str = "parquet") -> DataFram
 
 def storage_report(spark: SparkSession, folder: str, names: Sequence[str],
                    format: str = "parquet") -> DataFrame:
-    """Files, bytes and rows per table of ``folder``, from reading the tables themselves.
+    """Files, bytes and rows per table of ``folder``, also of tables or files without a row.
 
-    A table is named by what it is called below the folder, unchanged; it may be one file
-    or a folder of part files. Tables without a row are left out.
+    A table is named by what it is called below the folder, unchanged; it may be one file or
+    a folder of part files. Files are listed, not read; rows come from what the files say of
+    themselves where their format does.
     """
-    parts = [
-        spark.read.format(format).load(f"{folder}/{name}").select(
-            F.lit(name).alias("dataset"), "_metadata.file_path", "_metadata.file_size")
-        for name in names]
-    per_file = reduce(DataFrame.unionAll, parts).groupBy("dataset", "file_path", "file_size").agg(
-        F.count("*").alias("n_rows"))
-    return per_file.groupBy("dataset").agg(
-        F.count("*").alias("files"), F.sum("file_size").alias("bytes"), F.sum("n_rows").alias("n_rows"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
+        [f"{folder}/{name}" for name in names]).select("path", "length")
+    below = F.substring_index("path", f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/", -1)
+    dataset = F.coalesce(*[F.when((below == name) | below.startswith(f"{name}/"), name) for name in names])
+    files = listed.groupBy(dataset.alias("dataset")).agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    rows = reduce(DataFrame.unionAll, [
+        spark.read.format(format).load(f"{folder}/{name}").agg(F.lit(name).alias("dataset"), F.count("*").alias("n_rows"))
+        for name in names])
+    none = F.lit(0).cast("bigint")
+    return rows.join(files, "dataset", "left").select(
+        "dataset", F.coalesce("files", none).alias("files"), F.coalesce("bytes", none).alias("bytes"), "n_rows")
+
+
+def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
+    """One table of ``folder`` with its fixed schema as a stream of its Parquet files."""
+    reader = spark.readStream.schema(TABLES[name])
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(f"{folder}/{name}*.parquet")

@@ -122,6 +122,22 @@ def stream_nth_event(events: DataFrame, key: Sequence[str], n: int, row_id: str
     return narrow.select(back.alias("k"), time.alias(ts), row_id).select("k.*", ts, row_id)
 
 
+def stream_replay(created: DataFrame, consumed: DataFrame, on: tuple[str, str], created_at: str, consumed_at: str,
+                  key: Sequence[str], early: str, late: str, lateness: str) -> DataFrame:
+    """Whole days from creation to consumption of rows that meet in two streams, for append mode.
+
+    A consumption counts from ``early`` before the creation to ``late`` after it. Both streams may
+    be late by ``lateness``; rows that are later are dropped and counted in the query's progress.
+    A row leaves the state once the watermark of the other stream has passed all it could meet.
+    """
+    left = _as_instant(created, created_at).select(
+        F.col(on[0]).alias("__id"), *key, F.col(created_at).alias("__from")).withWatermark("__from", lateness)
+    right = _as_instant(consumed, consumed_at).select(
+        F.col(on[1]).alias("__other"), F.col(consumed_at).alias("__to")).withWatermark("__to", lateness)
+    meet = F.expr(f"__id = __other AND __to >= __from - INTERVAL {early} AND __to <= __from + INTERVAL {late}")
+    return left.join(right, meet).select(*key, F.date_diff("__to", "__from").alias("days"))
+
+
 def stream_routing(requests: DataFrame, registry: DataFrame,
                    bodies: Mapping[str, Column]) -> DataFrame:
     """Each request of the stream routed against the static registry."""

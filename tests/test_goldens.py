@@ -37,7 +37,8 @@ def test_audit_finds_missing_and_duplicates(spark):
     stock = spark.createDataFrame([(1,), (2,), (3,)], "item INT")
     sales = spark.createDataFrame([(1,), (3,), (3,), (9,), (None,)], "sold INT")
     audit = allocation.exactly_once_audit(stock, sales, "item", "sold")
-    assert rows(audit) == [(1, 1, "once"), (2, 0, "missing"), (3, 2, "duplicate")]
+    assert rows(audit) == [
+        (None, 1, "unknown"), (1, 1, "once"), (2, 0, "missing"), (3, 2, "duplicate"), (9, 1, "unknown")]
 
 
 @pytest.mark.parametrize("gets, left", [(9, 1), (8, 2)])

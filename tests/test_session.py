@@ -37,3 +37,16 @@ def test_local_session_gets_its_own():
 def test_cut_lineage_keeps_rows(spark):
     df = cut_lineage(spark.range(10).selectExpr("id", "id * 2 AS twice"))
     assert df.count() == 10 and "Range" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_storage_is_listed_whole(spark, tmp_path):
+    """Bytes and files as the file system has them, of tables without a row too."""
+    from queuelens.sources.tables import storage_report
+
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "some.parquet"))
+    spark.range(0).write.parquet(str(tmp_path / "none.parquet"))
+    report = {r.dataset: r for r in storage_report(spark, str(tmp_path), ["some.parquet", "none.parquet"]).collect()}
+    for name, count in (("some.parquet", 100), ("none.parquet", 0)):
+        files = list((tmp_path / name).glob("*.parquet"))
+        assert (report[name].files, report[name].n_rows) == (len(files), count)
+        assert report[name].bytes == sum(f.stat().st_size for f in files) > 0

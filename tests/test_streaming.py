@@ -268,5 +268,43 @@ def test_an_empty_result_replaces_the_one_before(spark, source, out):
     assert found.isEmpty() and found.columns == ["user_id", "n"]
 
 
+def two_streams(spark, low, high, folders):
+    """Ten-minute orders and what came of them 0 to 5 days later, or a day before, in time order."""
+    hour = lambda h: F.expr(f"TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 10 * ({h}))")
+    orders = spark.range(low, high).select("id", (F.col("id") % 3).alias("k"), hour("id").alias("made"))
+    gone = spark.range(low, high).select((F.col("id") - F.col("id") * 37 % 900 + 150).alias("of"), hour("id").alias("at"))
+    orders.coalesce(1).write.mode("append").parquet(folders[0])
+    gone.coalesce(1).write.mode("append").parquet(folders[1])
+
+
+def test_replay_of_two_streams(spark, out):
+    folders = [shared_path(spark, "made"), shared_path(spark, "gone")]
+    totals = []
+
+    def run():
+        made = spark.readStream.schema("id BIGINT, k BIGINT, made TIMESTAMP_NTZ").parquet(folders[0])
+        gone = spark.readStream.schema("of BIGINT, at TIMESTAMP_NTZ").parquet(folders[1])
+        met = stream.stream_replay(made, gone, ("id", "of"), "made", "at", ["k"], "1 day", "3 days", "1 hour")
+        query = start_append(met, out)
+        query.awaitTermination()
+        totals.append([p.stateOperators[0].numRowsTotal for p in query.recentProgress][-1])
+        dropped = sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress)
+        return stored(met, out), dropped
+
+    for low in range(0, 6000, 1000):
+        two_streams(spark, low, low + 1000, folders)
+        found, dropped = run()
+        assert dropped == 0
+    made, gone = (spark.read.parquet(f) for f in folders)
+    batch = made.join(gone, F.expr("id = of AND at >= made - INTERVAL 1 DAY AND at <= made + INTERVAL 3 DAYS")).select(
+        "k", F.date_diff("at", "made").alias("days"))
+    assert same(found.groupBy("k", "days").count(), batch.groupBy("k", "days").count()) and batch.count() > 1000
+    # Twelve thousand rows came in; only those that the next days can still meet are held.
+    assert max(totals) < 4500
+    two_streams(spark, 0, 50, folders)
+    after, dropped = run()
+    assert dropped == 100 and after.count() == found.count()
+
+
 def test_schema_is_fixed(source):
     assert source.sparkSession.createDataFrame([], EVENTS).schema == source.schema
