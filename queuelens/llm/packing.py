@@ -2,7 +2,7 @@
 
 Every task fits its pieces best-fit, longest first. Bins that are nearly full are
 done. The others go up a tree as single items: fewer and fewer tasks fit them
-again, best-fit, until one task holds the rest or a round no longer helps.
+again, best-fit, up to one task; more bins than one task holds stay in as few as hold them.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ SLACK = 8
 ITEMS = 400_000
 # Tasks whose underfull bins meet in one task of the next round.
 FAN_IN = 8
-# A round that removes less than this share of the bins it was given is the last.
-WORTHWHILE = 0.002
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -135,12 +133,14 @@ def pack(items: DataFrame, size: str, length: int = LENGTH) -> DataFrame:
     bins = first.where((F.col("place") == 0) & (F.col("fill") < length - SLACK)).select(
         F.col("bin").alias("item"), F.col("fill").alias("size"))
     width, level, moved = first.rdd.getNumPartitions(), 0, None
+    before = width + 1
     while True:
         level += 1
         count = bins.count()
         width = max(1, -(-width // FAN_IN), -(-count // ITEMS))
-        if count < 2:
+        if count < 2 or width >= before:
             break
+        before = width
         fitted = kept(_fitted(bins.repartition(width, "item"), "size", length, level),
                       f"packed-{level}")
         step = fitted.select("item", F.col("bin").alias("into"), F.col("place").alias("by"))
@@ -152,8 +152,7 @@ def pack(items: DataFrame, size: str, length: int = LENGTH) -> DataFrame:
             moved = moved.join(above, "into", "left").select(
                 "item", F.coalesce("__into", "into").alias("into"),
                 (F.col("by") + F.coalesce("__by", F.lit(0))).alias("by"))
-        left = fitted.where(F.col("place") == 0).count()
-        if width == 1 or count - left < WORTHWHILE * count:
+        if width == 1:
             break
         bins = fitted.where((F.col("place") == 0) & (F.col("fill") < length - SLACK)).select(
             F.col("bin").alias("item"), F.col("fill").alias("size"))
