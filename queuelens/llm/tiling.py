@@ -16,20 +16,21 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from queuelens.llm.frames import bounded, kept, strings, texts_of
 
 SHORTEST = 5
 COVERAGE = 0.5
-# Bits of the map that tells which seeds cannot occur in any item: 2 MB whatever the input.
-MAP_BITS = 24
+# Bits of the map that tells which seeds cannot occur in any item: 2 MB at least, 64 MB at most,
+# and between them so many that one in BITS_A_SEED is set.
+FEWEST_MAP_BITS, MOST_MAP_BITS, BITS_A_SEED = 24, 29, 16
 BASE = 0x9E3779B97F4A7C15
 WORD = re.compile(r"[^\W_]+")
 # Words whose hashes a task remembers.
 REMEMBERED = 200_000
 
-REGIONS = "row_id bigint, doc_id bigint, start bigint, tokens array<bigint>, seeds array<bigint>"
+REGIONS = "row_id bigint, doc_id bigint, length int, start bigint, tokens array<bigint>, seeds array<bigint>"
 
 
 class _Hashes(dict):
@@ -104,89 +105,151 @@ def tiles(item: np.ndarray, text: np.ndarray, shortest: int = SHORTEST) -> list[
 
 
 def _seed_map(spark: SparkSession, seeds: DataFrame) -> np.ndarray:
-    """A map of 2**MAP_BITS bits with the top bits of every seed set."""
-    top = F.shiftrightunsigned("seed", 64 - MAP_BITS) + 1
+    """A map of bits with the bit that the top of a seed names set for every seed."""
+    wanted = max(1, seeds.count() * BITS_A_SEED).bit_length()
+    bits = min(MOST_MAP_BITS, max(FEWEST_MAP_BITS, wanted))
+    top = F.shiftrightunsigned("seed", 64 - bits) + 1
     parts = seeds.select(top.alias("top")).groupBy(F.bitmap_bucket_number("top").alias("n")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("top")).alias("bits"))
-    whole = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+    whole = np.zeros(1 << (bits - 3), np.uint8)
     for part in parts.toLocalIterator():
         begin = (part.n - 1) * 4096
         whole[begin:begin + 4096] = np.frombuffer(part.bits, np.uint8)
     return whole
 
 
+def _in_map(keys: np.ndarray, seed_map: np.ndarray) -> np.ndarray:
+    """Which of the hashes may be seeds."""
+    shift = np.uint64(64 - 3 - (len(seed_map).bit_length() - 1))
+    top = (keys >> shift).astype(np.int64)
+    return np.flatnonzero(seed_map[top >> 3] >> (top & 7).astype(np.uint8) & 1)
+
+
 def _item_rows(items: DataFrame, key: str, text: str) -> DataFrame:
+    """(item_id, item, length, seeds, at): the tokens of each item, the length and hashes of its
+    seeds, and the place of each. Items shorter than ``SHORTEST`` are one seed."""
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in bounded(batches):
             values, ends = _tokens(strings(batch).to_pylist(), hashes)
             each = np.split(values, ends[:-1])
+            lengths = [min(SHORTEST, len(e)) for e in each]
+            seeds = [windows(e, n) if n else windows(e) for e, n in zip(each, lengths)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([e.view(np.int64) for e in each], pa.list_(pa.int64())),
-                 pa.array([np.unique(windows(e)).view(np.int64) for e in each], pa.list_(pa.int64()))],
-                names=["item_id", "item", "seeds"])
+                 pa.array(lengths, pa.int32()),
+                 pa.array([s.view(np.int64) for s in seeds], pa.list_(pa.int64())),
+                 pa.array([np.arange(len(s)) for s in seeds], pa.list_(pa.int32()))],
+                names=["item_id", "item", "length", "seeds", "at"])
 
     return texts_of(items, key, text).mapInArrow(
-        compute, "item_id bigint, item array<bigint>, seeds array<bigint>")
+        compute, "item_id bigint, item array<bigint>, length int, seeds array<bigint>, at array<int>")
 
 
-def _regions(docs: DataFrame, seed_map: np.ndarray) -> DataFrame:
-    """The stretches of each document that seeds cover, with their tokens and seeds."""
-    shared = docs.sparkSession.sparkContext.broadcast(seed_map)
+def _regions(docs: DataFrame, maps: dict[int, np.ndarray]) -> DataFrame:
+    """The stretches of each document that seeds of ``SHORTEST`` tokens cover, with their tokens and
+    seeds; and shorter seeds as stretches without tokens. ``maps`` has a map for each length."""
+    shared = docs.sparkSession.sparkContext.broadcast(maps)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, hashes = shared.value, _Hashes()
+        maps, hashes = shared.value, _Hashes()
         row = TaskContext.get().partitionId() << 33
         for batch in bounded(batches):
             values, ends = _tokens(strings(batch).to_pylist(), hashes)
-            keys = windows(values)
-            top = (keys >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-            hit = np.flatnonzero(bits[top >> 3] >> (top & 7).astype(np.uint8) & 1)
-            of = np.searchsorted(ends, hit, "right")
-            inside = hit + SHORTEST <= ends[of]
-            hit, of = hit[inside], of[inside]
-            if len(hit):
-                begins = np.append(0, ends[:-1])
-                new = np.append(True, (np.diff(hit) >= SHORTEST) | (np.diff(of) != 0))
-                starts = np.flatnonzero(new)
+            begins = np.append(0, ends[:-1])
+            for length, seed_map in maps.items():
+                keys = windows(values, length)
+                hit = _in_map(keys, seed_map)
+                of = np.searchsorted(ends, hit, "right")
+                inside = hit + length <= ends[of]
+                hit, of = hit[inside], of[inside]
+                if not len(hit):
+                    continue
+                gap = np.diff(hit) >= length if length == SHORTEST else np.zeros(len(hit) - 1, bool)
+                starts = np.flatnonzero(np.append(True, gap | (np.diff(of) != 0)))
                 lasts = np.append(starts[1:], len(hit)) - 1
                 ids = batch.column("doc_id").take(pa.array(of[starts]))
-                tokens = [values[a:b + SHORTEST].view(np.int64)
+                tokens = [values[a:b + SHORTEST].view(np.int64) if length == SHORTEST else []
                           for a, b in zip(hit[starts], hit[lasts])]
                 seeds = [np.unique(keys[hit[a:b + 1]]).view(np.int64) for a, b in zip(starts, lasts)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row + of[starts]), ids, pa.array(hit[starts] - begins[of[starts]]),
+                    [pa.array(row + of[starts]), ids, pa.array(np.full(len(starts), length), pa.int32()),
+                     pa.array(hit[starts] - begins[of[starts]]),
                      pa.array(tokens, pa.list_(pa.int64())), pa.array(seeds, pa.list_(pa.int64()))],
-                    names=["row_id", "doc_id", "start", "tokens", "seeds"])
+                    names=["row_id", "doc_id", "length", "start", "tokens", "seeds"])
             row += batch.num_rows
 
     return docs.mapInArrow(compute, REGIONS)
 
 
+def _candidates(regions: DataFrame, tests: DataFrame, coverage: float) -> DataFrame:
+    """(row_id, item_id) of documents whose shared seeds could cover enough of an item.
+
+    Tiles that cover the share c of n tokens hold at least m = ceil(c n / 5) places of seeds. So
+    a pair that counts shares one that is not among the m - 1 places whose seeds are in most
+    documents, and only the others are joined. Then the tokens that the shared places and the
+    left-out ones cover are counted, and must be enough.
+    """
+    long = tests.where(F.col("length") == SHORTEST).withColumn("n", F.size("item"))
+    spare = (F.ceil(F.col("n") * coverage / SHORTEST) - 1).cast("int")
+    placed = long.select("item_id", "n", spare.alias("spare"), F.explode(F.arrays_zip("seeds", "at")).alias("s")).select(
+        "item_id", "n", "spare", F.col("s.seeds").alias("seed"), "s.at")
+    seen = regions.where(F.col("length") == SHORTEST).select("row_id", "start", F.explode("seeds").alias("seed"))
+    common = seen.groupBy("seed").agg(F.count("*").alias("documents"))
+    by_use = Window.partitionBy("item_id").orderBy(F.desc("documents"), "seed", "at")
+    # A place whose seed is nowhere is shared by no document.
+    ranked = placed.join(common, "seed").withColumn("use", F.row_number().over(by_use))
+    left_out = ranked.where("use <= spare").groupBy("item_id").agg(F.collect_list("at").alias("out"))
+    joined = kept(ranked.where("use > spare").join(left_out, "item_id", "left").select(
+        "item_id", "n", "seed", "at", F.coalesce("out", F.array().cast("array<int>")).alias("out")), "item-seeds")
+    pairs = seen.join(joined.select("item_id", "seed", "at"), "seed").groupBy("row_id", "item_id").agg(
+        F.collect_set("at").alias("shared"))
+    of_item = joined.groupBy("item_id").agg(F.first("n").alias("n"), F.first("out").alias("out"))
+    places = F.array_sort(F.array_union("shared", "out"))
+    ahead = F.zip_with(places, F.slice(places, 2, F.greatest(F.size(places), F.lit(1))),
+                       lambda a, b: F.least(F.coalesce(b - a, F.lit(SHORTEST)), F.lit(SHORTEST)))
+    most = F.aggregate(ahead, F.lit(0), lambda total, x: total + x)
+    return pairs.join(of_item, "item_id").where(most >= F.col("n") * coverage).select("row_id", "item_id")
+
+
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
                  item_key: str = "item_id", item_text: str = "text",
                  coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, item_tokens, covered, n_tiles, coverage) of every pair found.
 
     Tokens are runs of letters and digits, lower-cased. A pair is found if tiles of five
-    tokens or more cover at least the share ``coverage`` of the item's tokens. Rows that
-    repeat an id are separate documents. Null texts are empty, and items of fewer than
-    five tokens are never found. Extra columns are ignored.
+    tokens or more cover at least the share ``coverage`` of the item's tokens; an item of fewer
+    than five tokens is found where a document holds all of it, as one tile. Rows that
+    repeat an id are separate documents or items. Null texts are empty, and items without a token are
+    never found. Extra columns are ignored.
     """
-    tests = kept(_item_rows(items, item_key, item_text), "items")
-    item_seeds = tests.select("item_id", F.explode("seeds").alias("seed"))
-    regions = kept(_regions(texts_of(docs, key, text),
-                            _seed_map(docs.sparkSession, item_seeds)), "regions")
-    shared = regions.select("row_id", "start", F.explode("seeds").alias("seed")).join(
-        item_seeds, "seed").select("row_id", "start", "item_id").distinct()
+    spark = docs.sparkSession
+    # Items go by a number of their own, as ids may be null or repeat.
+    named = kept(_item_rows(items, item_key, item_text).withColumn(
+        "number", F.monotonically_increasing_id()), "items")
+    tests = named.drop("item_id").withColumnRenamed("number", "item_id")
+    names = named.select(F.col("number").alias("item_id"), F.col("item_id").alias("name"), "item")
+    item_seeds = tests.select("item_id", "length", F.explode("seeds").alias("seed"))
+    # One row a length, five at most.
+    lengths = [r.length for r in item_seeds.groupBy("length").count().collect()]
+    maps = {n: _seed_map(spark, item_seeds.where(F.col("length") == n)) for n in sorted(lengths)}
+    regions = kept(_regions(texts_of(docs, key, text), maps), "regions")
     pairs = (
-        regions.select("row_id", "doc_id", "start", "tokens").join(shared, ["row_id", "start"])
+        regions.where(F.col("length") == SHORTEST).select("row_id", "doc_id", "start", "tokens")
+        .join(_candidates(regions, tests, coverage), "row_id")
         .groupBy("row_id", "item_id").agg(
             F.first("doc_id").alias("doc_id"),
             F.array_sort(F.collect_list(F.struct("start", "tokens"))).alias("regions"))
-        .join(tests.select("item_id", "item"), "item_id")
-        .select("doc_id", "item_id", "item", F.col("regions.tokens").alias("regions"))
+        .join(names, "item_id")
+        .select("doc_id", F.col("name").alias("item_id"), "item", F.col("regions.tokens").alias("regions"))
     )
+    short = item_seeds.where(F.col("length") < SHORTEST)
+    whole = regions.where(F.col("length") < SHORTEST).select(
+        "row_id", "doc_id", "length", F.explode("seeds").alias("seed")).join(short, ["length", "seed"]).join(
+        names.select("item_id", "name"), "item_id").select(
+        "doc_id", F.col("name").alias("item_id"), F.col("length").cast("bigint").alias("item_tokens"),
+        F.col("length").cast("bigint").alias("covered"), F.lit(1).cast("bigint").alias("n_tiles"),
+        F.lit(1.0).alias("coverage"))
 
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,9 +266,10 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
                 [pa.array(list(c), k) for c, k in zip(columns, kinds)],
                 names=["doc_id", "item_id", "item_tokens", "covered", "n_tiles", "coverage"])
 
-    return pairs.mapInArrow(
+    found = pairs.mapInArrow(
         tile, "doc_id bigint, item_id bigint, item_tokens bigint, covered bigint, "
               "n_tiles bigint, coverage double")
+    return found.unionByName(whole) if min(lengths, default=SHORTEST) < SHORTEST else found
 
 
 def _spaced(parts: list[list[int]]) -> np.ndarray:
