@@ -1,16 +1,16 @@
 """The corpus pipeline: five stages over ``documents``, each calling one operator.
 
 Every stage works on all that the one before kept, and takes and returns rows with the
-columns of ``documents``; only the last returns the packed pieces. Rows without a doc_id
-cannot be named in a list of documents to drop, so such lists leave them in. Null texts
-are empty texts to every stage. An empty table stays one.
+columns of ``documents``; only the last returns the packed pieces. Stages that drop documents
+number the rows first and drop by that number, so rows without an id, or that repeat one,
+are judged like any other. Null texts are empty texts to every stage. An empty table stays one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from queuelens.llm import packing, pii, simhash, tiling, toxicity
 from queuelens.llm.frames import kept
@@ -18,8 +18,12 @@ from queuelens.llm.frames import kept
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+ROW = "__row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a number for every row."""
+    return kept(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,23 +34,26 @@ def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies.
+    """The document with the smallest id of every group of near copies; null ids come last.
 
-    Rows that repeat an id are one document, of which one row stays.
+    Of several such rows the first stays. Groups are told by the number of their first row.
     """
-    found = kept(simhash.near_duplicates(docs).where("doc_id IS NOT NULL"), "near-copies")
-    left = _without(docs, found.where("doc_id <> component_id"))
-    repeated = found.groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return left
-    again = left.join(repeated.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    return _without(left, repeated).union(again.dropDuplicates(["doc_id"]))
+    rows = _numbered(docs)
+    found = kept(simhash.near_duplicates(rows, key=ROW), "near-copies").select(
+        F.col("doc_id").alias(ROW), "component_id")
+    several = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    members = kept(found.join(several, "component_id").join(rows.select(ROW, "doc_id"), ROW), "copies")
+    first = members.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias(ROW))
+    dropped = members.select(ROW).join(first.select(ROW), ROW, "left_anti")
+    return rows.join(dropped, ROW, "left_anti").select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, kept(tiling.contaminated(docs, items), "contaminated"))
+    items, rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet"), _numbered(docs)
+    found = kept(tiling.contaminated(rows, items, key=ROW), "contaminated")
+    return rows.join(found.select(F.col("doc_id").alias(ROW)).distinct(), ROW, "left_anti").select(docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
