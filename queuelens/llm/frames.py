@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,22 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    A worker that is used again would otherwise keep what its earlier tasks needed, beside
+    what the executor itself holds.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def bounded(batches: Iterator[pa.RecordBatch], column: str = "text",
             max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about ``max_bytes`` of ``column``, or one row."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
