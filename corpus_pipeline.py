@@ -9,11 +9,12 @@ are judged like any other. Null texts are empty texts to every stage. An empty t
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from queuelens.llm import packing, pii, simhash, tiling, toxicity
-from queuelens.llm.frames import kept
+from queuelens.llm.frames import kept, small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -66,12 +67,23 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
+def _in_small_batches(stage: Stage) -> Stage:
+    """``stage`` with small batches for its Python workers, which outlive a stage beside the heap."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", clean_of_toxicity),
-    ("near-duplicates", one_of_each_group),
-    ("decontamination", decontaminated),
-    ("personal data", without_personal_data),
-    ("packing", packed),
+    ("toxicity", _in_small_batches(clean_of_toxicity)),
+    ("near-duplicates", _in_small_batches(one_of_each_group)),
+    ("decontamination", _in_small_batches(decontaminated)),
+    ("personal data", _in_small_batches(without_personal_data)),
+    ("packing", _in_small_batches(packed)),
 ]
 
 # Fingerprints, a trained classifier and a tokenizer are beyond SQL.

@@ -8,10 +8,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from queuelens.session import shared_path
 
+# What a batch for a Python worker holds at most.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
 
 def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only (doc_id, text), so that further columns of the input cannot clash; null text is empty."""
@@ -32,6 +35,16 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand rows to Python workers in small batches, from now on in this session.
+
+    A batch lies in the executor's memory and in the worker's at once, and buffers double as
+    they grow. Results do not depend on it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def give_back() -> None:
     """Return freed memory to the system.
 
