@@ -95,15 +95,18 @@ def sources(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, level, hash, chars, source_turn): where each quoted passage comes from.
 
     The source is the latest earlier message of the conversation with that passage among
-    its own; null if there is none. ``messages`` has conv_id, turn and the ``passages``.
+    its own; null if there is none. ``messages`` has conv_id, turn and the ``passages``, each
+    (level, chars, hash). Own passages nobody quotes are left behind before they are shuffled
+    again, and a conversation without a quotation takes no part.
     """
     found = messages.where(F.col("turn").isNotNull()).select(
         "conv_id", "turn", F.explode("passages").alias("p")).select(
-        "conv_id", "turn", "p.level", "p.hash", F.char_length("p.text").alias("chars")).distinct()
-    quoted = found.where("level > 0")
-    written = found.where("level = 0")
+        "conv_id", "turn", "p.level", "p.hash", "p.chars")
+    quoted = kept(found.where("level > 0").distinct(), "quoted")
     wanted = quoted.select("conv_id", "hash").distinct()
-    rows = quoted.union(join_on_key(written, wanted, ["conv_id", "hash"], "left_semi"))
+    written = found.where("level = 0")
+    answered = join_on_key(written, wanted, ["conv_id", "hash"], "left_semi").distinct()
+    rows = quoted.union(answered)
     # Of one turn, quotations come first, so that they only see earlier messages.
     rows = rows.withColumn("writes", (F.col("level") == 0).cast("int"))
     latest = running(rows, ["conv_id", "hash"], ["turn", "writes", "level"],
@@ -125,11 +128,17 @@ def reply_order(messages: DataFrame, conversation: str = "conv_id", turn: str =
     conversations are one conversation. Without a turn a message links to nothing and
     comes last. Null text is empty. Extra columns are ignored.
     """
-    rows = messages.select(
+    parsed = messages.select(
         F.col(conversation).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"),
         let(parsed_lines(F.col(text)), lambda lines: F.struct(
             own_text(lines).alias("text"), passages(lines).alias("passages"))).alias("m"))
-    rows = kept(rows.select("conv_id", "turn", "role", "m.text", "m.passages"), "messages")
+    tie = F.sha2(F.concat(F.coalesce("role", F.lit("")), F.lit("\n"), F.col("m.text")), 256)
+    said = parsed.select("conv_id", "turn", "role", "m.text", tie.alias("__tie"))
+    # Without texts: they are parsed again at the end and travel once.
+    rows = kept(parsed.select("conv_id", "turn", "role", tie.alias("__tie"), F.transform(
+        "m.passages", lambda p: F.struct(
+            p["level"].alias("level"), F.char_length(p["text"]).alias("chars"), p["hash"].alias("hash"))
+    ).alias("passages")), "messages")
     links = kept(sources(rows), "sources")
     key = ["conv_id", "turn"]
     voted = links.where("source_turn IS NOT NULL").groupBy(*key, "level", "source_turn").agg(
@@ -142,12 +151,15 @@ def reply_order(messages: DataFrame, conversation: str = "conv_id", turn: str =
     placed = join_on_key(join_on_key(counts, parents, key, "left"),
                          _roots(parents), key, "left")
     joined = join_on_key(rows.drop("passages"), placed, key, "left").select(
-        *key, "role", "text",
+        *key, "role", "__tie",
         F.coalesce("n_quoted", F.lit(0)).cast("bigint").alias("n_quoted"),
         F.coalesce("n_linked", F.lit(0)).cast("bigint").alias("n_linked"),
         "parent_turn", F.coalesce("root_turn", "turn").alias("root_turn"),
         F.coalesce("depth", F.lit(0)).cast("bigint").alias("depth"),
-        F.coalesce("root_turn", "turn").isNull().cast("int").alias("__last"),
-        F.sha2(F.concat(F.coalesce("role", F.lit("")), F.lit("\n"), F.col("text")), 256).alias("__tie"))
-    return ranked(joined, ["conv_id"], ["__last", "root_turn", "depth", "turn", "__tie"],
-                  "place").drop("__last", "__tie")
+        F.coalesce("root_turn", "turn").isNull().cast("int").alias("__last"))
+    order = ranked(joined, ["conv_id"], ["__last", "root_turn", "depth", "turn", "__tie"], "place")
+    # Messages that agree in all of these have the same text, so one copy of it serves them all.
+    same = F.sha2(F.to_json(F.struct("conv_id", "turn", "role", "__tie"), {"ignoreNullFields": "false"}), 256)
+    texts = said.groupBy(same.alias("__same")).agg(F.max("text").alias("text"))
+    return order.withColumn("__same", same).join(texts, "__same").select(
+        *key, "role", "text", "n_quoted", "n_linked", "parent_turn", "root_turn", "depth", "place")
