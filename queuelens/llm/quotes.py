@@ -132,11 +132,14 @@ def reply_order(messages: DataFrame, conversation: str = "conv_id", turn: str =
         F.col(conversation).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"),
         let(parsed_lines(F.col(text)), lambda lines: F.struct(
             own_text(lines).alias("text"), passages(lines).alias("passages"))).alias("m"))
-    tie = F.sha2(F.concat(F.coalesce("role", F.lit("")), F.lit("\n"), F.col("m.text")), 256)
-    said = parsed.select("conv_id", "turn", "role", "m.text", tie.alias("__tie"))
+    # Hashes travel as 32 bytes, which sort like their digits.
+    tie = F.unhex(F.sha2(F.concat(F.coalesce("role", F.lit("")), F.lit("\n"), F.col("text")), 256))
+    said = messages.select(
+        F.col(conversation).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"),
+        let(parsed_lines(F.col(text)), own_text).alias("text")).withColumn("__tie", tie)
     # Without texts: they are parsed again at the end and travel once.
-    rows = kept(parsed.select("conv_id", "turn", "role", tie.alias("__tie"), F.transform(
-        "m.passages", lambda p: F.struct(
+    rows = kept(parsed.select("conv_id", "turn", "role", "m.text", "m.passages").select(
+        "conv_id", "turn", "role", tie.alias("__tie"), F.transform("passages", lambda p: F.struct(
             p["level"].alias("level"), F.char_length(p["text"]).alias("chars"), p["hash"].alias("hash"))
     ).alias("passages")), "messages")
     links = kept(sources(rows), "sources")
@@ -159,7 +162,8 @@ def reply_order(messages: DataFrame, conversation: str = "conv_id", turn: str =
         F.coalesce("root_turn", "turn").isNull().cast("int").alias("__last"))
     order = ranked(joined, ["conv_id"], ["__last", "root_turn", "depth", "turn", "__tie"], "place")
     # Messages that agree in all of these have the same text, so one copy of it serves them all.
-    same = F.sha2(F.to_json(F.struct("conv_id", "turn", "role", "__tie"), {"ignoreNullFields": "false"}), 256)
+    whole = F.to_json(F.struct("conv_id", "turn", "role", "__tie"), {"ignoreNullFields": "false"})
+    same = F.unhex(F.sha2(whole, 256))
     texts = said.groupBy(same.alias("__same")).agg(F.max("text").alias("text"))
     return order.withColumn("__same", same).join(texts, "__same").select(
         *key, "role", "text", "n_quoted", "n_linked", "parent_turn", "root_turn", "depth", "place")
