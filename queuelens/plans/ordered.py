@@ -24,6 +24,8 @@ OVERSAMPLE = 8
 ONE_TASK_ROWS = 1000
 # Spark limits the rows per key before the shuffle only up to this rank.
 PRUNED_RANK = 1000
+# Into so many chunks a table without a key is cut at most; larger ones are cut again.
+MOST_CHUNKS = 4096
 # Parts of a key whose first rows are found on their own.
 SALTS = 16
 
@@ -88,7 +90,7 @@ def _split(df: DataFrame, key: list[str], order: list[str], kept: list[str],
         if total <= ONE_TASK_ROWS:
             return None
         share = -(-total // spark.sparkContext.defaultParallelism)
-        limit = max(1, min(hot_rows_of(spark, hot_rows), share))
+        limit = max(1, min(hot_rows_of(spark, hot_rows), share), -(-total // MOST_CHUNKS))
         ends, most = _cut_rows(df, key, order, kept, limit)
 
     orders_only = F.transform(CUTS, lambda end: F.struct(*[end[o].alias(o) for o in order]))
@@ -104,6 +106,11 @@ def _split(df: DataFrame, key: list[str], order: list[str], kept: list[str],
     return chunked.drop(CUTS, POSITION), ends
 
 
+def _chunks(ends: DataFrame) -> int:
+    """The most chunks that a key has been cut into."""
+    return (ends.agg(F.max(F.size(CUTS))).first()[0] or 0) + 1
+
+
 def _add(local: Column, carried: Column) -> Column:
     return F.coalesce(local + carried, local, carried)
 
@@ -143,7 +150,10 @@ def running(df: DataFrame, key: Sequence[str], order: Sequence[str],
     if parts is None:
         return rows.withColumns(local).select(*df.columns, *local)
 
-    joined = rows.withColumns(local | {"__row": F.row_number().over(by_order)})
+    if not key and _chunks(parts[1]) >= MOST_CHUNKS // 2:
+        joined = _within_stretches(rows, order, totals, previous, hot_rows)
+    else:
+        joined = rows.withColumns(local | {"__row": F.row_number().over(by_order)})
     if totals:
         pieces = rows.where(SPLIT).groupBy(*within).agg(
             *[_COMBINE[fn][0](f"__in_{n}").alias(n) for n, (fn, _) in totals.items()]
@@ -173,6 +183,21 @@ def running(df: DataFrame, key: Sequence[str], order: Sequence[str],
     return joined.select(*df.columns, *totals, *previous)
 
 
+def _within_stretches(rows: DataFrame, order: list[str], totals: Mapping[str, tuple[str, Column]],
+                      previous: Mapping[str, Column], hot_rows: int | None) -> DataFrame:
+    """Running values within each chunk of a whole table, where a chunk may again be too large for a task.
+
+    Chunks are keys here, so the ones above the limit are cut once more.
+    """
+    stretch = "__stretch"
+    stretches = rows.withColumnRenamed(CHUNK, stretch).drop(SPLIT)
+    inner = running(
+        stretches, [stretch], order,
+        {n: (fn, F.col(f"__in_{n}")) for n, (fn, _) in totals.items()} | {"__nth": ("sum", F.lit(1).cast("bigint"))},
+        {n: F.col(f"__in_{n}") for n in previous}, hot_rows)
+    return inner.withColumnsRenamed({stretch: CHUNK, "__nth": "__row"})
+
+
 def ranked(df: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "n",
            hot_rows: int | None = None) -> DataFrame:
     """``df`` with the 1-based position of each row within its key."""

@@ -95,3 +95,19 @@ def test_first_rows_beyond_the_pruned_rank(skewed):
     by_order = Window.partitionBy("k").orderBy(*ORDER)
     want = skewed.withColumn("n", F.row_number().over(by_order).cast("bigint")).where("n <= 1500")
     assert same(got, want)
+
+
+@pytest.mark.parametrize("hot_rows", [60, 2500])
+def test_a_table_without_a_key_is_cut_in_two_levels(skewed, monkeypatch, hot_rows):
+    """Few cuts of the whole, however many rows: chunks above the limit are cut once more."""
+    monkeypatch.setattr(ordered, "MOST_CHUNKS", 6)
+    split, ends = ordered._split(skewed, [], ORDER, [], hot_rows)
+    assert ordered._chunks(ends) <= 16 and measure(split, [CHUNK]).largest > 500
+    one = F.lit(1).cast("bigint")
+    got = running(skewed, [], ORDER, {"n": ("sum", one), "low": ("min", F.col("value"))},
+                  {"before": F.col("event_type")}, hot_rows=hot_rows)
+    by_order = Window.orderBy(*ORDER)
+    so_far = by_order.rowsBetween(Window.unboundedPreceding, 0)
+    want = skewed.withColumns({"n": F.sum(one).over(so_far), "low": F.min("value").over(so_far),
+                               "before": F.lag("event_type").over(by_order)})
+    assert same(got, want)
