@@ -611,6 +611,20 @@ ORACLE["stream_nth_event"] = (
     f"WITH {COUNTED} SELECT user_id, ts, event_id FROM counted WHERE rn = 5"
 )
 
+# A day of views and clicks is closed once an hour has passed after it.
+CLOSED = """
+WITH closed AS (
+    SELECT * FROM events WHERE event_type IN ('view', 'click')
+    AND CAST(ts AS DATE) + INTERVAL 1 DAY < (
+        SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type IN ('view', 'click'))
+),
+"""
+
+ORACLE.update({f"stream_{name}": CLOSED + ORACLE[name].strip().removeprefix("WITH").replace("FROM events", "FROM closed")
+               for name in ("buffer_state", "blocked_puts")})
+
+ORACLE["stream_latest_per_key"] = ORACLE["latest_per_key"]
+
 ORACLE["stream_routing"] = ORACLE["route_requests"]
 
 ORACLE["stream_log_etl"] = f"""

@@ -17,8 +17,8 @@ from queuelens.sources.schemas import TABLES
 from queuelens.sources.tables import (
     event_source, event_stream, load_uri, storage_report, table, table_stream,
 )
-from queuelens.streaming import operators as stream
-from queuelens.streaming.sinks import append_all, complete_all, stored_complete
+from queuelens.streaming import buffers as stream_buffers, operators as stream
+from queuelens.streaming.sinks import append_all, complete_all, stored_complete, upsert_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -607,6 +607,34 @@ def stream_nth_event(spark, sf):
     return append_all(reached, shared_path(spark, "stream_nth_event"))
 
 
+def positions_streamed(spark: SparkSession, sf: str, label: str) -> DataFrame:
+    """Views and clicks of all closed days, with the puts and gets of their user so far."""
+    log = buffers.buffer_log(events_streamed(spark, sf), "event_type", put="view", get="click")
+    placed = stream_buffers.stream_positions(log, ["user_id"], "1 day", "1 hour")
+    return stream_buffers.positions(append_all(placed, shared_path(spark, label)), ["user_id"])
+
+
+@query
+def stream_buffer_state(spark, sf):
+    state = buffers.state_at(positions_streamed(spark, sf, "stream_buffer_state"), CAPACITY)
+    return state.select("event_id", "user_id", "op", "stored", "blocked_producers", "waiting_consumers")
+
+
+@query
+def stream_blocked_puts(spark, sf):
+    return buffers.blocked_at(positions_streamed(spark, sf, "stream_blocked_puts"), ["user_id"], CAPACITY)
+
+
+@query
+def stream_latest_per_key(spark, sf):
+    """The last event type of each user, from a table that every micro-batch upserts."""
+    sets = events_streamed(spark, sf).select("user_id", "event_type", *ORDER)
+    table_of_sets = upsert_all(sets, shared_path(spark, "stream_latest_per_key"), ["user_id"], ORDER)
+    return ordering.latest_per_key(
+        table(spark, sf, "customer"), table_of_sets, "c_custkey", "user_id", F.col("event_type"), ORDER,
+        default="unset")
+
+
 @query
 def stream_replay_latency(spark, sf):
     days = stream.stream_replay(

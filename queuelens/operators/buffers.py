@@ -42,12 +42,17 @@ def _millis(df: DataFrame, column: str, start: Column, end: Column) -> Column:
 
 def _pairs(log: DataFrame, key: list[str], ts: str, row_id: str, get_offset: int,
            hot_rows: int | None) -> DataFrame:
-    """Put n next to get n - ``get_offset``, either side null when missing.
+    """Put n next to get n - ``get_offset``, either side null when missing."""
+    placed = _positions(log.select(*key, ts, row_id, "op"), key, [ts, row_id], hot_rows)
+    return _pairs_at(placed, key, ts, row_id, get_offset)
+
+
+def _pairs_at(placed: DataFrame, key: list[str], ts: str, row_id: str, get_offset: int) -> DataFrame:
+    """The pairs of rows that know their positions.
 
     Both sides come from one scan. Grouping by (key, n) has at most two rows per
     group, so a hot key is spread over all tasks.
     """
-    placed = _positions(log.select(*key, ts, row_id, "op"), key, [ts, row_id], hot_rows)
     n = F.when(F.col("op") == PUT, F.col("puts")).otherwise(F.col("gets") + get_offset)
     of_put, of_get = F.col("op") == PUT, F.col("op") == GET
     return placed.groupBy(*key, n.alias("n")).agg(
@@ -80,8 +85,11 @@ def buffer_wait(pairs: DataFrame) -> DataFrame:
 def buffer_state(log: DataFrame, key: Sequence[str], capacity: int, ts: str = "ts",
                  row_id: str = "event_id", hot_rows: int | None = None) -> DataFrame:
     """After each log row: items stored, producers blocked and consumers waiting."""
-    key = list(key)
-    placed = _positions(log, key, [ts, row_id], hot_rows)
+    return state_at(_positions(log, list(key), [ts, row_id], hot_rows), capacity)
+
+
+def state_at(placed: DataFrame, capacity: int) -> DataFrame:
+    """The state after each row, from the puts and gets of its key up to and including it."""
     ahead = F.col("puts") - F.col("gets")
     none, full = F.lit(0).cast("bigint"), F.lit(capacity).cast("bigint")
     return placed.withColumns({
@@ -94,7 +102,14 @@ def buffer_state(log: DataFrame, key: Sequence[str], capacity: int, ts: str = "t
 def blocked_puts(log: DataFrame, key: Sequence[str], capacity: int, ts: str = "ts",
                  row_id: str = "event_id", hot_rows: int | None = None) -> DataFrame:
     """Per put: when it was admitted and how long it was blocked; null when never."""
-    pairs = _pairs(log, list(key), ts, row_id, capacity, hot_rows)
+    placed = _positions(log.select(*key, ts, row_id, "op"), list(key), [ts, row_id], hot_rows)
+    return blocked_at(placed, key, capacity, ts, row_id)
+
+
+def blocked_at(placed: DataFrame, key: Sequence[str], capacity: int, ts: str = "ts",
+               row_id: str = "event_id") -> DataFrame:
+    """Admission of every put, from rows that know the puts and gets of their key so far."""
+    pairs = _pairs_at(placed, list(key), ts, row_id, capacity)
     puts = pairs.where(F.col("put_id").isNotNull())
     admitted = F.when(F.col("n") <= capacity, F.col("put_ts")).when(
         F.col("get_ts").isNotNull(), F.greatest("put_ts", "get_ts")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 # How often a report is emitted (fixed value).
 REPORT_PERIOD = "1 second"
+# Every so many micro-batches an upserted table is merged into one folder.
+MERGE_EVERY = 10
+BASE, CHANGES = "base", "changes"
 
 
 def triggered(writer: DataStreamWriter, period: str | None) -> DataStreamWriter:
@@ -40,7 +43,7 @@ def start_complete(df: DataFrame, path: str, period: str | None = None,
         done = finish(result) if finish else result
         spark = result.sparkSession
         done.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        _files(spark, f"{path}/complete", lambda files, folder: files.create(folder.suffix(f"/{batch_id}"), True).close())
+        _mark(spark, path, str(batch_id))
         delete_folder(spark, f"{path}/rows/batch_id={batch_id - 2}")
         delete_folder(spark, f"{path}/complete/{batch_id - 2}")
 
@@ -55,6 +58,17 @@ def _files(spark: SparkSession, path: str, use: Callable):
     return use(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder)
 
 
+def _mark(spark: SparkSession, path: str, name: str) -> None:
+    """Say that the result ``name`` below ``path`` is whole."""
+    _files(spark, f"{path}/complete", lambda files, folder: files.create(folder.suffix(f"/{name}"), True).close())
+
+
+def _marks(spark: SparkSession, path: str) -> list[str]:
+    """The names of all whole results below ``path``."""
+    found = _files(spark, f"{path}/complete", lambda files, folder: files.globStatus(folder.suffix("/*")))
+    return [mark.getPath().getName() for mark in found or ()]
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a file or folder of the shared file system, if it is there."""
     _files(spark, path, lambda files, folder: files.delete(folder, True))
@@ -62,8 +76,7 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 def newest_complete(spark: SparkSession, path: str) -> int | None:
     """The number of the newest result below ``path`` that is whole, or None."""
-    marks = _files(spark, f"{path}/complete", lambda files, folder: files.globStatus(folder.suffix("/*")))
-    return max((int(mark.getPath().getName()) for mark in marks or ()), default=None)
+    return max(map(int, _marks(spark, path)), default=None)
 
 
 def stored_complete(schema: StructType, spark: SparkSession, path: str) -> DataFrame:
@@ -89,3 +102,66 @@ def complete_all(df: DataFrame, path: str) -> DataFrame:
     """Run ``df`` over all available input in complete mode and read the result."""
     start_complete(df, path).awaitTermination()
     return stored_complete(df.schema, df.sparkSession, path)
+
+
+def newest_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of each key that comes last by ``order``, combined in every task before the shuffle."""
+    last = F.max_by(F.struct(*df.columns), F.struct(*order))
+    return df.groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(last.alias("__row")).select("__row.*")
+
+
+def start_upsert(df: DataFrame, path: str, key: Sequence[str], order: Sequence[str], period: str | None = None,
+                 merge_every: int = MERGE_EVERY) -> StreamingQuery:
+    """Keep the row of each key that comes last by ``order``, whichever order rows arrive in.
+
+    A micro-batch writes its own newest rows to a folder, and a mark once they are whole. Every
+    ``merge_every``-th one also holds all keys of before, as a new base. One that is run again
+    leaves a marked folder as it is, and else writes the same rows anew. Folders older than the
+    base before the newest go, so a reader that has just looked up its folders can finish.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marked = _marks(spark, path)
+        if any(name.endswith(f"-{batch_id}") for name in marked):
+            return
+        is_base = (batch_id + 1) % merge_every == 0
+        rows = batch.unionByName(_versions(batch, path)) if is_base else batch
+        newest_rows(rows, key, order).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        _mark(spark, path, f"{BASE if is_base else CHANGES}-{batch_id}")
+        if is_base:
+            before = _base(marked)
+            for name in marked:
+                if int(name.split("-")[1]) < before:
+                    delete_folder(spark, f"{path}/complete/{name}")
+                    delete_folder(spark, f"{path}/rows/batch_id={name.split('-')[1]}")
+
+    writer = df.writeStream.outputMode("update").foreachBatch(merge)
+    writer = writer.option("checkpointLocation", f"{path}/progress")
+    return triggered(writer, period).start()
+
+
+def _base(marked: Sequence[str]) -> int:
+    """The number of the newest base, or -1."""
+    return max((int(name.split("-")[1]) for name in marked if name.startswith(BASE)), default=-1)
+
+
+def _versions(like: DataFrame, path: str) -> DataFrame:
+    """The rows of the newest base below ``path`` and of all whole folders since."""
+    spark = like.sparkSession
+    marked = _marks(spark, path)
+    numbers = sorted(n for n in (int(name.split("-")[1]) for name in marked) if n >= _base(marked))
+    if not numbers:
+        return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).parquet(*[f"{path}/rows/batch_id={n}" for n in numbers])
+
+
+def stored_upserts(df: DataFrame, path: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The table that ``start_upsert`` over ``df`` has written below ``path``: one row per key."""
+    return newest_rows(_versions(df, path), key, order)
+
+
+def upsert_all(df: DataFrame, path: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Run ``start_upsert`` over all available input and read the table."""
+    start_upsert(df, path, key, order).awaitTermination()
+    return stored_upserts(df, path, key, order)
