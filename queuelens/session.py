@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHIPPED = "_queuelens_shipped"
+STATE_STORE_NAME = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -33,7 +34,7 @@ def build_session(app: str = "queuelens", master: str | None = None,
         # Checkpoints go when nothing refers to them any more.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Streaming state on disk with incremental uploads, not in executor memory.
-        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+        STATE_STORE_NAME: STATE_STORE,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **{name: str(value) for name, value in conf.items()},
     }
@@ -92,6 +93,15 @@ def ship_package(spark: SparkSession) -> None:
     setattr(context, SHIPPED, True)
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Use the RocksDB state store from now on; state of several parts works with no other.
+
+    Sessions that ``build_session`` made have it; queries that run already keep their own.
+    """
+    if spark.conf.get(STATE_STORE_NAME, None) != STATE_STORE:
+        spark.conf.set(STATE_STORE_NAME, STATE_STORE)
+
+
 def require_utc(spark: SparkSession) -> None:
     """Streaming windows cast zone-free times to instants, which is exact in UTC only."""
     zone = spark.conf.get("spark.sql.session.timeZone")

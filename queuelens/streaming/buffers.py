@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from queuelens.operators.buffers import PUT
 from queuelens.plans.joins import broadcast_if_small, join_on_key
 from queuelens.plans.ordered import running
-from queuelens.session import cut_lineage
+from queuelens.session import cut_lineage, keep_state_on_disk
 from queuelens.streaming.operators import EXACT_TIMES, _as_instant
 
 # Parts of the keys that wait in the state on their own, per slice.
@@ -69,6 +69,7 @@ def stream_positions(log: DataFrame, key: Sequence[str], period: str, lateness:
     counted in the query's progress. ``positions`` turns what is emitted into positions from the start.
     """
     key = list(key)
+    keep_state_on_disk(log.sparkSession)
     timed = _as_instant(log, ts).withWatermark(ts, lateness)
     as_text = F.to_json(F.struct(*key), EXACT_TIMES)
     narrow = timed.select(

@@ -15,7 +15,7 @@ from queuelens.operators.events import event_latency
 from queuelens.operators.logs import log_level_filter, log_parse, unparsed, with_log_date
 from queuelens.operators.routing import route_requests
 from queuelens.plans.snapshots import COUNT, QUANTILES, snapshot_of_counts
-from queuelens.session import require_utc
+from queuelens.session import keep_state_on_disk, require_utc
 from queuelens.streaming.sinks import REPORT_PERIOD, start_complete
 
 
@@ -109,6 +109,7 @@ def stream_nth_event(events: DataFrame, key: Sequence[str], n: int, row_id: str
     depend on earlier ones, and a key that has fired passes nothing on.
     """
     key = list(key)
+    keep_state_on_disk(events.sparkSession)
     rows = _as_instant(events, ts)
     as_text = F.to_json(F.struct(*key), EXACT_TIMES)
     narrow = rows.select(as_text.alias("nth_key"), F.unix_micros(ts).alias("nth_micros"), row_id,

@@ -7,7 +7,8 @@ from queuelens.operators import buffers
 from queuelens.session import shared_path
 from queuelens.sources.tables import event_stream, table
 from queuelens.streaming import buffers as stream_buffers
-from queuelens.streaming.sinks import start_append, stored
+from queuelens.streaming.operators import stream_nth_event
+from queuelens.streaming.sinks import append_all, start_append, stored
 from tests.conftest import SMALL
 from tests.helpers import same
 
@@ -92,3 +93,18 @@ def test_late_rows_are_counted(spark, events):
     placed, query = emitted(spark, folder, out)
     assert sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress) == 1
     assert placed.join(late, "event_id").isEmpty()
+
+
+def test_a_session_with_another_state_store(spark, events):
+    """Sessions that were not made by this library name another store, which cannot hold such state."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        folder = shared_path(spark, "other-store")
+        events.coalesce(1).write.parquet(folder)
+        assert emitted(spark, folder, shared_path(spark, "other-store-positions"))[0].count() > 300
+        log = stream_nth_event(event_stream(spark, folder), KEY, 5)
+        assert not append_all(log, shared_path(spark, "other-store-nth")).isEmpty()
+    finally:
+        spark.conf.set(name, before)
