@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -66,32 +69,85 @@ def stream_distinct(events: DataFrame, row_id: str, lateness: str, ts: str = "ts
     return kept.withColumn(ts, F.col(ts).cast(events.schema[ts].dataType))
 
 
-# Parts of a key that count on their own before the key does.
-SALTS = 16
+# Parts that a key is counted in: one, as tasks pass on few rows of a key.
+SALTS = 1
+# Groups that the keys are dealt to.
+LANES = 1024
+# Rows that a task holds before it drops what cannot count.
+HELD = 1 << 17
 SEEN = "seen BIGINT"
-# Keys travel as text, as pandas would turn whole numbers next to nulls into inexact ones.
+# Keys travel as text, which keeps whole numbers next to nulls exact.
 EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
+KEY, MICROS = "nth_key", "nth_micros"
 
 
-def _counter(n: int, order: list[str], only_last: bool) -> StatefulProcessor:
-    """Counts the rows of a group, and passes on the first ``n`` of all, or the n-th."""
+def _first_of_each(n: int, row_id: str) -> Callable[[pa.Table], pa.Table]:
+    """Takes the first ``n`` rows of every key, by time and id; rows of a key stay together.
+
+    The function brings all it needs, as workers that plan a query lack this package.
+    """
+
+    def first(rows: pa.Table) -> pa.Table:
+        coded = rows.append_column("code", rows[KEY].combine_chunks().dictionary_encode().indices)
+        order = pc.sort_indices(coded, [("code", "ascending"), (MICROS, "ascending"), (row_id, "ascending")])
+        code = coded["code"].take(order).to_numpy()
+        begin = np.flatnonzero(np.diff(code, prepend=-1))
+        place = np.arange(len(code)) - np.repeat(begin, np.diff(begin, append=len(code)))
+        return rows.take(order.filter(pa.array(place < n)))
+
+    return first
+
+
+def _passing(n: int, row_id: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Drops rows of a task that come after ``n`` of their key, so that no group gets a hot key whole."""
+
+    first_rows = _first_of_each(n, row_id)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= HELD:
+                first = first_rows(pa.Table.from_batches(held))
+                held = first.to_batches()
+                if first.num_rows > HELD // 2:
+                    yield from held
+                    held = []
+        if held:
+            yield from first_rows(pa.Table.from_batches(held)).to_batches()
+
+    return run
+
+
+def _counter(n: int, row_id: str, out: StructType) -> StatefulProcessor:
+    """Counts the rows of every key of a lane up to ``n`` and passes on the n-th."""
+    columns, first_rows = out.fieldNames(), _first_of_each(n, row_id)
 
     class Counter(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.seen = handle.getValueState("seen", SEEN)
+            self.seen = handle.getMapState("seen", f"{KEY} STRING", SEEN)
 
         def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            before = self.seen.get()[0] if self.seen.exists() else 0
-            first, count = None, 0
-            for batch in rows:
-                count += len(batch)
+            held, size, limit = [], 0, HELD
+            for frame in rows:
+                held.append(pa.Table.from_pandas(frame[columns], preserve_index=False))
+                size += len(frame)
+                if size >= limit:
+                    held = [first_rows(pa.concat_tables(held))]
+                    size = held[0].num_rows
+                    limit = max(HELD, 2 * size)
+            first = first_rows(pa.concat_tables(held))
+            found = pc.value_counts(first[KEY])  # in the order of the rows
+            known, reached, begin = self.seen.exists(), [], 0
+            for name, count in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
+                before = (self.seen.getValue((name,)) or (0,))[0] if known else 0
                 if before < n:
-                    both = batch if first is None else pd.concat([first, batch])
-                    first = both.sort_values(order).head(n - before)
-            if before < n and first is not None:
-                self.seen.update((min(n, before + count),))
-                yield first.iloc[n - before - 1:] if only_last else first
+                    self.seen.updateValue((name,), (min(n, before + count),))
+                    if before + count >= n:
+                        reached.append(begin + n - before - 1)
+                begin += count
+            yield first.take(pa.array(reached, pa.int64())).to_pandas()
 
         def close(self) -> None:
             pass
@@ -104,23 +160,24 @@ def stream_nth_event(events: DataFrame, key: Sequence[str], n: int, row_id: str
     """The event at which the count of its key reaches ``n``, once per key, for append mode.
 
     Micro-batches count in arrival order, rows of one micro-batch in (ts, id) order; both
-    must not be null. The state is one count per key (and per part of a key, so that a hot
-    one is counted in several tasks) which stops at ``n``: what a trigger costs does not
-    depend on earlier ones, and a key that has fired passes nothing on.
+    must not be null. Every task first drops rows that come after ``n`` others of their key.
+    The state is one count per key which stops at ``n``: what a trigger costs does not
+    depend on earlier ones, and a key that has fired passes nothing on. Many keys share a
+    group, as workers pay far more for a group than for a count.
     """
     key = list(key)
     keep_state_on_disk(events.sparkSession)
     rows = _as_instant(events, ts)
     as_text = F.to_json(F.struct(*key), EXACT_TIMES)
-    narrow = rows.select(as_text.alias("nth_key"), F.unix_micros(ts).alias("nth_micros"), row_id,
-                         F.pmod(F.xxhash64(ts, row_id), F.lit(SALTS)).alias("nth_salt"))
-    for by, only_last in ((["nth_key", "nth_salt"], False), (["nth_key"], True)):
-        narrow = narrow.groupBy(*by).transformWithStateInPandas(
-            _counter(n, ["nth_micros", row_id], only_last), narrow.schema, "append", "none")
+    narrow = rows.select(as_text.alias(KEY), F.unix_micros(ts).alias(MICROS), row_id)
+    passed = narrow.mapInArrow(_passing(n, row_id), narrow.schema)
+    lane = F.pmod(F.xxhash64(KEY), F.lit(LANES)).alias("nth_lane")
+    reached = passed.select(lane, *narrow.columns).groupBy("nth_lane").transformWithStateInPandas(
+        _counter(n, row_id, narrow.schema), narrow.schema, "append", "none")
     kinds = events.select(*key).schema
-    back = F.from_json("nth_key", kinds, EXACT_TIMES)
-    time = F.timestamp_micros("nth_micros").cast(events.schema[ts].dataType)
-    return narrow.select(back.alias("k"), time.alias(ts), row_id).select("k.*", ts, row_id)
+    back = F.from_json(KEY, kinds, EXACT_TIMES)
+    time = F.timestamp_micros(MICROS).cast(events.schema[ts].dataType)
+    return reached.select(back.alias("k"), time.alias(ts), row_id).select("k.*", ts, row_id)
 
 
 def stream_replay(created: DataFrame, consumed: DataFrame, on: tuple[str, str], created_at: str, consumed_at: str,

@@ -1,8 +1,10 @@
 """Streams over several files equal their batch twins, also after a restart."""
 
+import random
 import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +123,32 @@ def test_nth_event_of_odd_keys(spark, events, out):
     assert same(reached, batch.select(*reached.columns))
 
 
+def test_nth_event_keeps_one_count_per_key(spark, events, out):
+    """No part of a key has a count of its own, and a second file goes on from the first one's counts."""
+    folder = shared_path(spark, "two-halves")
+    for low in (0, 500):
+        write_slice(events, folder, low, low + 500)
+        query = start_append(stream.stream_nth_event(event_stream(spark, folder), ["user_id"], 5), out)
+        query.awaitTermination()
+    seen = spark.read.parquet(folder)
+    assert sum(o.numRowsTotal for o in query.lastProgress.stateOperators) == seen.select("user_id").distinct().count()
+    batch = triggers.nth_event(seen, ["user_id"], ["ts", "event_id"], 5).select("user_id", "ts", "event_id")
+    assert same(spark.read.schema(batch.schema).parquet(f"{out}/rows"), batch)
+
+
+def test_tasks_drop_rows_that_cannot_be_the_nth(monkeypatch):
+    monkeypatch.setattr(stream, "HELD", 2000)
+    rng = random.Random(4)
+    rows = [("hot" if rng.random() < 0.9 else f"k{rng.randrange(50)}", rng.randrange(3000), number) for number in range(20_000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[low:low + 500])],
+                                          names=["nth_key", "nth_micros", "event_id"]) for low in range(0, 20_000, 500)]
+    passed = [tuple(r.values()) for b in stream._passing(5, "event_id")(iter(batches)) for r in b.to_pylist()]
+    assert len(passed) == len(set(passed)) <= 5 * 51
+    for key in {k for k, *_ in rows}:
+        first = sorted(r[1:] for r in rows if r[0] == key)[:5]
+        assert sorted(r[1:] for r in passed if r[0] == key) == first
+
+
 def test_distinct_keeps_nulls_nan_and_large_ids(spark, events, out):
     folder, odd = shared_path(spark, "odd-copies"), odd_events(events)
     odd.union(odd.where("event_type = 'view'")).repartition(3).write.parquet(folder)
