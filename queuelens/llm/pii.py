@@ -15,12 +15,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from queuelens.llm.frames import bounded, strings
+from queuelens.llm.frames import bounded, kept, strings
+from queuelens.plans.joins import broadcast_if_small
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = "identifier"
@@ -35,13 +37,13 @@ TOKEN = re.compile(r"\S+")
 MARK = re.compile(r"[0-9@]")
 EDGES = ".,;:!?\"'()[]{}<>"
 LEADING = re.compile(r"[^\W\d_]{3,}")
-# Documents that the weights are fitted on, about; picked by a hash of the id and text.
-FITTED = 20_000
 FEATURES = 12
+# Different keys that a task counts before it passes them on.
+HELD_KEYS = 200_000
 # Log odds of a token in a base span, of one whose pattern failed its check, and of a
 # token that only shares a key.
 IN_BASE, FAILED, SHARES = 6.0, -4.0, -1.5
-# Common keys are in so many different texts of the sample, and in this share of them.
+# Common keys are in so many different texts of the corpus, and in this share of them.
 COMMON_TEXTS, COMMON_SHARE = 5, 0.005
 # Common whatever the corpus, which may be too small to tell.
 ALWAYS_COMMON = frozenset(
@@ -150,9 +152,12 @@ class Graph:
     named: np.ndarray  # tokens that only share a key, which one in a base span has
 
 
-def _keys(text: str) -> set[str]:
-    """The keys of all tokens."""
-    return {k for k in (_key(w.strip(EDGES)) for w in set(TOKEN.findall(text))) if k}
+class _KeyOf(dict):
+    """The key of each token, looked for once."""
+
+    def __missing__(self, token: str) -> str | None:
+        key = self[token] = _key(token.strip(EDGES))
+        return key
 
 
 def graph_of(text: str, found: list[list[Span]], failed: list[Span],
@@ -242,59 +247,76 @@ def added_spans(text: str, found: list[list[Span]], failed: list[Span],
     return [graph.spans[i] for i in np.flatnonzero(likely)]
 
 
-def common_keys(sample: DataFrame) -> frozenset[str]:
-    """Keys that many of the different texts hold; copies of a text count once."""
-    texts = sample.distinct()
+def common_keys(texts: DataFrame) -> frozenset[str]:
+    """Keys that many of the different texts (column ``text``) hold; copies of a text count once.
+
+    Only texts that have copies are told, by a hash; the texts themselves are not shuffled
+    unless very many have some. A key is counted apart for every number of copies.
+    """
+    hashed = texts.select("text", F.unhex(F.md5("text")).alias("hash"))
+    several = kept(hashed.groupBy("hash").agg(F.count("*").alias("copies")).where("copies > 1"), "repeated-texts")
+    told = hashed.join(broadcast_if_small(several), "hash", "left").select(
+        "text", F.coalesce("copies", F.lit(1)).alias("copies"))
 
     def list_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches):
-            counts: Counter[str] = Counter()
-            for whole in strings(batch).to_pylist():
-                counts.update(_keys(whole))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                names=["key", "n"])
+        counts: dict[int, Counter[str]] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for copies, of_keys in counts.items():
+                of_keys.pop(None, None)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(of_keys), pa.string()), pa.array([copies] * len(of_keys), pa.int64()),
+                     pa.array(list(of_keys.values()), pa.int64())], names=["key", "copies", "n"])
+            counts.clear()
 
-    least = max(COMMON_TEXTS, COMMON_SHARE * texts.count())
-    counted = texts.mapInArrow(list_keys, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+        for batch in bounded(batches):
+            key_of = _KeyOf().__getitem__
+            for whole, copies in zip(strings(batch).to_pylist(), batch.column("copies").to_pylist()):
+                counts.setdefault(copies, Counter()).update(set(map(key_of, TOKEN.findall(whole))))
+            if sum(map(len, counts.values())) > HELD_KEYS:
+                yield from counted()
+        yield from counted()
+
+    surplus = several.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
+    least = max(COMMON_TEXTS, COMMON_SHARE * (texts.count() - surplus))
+    rows = told.mapInArrow(list_keys, "key string, copies bigint, n bigint").groupBy("key", "copies").agg(
+        F.sum("n").alias("n"))
+    counted = rows.groupBy("key").agg(F.sum(F.expr("n div copies")).alias("n"))
     # Bounded by the keys of a text over the share, as each takes that share of the texts.
     return ALWAYS_COMMON.union(r.key for r in counted.where(F.col("n") >= least).select("key").collect())
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Weights:
-    """Weights from documents whose base spans serve as labels.
+def fit(docs: DataFrame, text: str = "text") -> Weights:
+    """Weights from all documents; their base spans serve as labels.
 
     Tokens are counted by their feature code, and linked pairs by their two labels, so a
     few thousand counts reach the driver. Neither the patterns nor their checks are
     features. Without candidates nothing but the shared potentials can label a token.
     """
-    total = docs.count()
-    share = int(min(1.0, FITTED / max(1, total)) * (1 << 30))
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share).select("text")
-    common = common_keys(sample)
+    texts = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    common = common_keys(texts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[str, int, int]] = Counter()
         for batch in bounded(batches):
-            rows: list[tuple[str, int, int]] = []
             for whole in strings(batch).to_pylist():
                 graph = graph_of(whole, *base_spans(whole), common) if MARK.search(whole) else None
                 if graph is None:
                     continue
                 label = graph.base.astype(int)
                 own = graph.codes >= 0
-                rows += [("token", c, y) for c, y in zip(graph.codes[own].tolist(), label[own].tolist())]
+                counts.update(zip(repeat("token"), graph.codes[own].tolist(), label[own].tolist()))
                 for kind, pairs in (("chain", graph.chain), ("skip", graph.skip)):
                     pairs = pairs[own[pairs].all(axis=1)]
                     same = label[pairs[:, 0]] == label[pairs[:, 1]]
-                    rows += [(kind, 0, int(s)) for s in same]
-            kinds, codes, labels = zip(*rows) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds, pa.string()), pa.array(codes, pa.int64()), pa.array(labels, pa.int64())],
-                names=["kind", "code", "label"])
-
-    counted = sample.mapInArrow(count, "kind string, code bigint, label bigint").groupBy(
-        "kind", "code").agg(F.count("*").alias("n"), F.sum("label").alias("positive")).collect()
+                    counts.update((kind, 0, int(s)) for s in same)
+        kinds, codes, labels = zip(*counts) if counts else ([], [], [])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(kinds, pa.string()), pa.array(codes, pa.int64()), pa.array(labels, pa.int64()),
+             pa.array(list(counts.values()), pa.int64())], names=["kind", "code", "label", "n"])
+
+    counted = texts.mapInArrow(count, "kind string, code bigint, label bigint, n bigint").groupBy(
+        "kind", "code").agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("positive")).collect()
     agree = {r.kind: 0.5 * np.log((r.positive + 1) / (r.n - r.positive + 1))
              for r in counted if r.kind != "token"}
     tokens = sorted((r.code, r.n, r.positive) for r in counted if r.kind == "token")
@@ -335,7 +357,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     Counts and the hash are of base spans; ``spans`` also has the added ones, of kind
     ``identifier``. Offsets count code points. Null text is empty. Extra columns are ignored.
     """
-    weights = fit(docs, key, text)
+    weights = fit(docs, text)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +395,7 @@ def masked(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Texts without a span, and null ones, stay as they are.
     """
-    weights = fit(docs, key, text)
+    weights = fit(docs, text)
 
     @F.arrow_udf("string")
     def compute(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -98,6 +98,17 @@ def test_common_words_are_told_by_the_corpus(spark):
     assert added == ["Tulkin"] * 2
 
 
+def test_every_document_is_counted(spark):
+    """Of 30,000 texts a share of 150 makes a key common, 149 do not; copies of them do not count."""
+    edge = "substring('abcdefghijkl', 1 + id % 200, 1)"
+    docs = spark.range(30_000).selectExpr("id AS doc_id", f"""concat('row ', id, CASE
+        WHEN id % 200 < 6 THEN concat(' painter', {edge})
+        WHEN id % 200 < 12 AND id >= 200 THEN concat(' tulkin', {edge}) ELSE '' END) AS text""")
+    copies = docs.where("text LIKE '%tulkin%' AND doc_id % 3 < 2")
+    common = pii.fit(docs.union(copies).union(copies.where("doc_id % 3 = 0"))).common
+    assert {k for k in common if k.startswith(("painter", "tulkin"))} == {f"painter{c}" for c in "abcdef"}
+
+
 DOCS = [(1, "mail a.b@c.de or +1 (800) 555-0100, card 4111 1111 1111 1111 from 10.0.0.1"), (2, None), (3, ""),
         (4, "nothing here"), (4, "nothing here"), (None, "x@y.zz"), (5, "word " * 20_000 + "q@r.st")]
 
