@@ -65,3 +65,12 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
         frame = spark.createDataFrame([], TABLES[name])
         frame.write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_masking_counts_every_document(spark):
+    """A word in 150 of 30,000 texts is common and stays; one in 149 is the name of who is written to."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", """concat('row ', id, CASE
+        WHEN id = 0 THEN ' write to painter@mail.example.org as painter said, to tulkin@mail.example.org as tulkin said'
+        WHEN id <= 148 THEN ' painter tulkin' WHEN id = 149 THEN ' painter' ELSE '' END) AS text""")
+    masked = corpus_pipeline.without_personal_data(spark, docs, "").where("doc_id = 0").first().text
+    assert masked == "row 0 write to [EMAIL] as painter said, to [EMAIL] as [IDENTIFIER] said"
