@@ -334,5 +334,21 @@ def test_replay_of_two_streams(spark, out):
     assert dropped == 100 and after.count() == found.count()
 
 
+def test_replay_clears_state_with_the_next_rows(spark, out):
+    """One micro-batch a run, none that only clears state, and the same rows as a batch join over several runs."""
+    folders = [shared_path(spark, "made"), shared_path(spark, "gone")]
+    for low in range(0, 4000, 1000):
+        two_streams(spark, low, low + 1000, folders)
+        made = spark.readStream.schema("id BIGINT, k BIGINT, made TIMESTAMP_NTZ").parquet(folders[0])
+        gone = spark.readStream.schema("of BIGINT, at TIMESTAMP_NTZ").parquet(folders[1])
+        met = stream.stream_replay(made, gone, ("id", "of"), "made", "at", ["k"], "1 day", "3 days", "1 hour")
+        found = append_all(met, out, last_clearing=False)
+    assert spark.read.format("binaryFile").load(f"{out}/progress/commits").count() == 4
+    made, gone = (spark.read.parquet(f) for f in folders)
+    batch = made.join(gone, F.expr("id = of AND at >= made - INTERVAL 1 DAY AND at <= made + INTERVAL 3 DAYS"))
+    assert same(found.groupBy("k", "days").count(), batch.groupBy("k", F.date_diff("at", "made").alias("days")).count())
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
 def test_schema_is_fixed(source):
     assert source.sparkSession.createDataFrame([], EVENTS).schema == source.schema
