@@ -15,17 +15,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from queuelens.llm.frames import bounded, strings
+from queuelens.llm.frames import bounded, kept, strings
+from queuelens.plans.joins import broadcast_if_small
 
 FOLDS = 5
-# Classifiers, and how many confirmed and unlabelled texts each one learns from at most.
-# The samples are picked by a hash of the id, so they are the same in every run.
-MODELS = 3
+# About how many confirmed texts make a classifier of their own, and how many texts one learns
+# from. All texts are dealt out by a hash, so more of them make more classifiers.
 CONFIRMED = 3000
-UNLABELLED = 9000
+UNLABELLED = 100_000
+# Ids of confirmed texts that may be sent to every executor.
+SENT_IDS = 1_000_000
 STEPS = 400
 RATE = 0.05
 # A feature is learnt from if it is in so many confirmed texts and this share of them, so many
@@ -85,16 +88,18 @@ def different(hashes: list[list[int]]) -> list[int]:
     return places
 
 
-def _telling(rows: list[np.ndarray], confirmed: np.ndarray) -> np.ndarray:
-    """The features clearly more frequent in confirmed than in unlabelled texts, sorted."""
-    n_toxic = confirmed.sum()
-    found, toxic = np.unique(np.concatenate([rows[i] for i in np.flatnonzero(confirmed)]),
-                             return_counts=True)
-    often = (toxic >= LEAST_TEXTS) & (toxic / n_toxic >= LEAST_SHARE)
-    found, share = found[often], toxic[often] / n_toxic
-    others = np.bincount(np.concatenate([_places(found, rows[i]) for i in np.flatnonzero(~confirmed)]),
-                         minlength=len(found))
-    usual = (others + 1) / (len(rows) - n_toxic + 1)
+def _often(n_texts: int) -> float:
+    """In how many of ``n_texts`` confirmed texts a feature must be."""
+    return max(LEAST_TEXTS, LEAST_SHARE * n_texts)
+
+
+def _telling(found: np.ndarray, toxic: np.ndarray, others: np.ndarray, n_toxic: int, n_others: int) -> np.ndarray:
+    """Of the features ``found``, which are clearly more frequent in confirmed than in unlabelled texts.
+
+    ``toxic`` and ``others`` say in how many of them each feature is.
+    """
+    share = toxic / n_toxic
+    usual = (others + 1) / (n_others + 1)
     errors = (share - usual) / np.sqrt(usual * np.maximum(1 - usual, 1e-9) / n_toxic)
     return found[(share >= LEAST_LIFT * usual) & (errors >= LEAST_ERRORS)]
 
@@ -116,26 +121,37 @@ def train(rows: list[np.ndarray], confirmed: np.ndarray, prior: float) -> tuple[
     """
     if confirmed.all() or not confirmed.any():
         return _unlearnt(), NONE_KNOWN
-    telling = _telling(rows, confirmed)
-    rows = [_places(telling, row) for row in rows]
+    n_toxic = int(confirmed.sum())
+    found, toxic = np.unique(np.concatenate([rows[i] for i in np.flatnonzero(confirmed)]), return_counts=True)
+    often = toxic >= _often(n_toxic)
+    found, toxic = found[often], toxic[often]
+    others = np.bincount(np.concatenate([_places(found, rows[i]) for i in np.flatnonzero(~confirmed)]),
+                         minlength=len(found))
+    telling = _telling(found, toxic, others, n_toxic, len(rows) - n_toxic)
+    return minimised([_places(telling, row) for row in rows], np.ones(len(rows)), confirmed, telling, prior)
+
+
+def minimised(rows: list[np.ndarray], texts: np.ndarray, confirmed: np.ndarray, telling: np.ndarray,
+              prior: float) -> tuple[pd.Series, float]:
+    """What ``train`` returns, for rows that hold places in ``telling`` and stand for ``texts`` texts each."""
     n = len(telling)
     weights, bias = np.zeros(n), -1.0
     first, second = np.zeros(n + 1), np.zeros(n + 1)
-    flat, owner, count = [], [], []
+    flat, owner, share = [], [], []
     for side in (confirmed, ~confirmed):
         chosen = [rows[i] for i in np.flatnonzero(side)]
-        flat.append(np.concatenate(chosen))
+        flat.append(np.concatenate(chosen).astype(np.int64))
         owner.append(np.repeat(np.arange(len(chosen)), [len(row) for row in chosen]))
-        count.append(len(chosen))
+        share.append(texts[side] / texts[side].sum())
 
     for step in range(1, STEPS + 1):
         toxic, any_ = (
-            1 / (1 + np.exp(-(np.bincount(o, weights[f], size) + bias)))
-            for f, o, size in zip(flat, owner, count))
+            1 / (1 + np.exp(-(np.bincount(o, weights[f], len(s)) + bias)))
+            for f, o, s in zip(flat, owner, share))
         # Slopes of the risks (sigmoid loss) of calling toxic and unlabelled texts clean.
-        slope_p = prior * toxic * (1 - toxic) / count[0]
-        slope_u = any_ * (1 - any_) / count[1]
-        if any_.mean() - prior * toxic.mean() >= 0:
+        slope_p = prior * toxic * (1 - toxic) * share[0]
+        slope_u = any_ * (1 - any_) * share[1]
+        if any_ @ share[1] - prior * (toxic @ share[0]) >= 0:
             slope_p = -2 * slope_p
         else:
             slope_u = -slope_u
@@ -184,18 +200,112 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def _picked(key: Column, total: int, most: int, model: Column) -> Column:
-    """About ``most`` of ``total`` rows, by a hash of the id and the model."""
-    share = min(1.0, most / max(1, total))
-    return F.pmod(F.xxhash64(key, model), F.lit(1 << 30)) < int(share * (1 << 30))
+class _Found(dict):
+    """The places of each word's features among those that are looked for; forgets like ``_Learnt``."""
+
+    def __init__(self, found: np.ndarray):
+        super().__init__()
+        self.place = {f: n for n, f in enumerate(found.tolist())}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = places = tuple(self.place[f] for f in features(word) if f in self.place)
+        return places
+
+
+def described(texts: DataFrame) -> DataFrame:
+    """(key, confirmed, hashes, features) of every row of (key, confirmed, text).
+
+    Only confirmed texts get features, as only those that are frequent there matter later.
+    """
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches):
+            rows = list(zip(strings(batch).to_pylist(), batch.column("confirmed").to_pylist()))
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("confirmed"), pa.array([smallest_hashes(t) for t, _ in rows], kind),
+                 pa.array([text_features(t) if c else [] for t, c in rows], kind)],
+                names=["key", "confirmed", "hashes", "features"])
+
+    return texts.select("key", "confirmed", "text").mapInArrow(
+        describe, "key bigint, confirmed boolean, hashes array<bigint>, features array<bigint>")
+
+
+def different_texts(rows: DataFrame) -> DataFrame:
+    """The keys of (key, hashes) that ``different`` leaves if texts come in the order of their keys.
+
+    A text stays that is the first with each of its four hashes; one without words always does.
+    """
+    runs = rows.select("key", F.posexplode("hashes").alias("place", "hash"))
+    firsts = runs.groupBy("place", "hash").agg(F.min("key").alias("key")).groupBy("key").count()
+    return firsts.where(F.col("count") == len(MIXERS)).select("key").union(
+        rows.where("size(hashes) = 0").select("key").distinct())
+
+
+def _placed(texts: DataFrame, found: np.ndarray) -> DataFrame:
+    """(key, places): which of the features ``found`` each text holds, in order."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_word = _Found(found)
+        for batch in bounded(batches):
+            places = [sorted({p for w in words_of(t) for p in of_word[w]}) for t in strings(batch).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(places, pa.list_(pa.int32()))], names=["key", "places"])
+
+    return texts.select("key", "text").mapInArrow(place, "key bigint, places array<int>")
+
+
+def _times(places: DataFrame, size: int) -> np.ndarray:
+    """In how many rows each of ``size`` places is."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = np.zeros(size, np.int64)
+        for batch in batches:
+            times += np.bincount(batch.column("places").flatten().to_numpy(), minlength=size)
+        held = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(times[held])], names=["place", "n"])
+
+    times = np.zeros(size, np.int64)
+    for r in places.select("places").mapInArrow(count, "place bigint, n bigint").groupBy("place").agg(
+            F.sum("n").alias("n")).collect():
+        times[r.place] = r.n
+    return times
+
+
+def _reduced(rows: DataFrame, telling: np.ndarray, found: np.ndarray | None = None) -> DataFrame:
+    """(key, places): the places in ``telling`` of what each row of (key, held) holds.
+
+    ``held`` are features, or places in ``found`` if that is given.
+    """
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column("held")
+            values, ends = held.flatten().to_numpy(), np.cumsum(np.append(0, pc.list_value_length(held).to_numpy()))
+            values = values if found is None else found[values]
+            tells = np.isin(values, telling)
+            until = np.append(0, np.cumsum(tells))[ends]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.ListArray.from_arrays(
+                    pa.array(until, pa.int32()), pa.array(np.searchsorted(telling, values[tells]), pa.int32()))],
+                names=["key", "places"])
+
+    return rows.select("key", "held").mapInArrow(reduce, "key bigint, places array<int>")
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           label: str = "toxic") -> tuple[pd.Series, float]:
     """Mean weights and intercept of the classifiers; one task trains each.
 
+    Features are counted in all texts. Each text is then dealt to a classifier as the places
+    of the few features that tell something, and equal ones are counted. Where there are more
+    classifiers than confirmed texts for them, several share theirs.
+
     Only labels outside the held-out fold are read. Of labels that repeat an id the
-    largest counts, and ids without a document or null ids teach nothing.
+    largest counts, and ids without a document or null ids teach nothing. Near copies
+    teach once; a text is known by 64 bits of a hash.
     """
     known = (
         labels.select(F.col(key).cast("bigint").alias("id"), F.col(label).alias("toxic"))
@@ -206,55 +316,52 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if not n_toxic:
         return _unlearnt(), NONE_KNOWN
     prior = n_toxic / n_known
-    texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
-    texts = texts.where(~held_out(F.col("id")) & F.col("id").isNotNull())
-    models = F.explode(F.sequence(F.lit(0), F.lit(MODELS - 1)))
-    toxic = known.where("toxic = 1").withColumn("model", models).where(
-        _picked(F.col("id"), n_toxic, CONFIRMED, F.col("model")))
-    # Bounded by MODELS * CONFIRMED ids, give or take the spread of the hash.
-    confirmed = texts.join(F.broadcast(toxic.select("id", "model")), "id").select(
-        "model", "text", F.lit(True).alias("confirmed"))
-    total = texts.count()
-    any_ = F.array_compact(F.array(*[
-        F.when(_picked(F.col("id"), total, UNLABELLED, F.lit(100 + m)), F.lit(m))
-        for m in range(MODELS)]))
-    unlabelled = texts.withColumn("picked", any_).where(F.size("picked") > 0).select(
-        F.explode("picked").alias("model"), "text", F.lit(False).alias("confirmed"))
-
-    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches):
-            texts = strings(batch).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("model"), batch.column("confirmed"),
-                 pa.array([smallest_hashes(t) for t in texts], pa.list_(pa.int64())),
-                 pa.array([text_features(t) for t in texts], pa.list_(pa.int64()))],
-                names=["model", "confirmed", "hashes", "features"])
-
-    def fit(group: pa.Table) -> pa.Table:
-        table = group.combine_chunks()
-        hashes, confirmed = table.column("hashes").to_pylist(), table.column("confirmed").to_numpy()
-        # Texts arrive in any order; their hashes put them in one that is always the same.
-        order = sorted(range(len(hashes)), key=lambda i: (confirmed[i], hashes[i]))
-        places = [i for side in (False, True) for i in _of(order, hashes, confirmed, side)]
-        rows = [table.column("features")[i].values.to_numpy() for i in places]
-        weights, bias = train(rows, confirmed[places], prior)
+    toxic = broadcast_if_small(known.where("toxic = 1").select("id", F.lit(True).alias("marked")), SENT_IDS)
+    texts = docs.select(
+        F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    texts = texts.where(~held_out(F.col("id")) & F.col("id").isNotNull()).join(toxic, "id", "left").select(
+        F.xxhash64("text").alias("key"), F.coalesce("marked", F.lit(False)).alias("confirmed"), "text")
+
+    rows = kept(described(texts), "described-texts")
+    confirmed = rows.where("confirmed").dropDuplicates(["key"])
+    confirmed = kept(confirmed.join(different_texts(confirmed), "key", "left_semi"), "confirmed-texts")
+    n_confirmed = confirmed.count()
+    if not n_confirmed:
+        return _unlearnt(), NONE_KNOWN
+    # Bounded by the features of a text over the share.
+    often = sorted(confirmed.select(F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count("*").alias("n")).where(F.col("n") >= _often(n_confirmed)).collect())
+    found, n_found = (np.array([r[i] for r in often], np.int64) for i in range(2))
+
+    unlabelled = kept(_placed(texts, found).dropDuplicates(["key"]).join(
+        different_texts(rows.select("key", "hashes")), "key", "left_semi"), "unlabelled-texts")
+    n_texts = unlabelled.count()
+    telling = _telling(found, n_found, _times(unlabelled, len(found)), n_confirmed, n_texts)
+
+    groups = max(1, n_confirmed // CONFIRMED)
+    models = max(groups, -(-n_texts // UNLABELLED))
+    group, model = (F.pmod(F.xxhash64("key", F.lit(n)), F.lit(n)).cast("int") for n in (groups, models))
+    shared = _reduced(confirmed.withColumnRenamed("features", "held"), telling).select(
+        F.explode(F.sequence(group, F.lit(models - 1), F.lit(groups))).alias("model"),
+        F.lit(True).alias("confirmed"), "places")
+    own = _reduced(unlabelled.withColumnRenamed("places", "held"), telling, found).select(
+        model.alias("model"), F.lit(False).alias("confirmed"), "places")
+
+    def fit(part: pa.Table) -> pa.Table:
+        table = part.combine_chunks()
+        confirmed, places = table.column("confirmed").to_numpy(), table.column("places").to_pylist()
+        # Rows arrive in any order; this one is always the same.
+        order = sorted(range(len(places)), key=lambda i: (confirmed[i], places[i]))
+        weights, bias = minimised([np.array(places[i], np.int64) for i in order],
+                                  table.column("n").to_numpy()[order], confirmed[order], telling, prior)
         return pa.table({
             "features": pa.array([weights.index.tolist()], pa.list_(pa.int64())),
             "weights": pa.array([weights.tolist()], pa.list_(pa.float64())), "bias": [bias]})
 
-    fitted = confirmed.union(unlabelled).mapInArrow(
-        prepare, "model int, confirmed boolean, hashes array<bigint>, features array<bigint>").groupBy(
+    fitted = shared.union(own).groupBy("model", "confirmed", "places").agg(F.count("*").alias("n")).groupBy(
         "model").applyInArrow(fit, "features array<bigint>, weights array<double>, bias double").collect()
-    if not fitted:
-        return _unlearnt(), NONE_KNOWN
     every = pd.concat([pd.Series(r.weights, np.array(r.features, np.int64), float) for r in fitted])
-    return every.groupby(level=0).sum() / len(fitted), float(np.mean([r.bias for r in fitted]))
-
-
-def _of(order: list[int], hashes: list[list[int]], confirmed: np.ndarray, side: bool) -> list[int]:
-    """The texts of one side in order, without near copies."""
-    mine = [i for i in order if confirmed[i] == side]
-    return [mine[place] for place in different([hashes[i] for i in mine])]
+    return every.groupby(level=0).sum() / len(fitted), float(np.mean(sorted(r.bias for r in fitted)))
 
 
 def scored(docs: DataFrame, model: tuple[pd.Series, float], text: str = "text",

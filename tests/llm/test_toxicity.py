@@ -110,3 +110,32 @@ def test_odd_rows(spark, odd):
     none = toxicity.toxicity(odd, labels.limit(0)).collect()
     assert all(r.predicted == 0 for r in none)
     assert toxicity.toxicity(odd.limit(0), labels).count() == 0
+
+
+def test_every_text_is_counted(spark):
+    """In 80 of 8,000 confirmed texts a word may tell something, in 79 not; near copies teach once."""
+    learnt_from = [n for n in range(40_000) if zlib.crc32(str(n).encode()) % 5][:30_000]
+    letters = str.maketrans("0123456789", "qrstuvwxyz")
+    docs = []
+    for place, doc in enumerate(learnt_from):
+        own = f"{doc:05}".translate(letters)
+        words = [f"a{own}", f"b{own}", f"c{own}"]
+        if place < 480:
+            words += ["abcdef"[place // 80] + "paint"] + ["abcdef"[place // 80] + "tulk"] * (place % 80 > 0)
+        docs.append((doc, " ".join(words), place))
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string, place int")
+    labels = docs.selectExpr("doc_id", "int(place < 8000) AS toxic")
+    copies = docs.where("place < 480")
+    weights, _ = toxicity.learn(docs.union(copies).union(copies), labels)
+    told = [c + w for w in ("paint", "tulk") for c in "abcdef"
+            if toxicity.xxhash.xxh64_intdigest(c + w) >> 1 in weights.index]
+    assert told == [c + "paint" for c in "abcdef"]
+
+
+def test_near_copies_are_the_same_however_many_tasks(spark):
+    copies = ["one two three four five six seven " * 5 + str(n) for n in range(20)]
+    texts = copies + ["quite another text with other words", "", "1 2", "and one more"]
+    rows = spark.createDataFrame([(n, toxicity.smallest_hashes(t)) for n, t in enumerate(texts)] * 2,
+                                 "key bigint, hashes array<bigint>")
+    assert sorted(r.key for r in toxicity.different_texts(rows.repartition(7)).collect()) == toxicity.different(
+        [toxicity.smallest_hashes(t) for t in texts]) == [0, 20, 21, 22, 23]
