@@ -1,10 +1,10 @@
 """Alignment of the tokens of two tokenizers, and how often each pair of ids is linked.
 
 Both tokenizers cut the same bytes. Places where tokens of both end are found by divide and
-conquer: near the middle of an interval a common end is located by bisection, and both
-halves are treated likewise, until an interval has no common end inside and is a group. All
-intervals of a batch of texts are halved together, level by level. A token of the one is
-linked to a token of the other if their bytes overlap.
+conquer: near the middle of an interval a common end is located, and both halves are
+treated likewise, until an interval has no common end inside and is a group. All intervals
+of a batch of texts are halved together, level by level. A token of the one is linked to a
+token of the other if their bytes overlap. Ends are looked up by byte.
 
 Links are counted over all documents as one number per pair of ids. The most frequent pairs
 go to all executors, in a number with a bound, and the links of the others to a shuffle.
@@ -18,7 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,11 @@ LETTER, MARK, VISIBLE, SPACE, LINE = 1, 2, 4, 8, 16
 REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
 # Bytes of text aligned at a time.
 AT_A_TIME = 1 << 20
+# Letters that both tokenizers leave in one word, and the bytes that begin a character of
+# U+00C0 to U+07FF, where nothing is white space.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+WORD = re.compile(f" ?[{LETTERS}]+")
+BEGIN_TWO = range(0xC3, 0xE0)
 
 DOCS = ("row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
         "groups_sha256 string, pairs array<bigint>, times array<bigint>")
@@ -54,7 +59,7 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-SPACE_LETTER = next(c for c, b in byte_letters().items() if b == ord(" "))
+SHOWN = {b: c for c, b in byte_letters().items()}
 
 
 class Tokenizers:
@@ -83,11 +88,14 @@ class Tokenizers:
         pieces = [p for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))
                   if not self.b.is_byte(i)]
         self.separable = not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
-        joined = {m for p in pieces for m in re.findall(r"(?<=[A-Za-z])[!-/:-@\[-`{-~]", p)} | {"'"}
+        joined = {m for p in pieces for m in re.findall(rf"(?<=[{LETTERS}])[!-/:-@\[-`{{-~]", p)} | {"'"}
         self.kinds = np.array([
             LETTER * c.isalpha() | MARK * (not c.isalnum() and c not in joined) | VISIBLE if "!" <= c <= "~"
-            else SPACE * (c == " ") | LINE * (c == "\n") for c in map(chr, range(256))], np.uint8)
-        self.known: dict[bytes, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+            else VISIBLE if ord(c) in BEGIN_TWO else SPACE * (c == " ") | LINE * (c == "\n")
+            for c in map(chr, range(256))], np.uint8)
+        # The second bytes of letters from U+00C0 to U+00FF.
+        self.latin = np.array([0x80 <= i < 0xC0 and chr(i + 0x40).isalpha() for i in range(256)])
+        self._forget()
         self.sizes_a = np.array([len(t) for t in self.bytes_a])
         self.sizes_b = np.array([len(t) for t in self.bytes_b])
         # How an id is written: A before another A, A at the end of a group, and so for B.
@@ -100,39 +108,56 @@ class Tokenizers:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def _ids_a(self, chunks: list[bytes]) -> list[list[int]]:
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.table_a = self.table_b = Flat(np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _ids_a(self, chunks: list[str]) -> "Flat":
         """The ids of each chunk by A; a word of letters goes straight to the merges."""
-        word = [c.isalpha() if c[:1] != b" " else c[1:].isalpha() for c in chunks]
-        rest = [c.decode() for c, plain in zip(chunks, word) if not plain]
+        word = list(map(WORD.fullmatch, chunks))
+        rest = [c for c, plain in zip(chunks, word) if not plain]
         others = iter(self.a.encode_batch(rest, add_special_tokens=False) if rest else ())
+        # All words are shown as letters at once; none holds the end of a line.
+        plain = "\n".join(c for c, plain in zip(chunks, word) if plain).encode().decode("latin-1")
+        words = iter(plain.translate(SHOWN).split(SHOWN[ord("\n")]))
         merge = self.a.model.tokenize
-        return [[t.id for t in merge(c.decode().replace(" ", SPACE_LETTER))] if plain else next(others).ids
-                for c, plain in zip(chunks, word)]
+        return Flat.joined([[t.id for t in merge(next(words))] if plain else next(others).ids for plain in word])
 
-    def _chunks(self, chunks: list[bytes]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
-        """The ids of each chunk by A and B; none if they do not spell it."""
+    def _chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, "Flat", "Flat"]:
+        """Where each chunk lies in the returned tables of ids by A and B; none if they do not spell it."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
+            self._forget()
+        known = self.known
+        new = [c for c in chunks if c not in known]
+        new.sort(key=lambda c: len(c) > LONGEST_REMEMBERED)
+        shown = b"\0".join(new).decode().split("\0")
+        if len(shown) != len(new):  # a chunk holds that character itself
+            shown = [c.decode() for c in new]
         # Behind the end of a line, B adds no space to a text.
-        ids_b = self.b.encode(["\n" + c.decode() for c in new], num_threads=1)
-        byte_a, byte_b, long = self.bytes_a.__getitem__, self.bytes_b.__getitem__, {}
-        for chunk, a, b in zip(new, self._ids_a(new), ids_b):
-            b = b[self.line:]
-            spelled = b"".join(map(byte_a, a)) == chunk == b"".join(map(byte_b, b))
-            kept_in = self.known if len(chunk) <= LONGEST_REMEMBERED else long
-            kept_in[chunk] = (tuple(a), tuple(b)) if spelled else ((), ())
-        return [self.known[c] if c in self.known else long[c] for c in chunks]
+        ids_b = self.b.encode(["\n" + c for c in shown], num_threads=1) if new else []
+        a, b = self._ids_a(shown) if new else Flat.joined([]), Flat.joined([x[self.line:] for x in ids_b])
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        spelled = a.spells(new, sizes, self.bytes_a, self.sizes_a) & b.spells(new, sizes, self.bytes_b, self.sizes_b)
+        a, b = self.table_a.and_(a.only(spelled)), self.table_b.and_(b.only(spelled))
+        begin, short = len(known), int((sizes <= LONGEST_REMEMBERED).sum())
+        known.update(zip(new, range(begin, begin + len(new))))
+        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        for chunk in new[short:]:
+            del known[chunk]
+        self.table_a, self.table_b = a.first(len(known)), b.first(len(known))
+        return at, a, b
 
     def _begins(self, raw: np.ndarray) -> np.ndarray:
         """Where a chunk begins: both tokenizers end a token there, whatever else the text holds.
 
-        That is a single space before a visible ASCII character, a mark after an ASCII letter,
-        and either side of one line end between visible ASCII characters.
+        That is a single space before a visible character of ASCII or of two bytes, a mark after
+        a letter, and either side of one line end between such characters.
         """
         begins = np.zeros(len(raw), bool)
         if self.separable:
             kind = self.kinds[raw]
+            two = np.flatnonzero((raw >= BEGIN_TWO[0]) & (raw <= BEGIN_TWO[-1]))
+            kind[two + 1] = VISIBLE | LETTER * ((raw[two] == 0xC3) & self.latin[raw[two + 1]])
             before, here, after = kind[:-1], kind[1:], np.append(kind[2:], 0)
             line = ((before & VISIBLE) > 0) & ((here & LINE) > 0) & ((after & VISIBLE) > 0)
             begins[1:] = (((here & SPACE) > 0) & ((before & SPACE) == 0) & ((after & VISIBLE) > 0)
@@ -149,7 +174,7 @@ class Tokenizers:
         empty, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
         spaced = pc.binary_join_element_wise(empty, texts.take(pa.array(having)), space).cast(pa.large_binary())
         if not len(having):
-            return having, Flat.of([], having, having), Flat.of([], having, having)
+            return having, Flat.joined([]), Flat.joined([])
         _, offsets, data = spaced.buffers()
         ends = np.frombuffer(offsets, np.int64)[spaced.offset:spaced.offset + len(spaced) + 1]
         raw = np.frombuffer(data, np.uint8)[:ends[-1]]
@@ -157,18 +182,18 @@ class Tokenizers:
         begins[ends[:-1]] = True
         at = np.append(np.flatnonzero(begins), ends[-1])
         coded = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), data]).dictionary_encode()
-        each = coded.indices.to_numpy()
         gc.disable()  # what is made here stays, and there is a lot of it
         try:
-            found = self._chunks(coded.dictionary.to_pylist())
+            places, table_a, table_b = self._chunks(coded.dictionary.to_pylist())
         finally:
             gc.enable()
+        each = places[coded.indices.to_numpy()]
         first = np.searchsorted(at, ends[:-1])
-        spelled = np.logical_and.reduceat(np.fromiter((len(a) > 0 for a, _ in found), bool, len(found))[each], first)
+        spelled = np.logical_and.reduceat((np.diff(table_a.until, prepend=0) > 0)[each], first)
         counts = np.diff(np.append(first, len(each)))
         each = each[np.repeat(spelled, counts)]
         until = np.cumsum(counts[spelled])
-        return having[spelled], Flat.of([a for a, _ in found], each, until), Flat.of([b for _, b in found], each, until)
+        return having[spelled], table_a.of(each, until), table_b.of(each, until)
 
 
 @dataclass
@@ -179,13 +204,41 @@ class Flat:
     until: np.ndarray
 
     @staticmethod
-    def of(known: list[tuple[int, ...]], each: np.ndarray, until: np.ndarray) -> "Flat":
-        """Texts made of the chunks ``each``, of which ``until`` say where texts end."""
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        ids = np.fromiter(chain.from_iterable(known), np.int64, int(sizes.sum()))
+    def joined(lists: list[list[int]]) -> "Flat":
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        until = np.cumsum(sizes)
+        return Flat(np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), until)
+
+    def and_(self, other: "Flat") -> "Flat":
+        """Both, one after the other."""
+        return Flat(np.append(self.ids, other.ids), np.append(self.until, other.until + len(self.ids)))
+
+    def first(self, n: int) -> "Flat":
+        """The first ``n`` texts."""
+        return Flat(self.ids[:self.until[n - 1] if n else 0], self.until[:n])
+
+    def only(self, wanted: np.ndarray) -> "Flat":
+        """All texts, but those that are not wanted without ids."""
+        sizes = np.diff(self.until, prepend=0)
+        return Flat(self.ids[np.repeat(wanted, sizes)], np.cumsum(sizes * wanted))
+
+    def of(self, each: np.ndarray, until: np.ndarray) -> "Flat":
+        """Texts made of these, ``each`` after the other, of which ``until`` say where texts end."""
+        sizes = np.diff(self.until, prepend=0)
         count = sizes[each]
         ends = np.append(0, np.cumsum(count))
-        return Flat(ids[_ragged((np.cumsum(sizes) - sizes)[each], count)], ends[until])
+        return Flat(self.ids[_ragged((self.until - sizes)[each], count)], ends[until])
+
+    def spells(self, texts: list[bytes], lengths: np.ndarray, table: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """Whether the bytes of the ids are those of each text, of which ``lengths`` are known."""
+        upto = np.append(0, np.cumsum(sizes[self.ids]))[np.append(0, self.until)]
+        same = np.diff(upto) == lengths
+        mine = np.frombuffer(b"".join(map(table.__getitem__, self.only(same).ids.tolist())), np.uint8)
+        theirs = np.frombuffer(b"".join(compress(texts, same)), np.uint8)
+        wrong = np.flatnonzero(mine != theirs)
+        ends = np.cumsum(lengths[same])
+        same[np.flatnonzero(same)[np.searchsorted(ends, wrong, "right")]] = False
+        return same
 
 
 def _ragged(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -193,11 +246,11 @@ def _ragged(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
-def _near_middle(ends_a: np.ndarray, ends_b: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def _near_middle(ends_a: np.ndarray, place_b: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """For each interval of ends low to high - 1 of A, the one nearest its middle that B has too, or -1.
 
-    A window around the middle is looked up in the ends of B by bisection; it widens until
-    it holds a common end or all of the interval.
+    ``place_b`` says for every byte which token of B ends there, or -1. A window around the
+    middle is looked up in it, and widens until it holds a common end or all of the interval.
     """
     middle = (low + high) // 2
     found = np.full(len(low), -1)
@@ -207,7 +260,7 @@ def _near_middle(ends_a: np.ndarray, ends_b: np.ndarray, low: np.ndarray, high:
         last = np.minimum(high[left], middle[left] + reach + 1)
         count = last - first
         at = _ragged(first, count)
-        common = ends_b[np.searchsorted(ends_b, ends_a[at])] == ends_a[at]
+        common = place_b[ends_a[at]] >= 0
         gap = at - np.repeat(middle[left], count)
         # Twice the distance, and one more to the left, so that a gap can be told from its rank.
         rank = np.where(common, np.where(gap < 0, -2 * gap + 1, 2 * gap), np.iinfo(np.int64).max)
@@ -229,19 +282,21 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray, texts_a: np.ndarray, tex
     low, high = np.append(0, texts_a[:-1]), texts_a - 1
     b_low, b_high = np.append(0, texts_b[:-1]), texts_b - 1
     cuts = [texts_a - 1]
+    place_b = np.full(ends_b[-1] + 1, -1, np.int32)
+    place_b[ends_b] = np.arange(len(ends_b))
     while True:
         open_ = (low < high) & (b_low < b_high)
         low, high, b_low, b_high = low[open_], high[open_], b_low[open_], b_high[open_]
         if not len(low):
             break
-        cut = _near_middle(ends_a, ends_b, low, high)
+        cut = _near_middle(ends_a, place_b, low, high)
         low, high, b_low, b_high, cut = (x[cut >= 0] for x in (low, high, b_low, b_high, cut))
         cuts.append(cut)
-        b_cut = np.searchsorted(ends_b, ends_a[cut])
+        b_cut = place_b[ends_a[cut]]
         low, high = np.concatenate([low, cut + 1]), np.concatenate([cut, high])
         b_low, b_high = np.concatenate([b_low, b_cut + 1]), np.concatenate([b_cut, b_high])
     in_a = np.sort(np.concatenate(cuts))
-    return in_a, np.searchsorted(ends_b, ends_a[in_a])
+    return in_a, place_b[ends_a[in_a]]
 
 
 @dataclass
@@ -264,11 +319,12 @@ class Aligned:
         Between two neighbouring ends of either side lies one token of A and one of B, and
         every linked pair of tokens overlaps in one such stretch.
         """
-        of_b = np.ones(len(self.ends_b), bool)
-        of_b[self.groups_b] = False  # A ends there too
-        ends = np.sort(np.concatenate([self.ends_a, self.ends_b[of_b]]))
-        a, b = np.searchsorted(self.ends_a, ends), np.searchsorted(self.ends_b, ends)
-        text = np.searchsorted(self.texts_a, a, "right")
+        ends_a, ends_b = (np.zeros(self.ends_a[-1] + 1, bool) for _ in range(2))
+        ends_a[self.ends_a], ends_b[self.ends_b] = True, True
+        either = np.flatnonzero(ends_a | ends_b)
+        # How many tokens end before each of these ends.
+        a, b = (np.append(0, np.cumsum(ends[either]))[:-1] for ends in (ends_a, ends_b))
+        text = np.repeat(np.arange(len(self.texts_a)), np.diff(self.texts_a, prepend=0))[a]
         both = np.sort(text << 2 * ID_BITS | self.ids_a[a] << ID_BITS | self.ids_b[b])
         new = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
         times = np.diff(np.append(new, len(both)))
@@ -276,12 +332,13 @@ class Aligned:
 
     def spelled(self, written: list[bytes], n_a: int, n_b: int) -> list[bytes]:
         """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
-        at_a, at_b = np.arange(len(self.ids_a)), np.arange(len(self.ids_b))
-        group_a, group_b = np.searchsorted(self.groups_a, at_a), np.searchsorted(self.groups_b, at_b)
-        before = np.append(0, self.groups_b[:-1] + 1)
-        merged = np.empty(len(at_a) + len(at_b), np.int64)
-        merged[at_a + before[group_a]] = self.ids_a + n_a * (self.groups_a[group_a] == at_a)
-        merged[at_b + self.groups_a[group_b] + 1] = self.ids_b + 2 * n_a + n_b * (self.groups_b[group_b] == at_b)
+        in_a, in_b = (np.diff(groups, prepend=-1) for groups in (self.groups_a, self.groups_b))
+        last_a, last_b = np.zeros(len(self.ids_a), bool), np.zeros(len(self.ids_b), bool)
+        last_a[self.groups_a], last_b[self.groups_b] = True, True
+        merged = np.empty(len(last_a) + len(last_b), np.int64)
+        of_a = np.repeat(np.tile([True, False], len(in_a)), np.stack([in_a, in_b], 1).ravel())
+        merged[of_a] = self.ids_a + n_a * last_a
+        merged[~of_a] = self.ids_b + 2 * n_a + n_b * last_b
         ends = np.append(0, self.texts_a + self.texts_b).tolist()
         shown, write = merged.tolist(), written.__getitem__
         return [b"".join(map(write, shown[x:y]))[:-1] for x, y in zip(ends, ends[1:])]

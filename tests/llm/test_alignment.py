@@ -102,6 +102,38 @@ def test_chunks_give_the_ids_of_whole_texts():
             assert found.get(n, []) == plain_doc(text)[side], repr(text)
 
 
+def test_accented_words_are_chunks_of_their_own():
+    import pyarrow as pa
+    tokenizers = alignment.Tokenizers(*alignment._paths(None, None))
+    tokenizers.encode(pa.array(["El niño y ñandú, así.\nÑes é×ó"], pa.large_string()))
+    assert set(tokenizers.known) == {c.encode() for c in (
+        " El", " niño", " y", " ñandú", ",", " así", ".", "\n", "Ñes", " é×ó")}
+    rng = random.Random(9)
+    letters = [" ", " ", " ", "é", "Ñ", "ß", "×", "÷", "\u00a0", "\u0085", "\u0301", "я", "Ω", "א", "ª", "µ", "a", "the",
+               "\n", "\t", "1", "'", "s", ".", ",", "-", "߷", "\u2028", "\u3000", "▁", "\x00"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    having, *flats = tokenizers.encode(pa.array(texts, pa.large_string()))
+    for side, flat in enumerate(flats):
+        found = dict(zip(having.tolist(), map(np.ndarray.tolist, np.split(flat.ids, flat.until)[:-1])))
+        for n, text in enumerate(texts):
+            assert found.get(n, []) == plain_doc(text)[side], repr(text)
+
+
+def test_long_chunks_are_encoded_but_not_remembered(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(alignment, "REMEMBERED", 20)
+    tokenizers = alignment.Tokenizers(*alignment._paths(None, None))
+    rng = random.Random(10)
+    words = ["".join(rng.choice("abcé1") for _ in range(rng.choice([1, 3, 70, 90]))) for _ in range(60)]
+    for _ in range(30):
+        texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 6))) for _ in range(3)]
+        having, *flats = tokenizers.encode(pa.array(texts, pa.large_string()))
+        for side, flat in enumerate(flats):
+            assert [x.tolist() for x in np.split(flat.ids, flat.until)[:-1]] == [plain_doc(t)[side] for t in texts]
+        assert max(map(len, tokenizers.known), default=0) <= alignment.LONGEST_REMEMBERED
+        assert len(tokenizers.known) == len(tokenizers.table_a.until) == len(tokenizers.table_b.until)
+
+
 def test_divide_and_conquer_finds_all_common_ends():
     rng = np.random.default_rng(0)
     for share in (0.02, 0.3, 0.9):
