@@ -7,8 +7,10 @@ mixed in the logistic domain with weights that learn from every id, and a range
 codes whether it was right. If not, the id is coded by the counts of order 0, which are
 brought up to date now and then, or in full if it is new to the block.
 
-One step codes the next id of all blocks at once. All state is integer, so that a
-reader computes the very numbers the writer did.
+One step codes the next id of all blocks at once, and arrays of a step lie together, the
+two predicting orders as rows of one array and the three mixed ones of another: what a step
+costs is mostly the number of calls. All state is integer, so that a reader computes the
+very numbers the writer did.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ IDS = 1 << 16
 SLOTS = 1 << 12
 # Steps after which the counts of order 0 are brought up to date.
 FIRST_UPDATES, UPDATE_EVERY = (32, 64, 128, 256), 512
+# Steps for which a writer looks up beforehand what depends on the ids alone; divides those above.
+AHEAD = 32
 TOP = 48
 LOW_MASK = (1 << TOP) - 1
 SMALL = 1 << 32
@@ -31,81 +35,92 @@ SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for
                   np.int64)
 STRETCH = np.array([round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int64)
 CLASS = np.array([min(7, int(n).bit_length()) for n in range(256)], np.int64)
+# A chance after a miss, and from 4096 on after a hit.
+NEXT = np.array([max(1, c + (truth - c >> 5)) for truth in (0, 4096) for c in range(4096)], np.int64)
+# What is added to id << 2 | confidence if the id was another one, and from 4 on if it was this one.
+SURER = np.array([0, 0, -1, -1, 1, 1, 1, 0], np.int32)
+ONE_MORE = np.array([min(255, n + 1) for n in range(256)], np.uint8)
+
+
+def _slot_one(one: np.ndarray) -> np.ndarray:
+    return (one * 40503 >> 4) & SLOTS - 1
+
+
+def _slot_two(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return (one * 40503 + two * 30637 + (two >> 5) >> 4) & SLOTS - 1
+
+
+def _updated(step: int) -> bool:
+    return step in FIRST_UPDATES or step > 0 and step % UPDATE_EVERY == 0
+
+
+def _counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of each block sorted; where equal ones begin, and how many they are."""
+    n, known = ids.shape
+    ids = np.sort(ids, axis=1, kind="stable")
+    new = np.ones(ids.shape, bool)
+    np.not_equal(ids[:, 1:], ids[:, :-1], out=new[:, 1:])
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.append(first, n * known))
+    begin = np.repeat((first % known).astype(np.uint16), sizes)
+    return ids, begin, np.repeat(sizes.astype(np.uint16), sizes)
+
+
+def _next_update(step: int) -> int:
+    return min([u for u in FIRST_UPDATES if u > step] + [(step // UPDATE_EVERY + 1) * UPDATE_EVERY])
+
+
+def _ahead(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By step and block, where each of the ``wanted`` ids begins among the sorted ``ids`` of its
+    block, and how many there are."""
+    n, known = ids.shape
+    held, begin, count = _counts(ids)
+    column = np.stack([a.searchsorted(b) for a, b in zip(held, wanted)])
+    column = np.minimum(column, known - 1) + np.arange(n)[:, None] * known
+    there = held.ravel()[column] == wanted
+    return (np.ascontiguousarray(begin[column].T).astype(np.int64),
+            np.ascontiguousarray((count[column] * there).T).astype(np.int64))
 
 
 class _Blocks:
     """The model of all blocks: ``lanes`` blocks of which the longest come first."""
 
-    def __init__(self, lanes: int, length: int):
-        self.lane = np.arange(lanes)
-        self.after_one = np.zeros(lanes * SLOTS, np.int32)  # id << 2 | confidence
-        self.after_two = np.zeros(lanes * SLOTS, np.int32)
+    def __init__(self, lanes: int):
+        self.base = np.arange(lanes) * SLOTS
+        self.of_one = lanes * SLOTS  # where the table of order 1 begins, after that of order 2
+        self.after = np.zeros(2 * lanes * SLOTS, np.int32)  # id << 2 | confidence
         self.seen = np.zeros(lanes * SLOTS, np.uint8)
-        self.right = [np.full(lanes * 8, 1024, np.int64) for _ in range(3)]
-        self.weight = [np.full(lanes, 1 << 15, np.int64) for _ in range(3)]
-        self.past = np.zeros((lanes, length), np.int32)
+        self.cells = np.arange(3 * lanes).reshape(3, lanes) * 8
+        self.right = np.full(3 * lanes * 8, 1024, np.int64)
+        self.weight = np.full((3, lanes), 1 << 15, np.int64)
         self.novel = np.ones(lanes, np.int64)
-        self.one = np.zeros(lanes, np.int64)
-        self.two = np.zeros(lanes, np.int64)
-        self.known = 0  # ids that the counts of order 0 cover
-        self.sorted = self.begin = self.count = np.zeros((lanes, 0), np.int32)
-
-    def update_counts(self, step: int, n: int) -> bool:
-        """Sort what the first ``n`` blocks held so far, if it is time; equal ids then lie together."""
-        if not step or step not in FIRST_UPDATES and step % UPDATE_EVERY:
-            return False
-        ids = np.sort(self.past[:n, :step], axis=1)
-        place = np.broadcast_to(np.arange(step, dtype=np.int32), ids.shape)
-        new = np.ones(ids.shape, bool)
-        new[:, 1:] = ids[:, 1:] != ids[:, :-1]
-        begin = np.maximum.accumulate(np.where(new, place, 0), axis=1)
-        last = np.ones(ids.shape, bool)
-        last[:, :-1] = new[:, 1:]
-        end = np.minimum.accumulate(np.where(last, place, step)[:, ::-1], axis=1)[:, ::-1]
-        self.known, self.sorted, self.begin = step, ids, begin
-        self.count = (end - begin + 1).astype(np.int32)
-        return True
-
-    def predict(self, n: int) -> np.ndarray:
-        """The predicted id of each block; ``self.odds`` is the chance (of 4096) that it is right."""
-        lane = self.lane[:n]
-        one, two = self.one[:n], self.two[:n]
-        base = lane * SLOTS
-        self.at_one = base + ((one * 40503 >> 4) & SLOTS - 1)
-        self.at_two = base + ((one * 40503 + two * 30637 + (two >> 5) >> 4) & SLOTS - 1)
-        of_one, of_two = self.after_one[self.at_one], self.after_two[self.at_two]
-        self.id_one, self.id_two = of_one >> 2, of_two >> 2
-        self.sure_one, self.sure_two = of_one & 3, of_two & 3
-        guess = np.where((self.sure_two > 0) & (self.sure_two >= self.sure_one), self.id_two, self.id_one)
-        often = CLASS[self.seen[base + (guess & SLOTS - 1)]]
-        self.cell = [lane * 8 + self.sure_two * 2 + (guess == self.id_two),
-                     lane * 8 + self.sure_one * 2 + (guess == self.id_one), lane * 8 + often]
-        self.chance = [right[cell] for right, cell in zip(self.right, self.cell)]
-        self.pull = [STRETCH[c] for c in self.chance]
-        mixed = sum(w[:n] * s for w, s in zip(self.weight, self.pull)) >> 16
-        self.odds = SQUASH[np.clip(mixed, -2047, 2047) + 2047]
+
+    def predict(self, n: int, at: np.ndarray) -> np.ndarray:
+        """The predicted id of each block; ``self.odds`` is the chance (of 4096) that it is right.
+
+        ``at`` has the places of orders 2 and 1.
+        """
+        self.at, self.of = at, self.after[at]
+        self.sure, self.ids = self.of & 3, self.of >> 2
+        guess = np.where(self.sure[0] >= np.maximum(self.sure[1], 1), self.ids[0], self.ids[1])
+        self.cell = self.cells[:, :n].copy()
+        self.cell[:2] += (self.sure << 1) + (self.ids == guess)
+        self.cell[2] += CLASS[self.seen[self.base[:n] + (guess & SLOTS - 1)]]
+        self.chance = self.right[self.cell]
+        self.pull = STRETCH[self.chance]
+        mixed = np.add.reduce(self.weight[:, :n] * self.pull, axis=0) >> 16
+        self.odds = SQUASH.take(mixed + 2047, mode="clip")
         return guess
 
-    def learn(self, n: int, step: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        """Take in the ids of this step."""
+    def learn(self, n: int, ids: np.ndarray, place: np.ndarray, hit: np.ndarray) -> None:
+        """Take in the ids of this step, whose places in ``seen`` are given."""
         truth = hit.astype(np.int64) << 12
-        miss = truth - self.odds
-        for right, cell, chance, weight, pull in zip(
-                self.right, self.cell, self.chance, self.weight, self.pull):
-            right[cell] = np.clip(chance + (truth - chance >> 5), 1, 4095)
-            weight[:n] += pull * miss >> 10
-        for table, at, known, sure in ((self.after_one, self.at_one, self.id_one, self.sure_one),
-                                       (self.after_two, self.at_two, self.id_two, self.sure_two)):
-            same = known == ids
-            keep = same | (sure > 1)
-            table[at] = np.where(keep, known << 2, ids << 2) | np.where(
-                same, np.minimum(sure + 1, 3), np.where(keep, sure - 1, 1))
-        place = self.lane[:n] * SLOTS + (ids & SLOTS - 1)
-        count = self.seen[place]
-        self.seen[place] = count + (count < 255)
-        self.past[:n, step] = ids
-        self.two[:n] = self.one[:n]
-        self.one[:n] = ids
+        self.right[self.cell] = NEXT[self.chance + truth]
+        self.weight[:, :n] += self.pull * (truth - self.odds) >> 10
+        same = self.ids == ids
+        keep = same | (self.sure > 1)
+        self.after[self.at] = np.where(keep, self.of + SURER[self.sure + (same << 2)], (ids << 2) + 1)
+        self.seen[place] = ONE_MORE[self.seen[place]]
 
 
 def _active(sizes: np.ndarray) -> list[int]:
@@ -114,42 +129,46 @@ def _active(sizes: np.ndarray) -> list[int]:
     return (len(sizes) - np.searchsorted(sizes[::-1], np.arange(longest), "right")).tolist()
 
 
+def _share(span: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """``span // total``: as spans have 49 bits at most, floats round no quotient up to a whole number."""
+    return (span / total).astype(np.int64)
+
+
 class _Writer:
     """Range coders of all blocks; carries go back into the words already written."""
 
     def __init__(self, lanes: int, length: int):
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, 1 << TOP, np.uint64)
-        self.words = np.zeros((lanes, length * WORDS_PER_ID + 4), np.uint16)
-        self.filled = np.zeros(lanes, np.int64)
-
-    def put(self, lanes: np.ndarray | slice, low: np.ndarray, span: np.ndarray) -> None:
-        """Narrow the range of some blocks to ``span`` from ``low`` on, and write full words."""
-        total = self.low[lanes] + low
-        over = total >> np.uint64(TOP)
-        self.low[lanes] = total & np.uint64(LOW_MASK)
-        self.range[lanes] = span
-        number = np.arange(len(self.low))[lanes]
-        for lane in number[over > 0].tolist():
-            place = self.filled[lane] - 1
-            while self.words[lane, place] == 0xFFFF:
-                self.words[lane, place] = 0
-                place -= 1
-            self.words[lane, place] += 1
-        full = number[span < SMALL]
+        self.low = np.zeros(lanes, np.int64)
+        self.range = np.full(lanes, 1 << TOP, np.int64)
+        self.each = length * WORDS_PER_ID + 4
+        self.words = np.zeros(lanes * self.each, np.uint16)
+        self.lanes = np.arange(lanes)
+        self.place = self.lanes * self.each
+
+    def shift(self, lanes: np.ndarray | None, low: np.ndarray, span: np.ndarray) -> None:
+        """Write full words of some blocks (None: the first ones); positions and ranges are changed in place."""
+        over = np.flatnonzero(low >> TOP)
+        place = self.place[over if lanes is None else lanes[over]] - 1
+        while len(place):
+            word = self.words[place] + np.uint16(1)
+            self.words[place] = word
+            place = place[word == 0] - 1
+        low &= LOW_MASK
+        full = np.flatnonzero(span < SMALL)
         if len(full):
-            self.words[full, self.filled[full]] = self.low[full] >> np.uint64(32)
-            self.filled[full] += 1
-            self.low[full] = self.low[full] << np.uint64(16) & np.uint64(LOW_MASK)
-            self.range[full] <<= np.uint64(16)
+            of = full if lanes is None else lanes[full]
+            place, position = self.place[of], low[full]
+            self.words[place] = position >> 32
+            self.place[of] = place + 1
+            low[full] = position << 16 & LOW_MASK
+            span[full] <<= 16
 
     def finished(self) -> list[bytes]:
         """The code of each block: its words and the 48 bits of its position."""
-        for shift in (32, 16, 0):
-            lane = np.arange(len(self.low))
-            self.words[lane, self.filled] = self.low >> np.uint64(shift) & np.uint64(0xFFFF)
-            self.filled += 1
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.words, self.filled)]
+        for bits in (32, 16, 0):
+            self.words[self.place] = self.low >> bits & 0xFFFF
+            self.place += 1
+        return [self.words[a:b].astype("<u2").tobytes() for a, b in zip(self.lanes * self.each, self.place)]
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
@@ -159,40 +178,45 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     sizes = np.array([len(blocks[i]) for i in order])
     longest = int(sizes[0])
-    ids = np.zeros((len(blocks), longest), np.int32)
+    # Two steps of nothing come before the first id.
+    ids = np.zeros((len(blocks), longest + 2), np.uint16)
     for row, i in enumerate(order):
-        ids[row, :len(blocks[i])] = blocks[i]
-    model, out = _Blocks(len(blocks), longest), _Writer(len(blocks), longest)
-    for step, n in enumerate(_active(sizes)):
-        if model.update_counts(step, n):
-            # Where each id up to the next update has its place among the sorted ones.
-            until = min([u for u in FIRST_UPDATES if u > step] + [(step // UPDATE_EVERY + 1) * UPDATE_EVERY])
-            ahead, since = ids[:n, step:until], step
-            places = np.stack([np.searchsorted(a, b) for a, b in zip(model.sorted, ahead)])
-        symbol = ids[:n, step]
-        guess = model.predict(n)
-        hit = guess == symbol
-        bound = (out.range[:n] >> np.uint64(12)) * model.odds.astype(np.uint64)
-        out.put(slice(0, n), np.where(hit, np.uint64(0), bound),
-                np.where(hit, bound, out.range[:n] - bound))
-        lost = np.flatnonzero(~hit)
-        if len(lost):
-            known, wanted = model.known, symbol[lost]
-            begin, count = np.full(len(lost), known), model.novel[lost].copy()
-            new = np.ones(len(lost), bool)
-            if known:
-                column = np.minimum(places[lost, step - since], known - 1)
-                new = model.sorted[lost, column] != wanted
-                begin = np.where(new, known, column)
-                count = np.where(new, count, model.count[lost, column])
-            unit = out.range[lost] // (known + model.novel[lost]).astype(np.uint64)
-            out.put(lost, unit * begin.astype(np.uint64), unit * count.astype(np.uint64))
-            fresh = lost[new]
+        ids[row, 2:2 + len(blocks[i])] = blocks[i]
+    model, out, active = _Blocks(len(blocks)), _Writer(len(blocks), longest), _active(sizes)
+    known, begins, counts = 0, None, None
+    for step in range(0, longest, AHEAD):
+        until, n = min(step + AHEAD, longest), active[step]
+        if _updated(step):
+            known, since = step, step
+            begins, counts = _ahead(ids[:n, 2:2 + step], ids[:n, 2 + step:2 + min(longest, _next_update(step))])
+        symbols = ids[:n, step:until + 2].T.astype(np.int32)
+        one, two = symbols[1:-1].astype(np.int64), symbols[:-2].astype(np.int64)
+        symbols = symbols[2:]
+        slots = np.stack([_slot_two(one, two), _slot_one(one) + model.of_one], 1) + model.base[:n]
+        places = (symbols & SLOTS - 1) + model.base[:n]
+        for k, (symbol, slot, place, m) in enumerate(zip(symbols, slots, places, active[step:until]), step):
+            symbol = symbol[:m]
+            hit = model.predict(m, slot[:, :m]) == symbol
+            low, span, novel = out.low[:m], out.range[:m], model.novel[:m]
+            bound = (span >> 12) * model.odds
+            low += bound * ~hit
+            span[:] = np.where(hit, bound, span - bound)
+            out.shift(None, low, span)
+            # The id, of all that there are; one of one where the prediction was right.
+            unit = _share(span, np.where(hit, 1, novel + known))
+            begin, times = (begins[k - since, :m], counts[k - since, :m]) if known else (0, np.zeros(m, np.int64))
+            new = ~(hit | (times > 0))
+            low += unit * np.where(hit, 0, np.where(new, known, begin))
+            np.multiply(unit, np.where(hit, 1, np.where(new, novel, times)), out=span)
+            out.shift(None, low, span)
+            fresh = np.flatnonzero(new)
             if len(fresh):
-                unit = out.range[fresh] >> np.uint64(16)
-                out.put(fresh, unit * symbol[fresh].astype(np.uint64), unit)
-                model.novel[fresh] += 1
-        model.learn(n, step, symbol, hit)
+                unit = span[fresh] >> 16
+                position = low[fresh] + unit * symbol[fresh]
+                out.shift(fresh, position, unit)
+                low[fresh], span[fresh] = position, unit
+                novel[fresh] += 1
+            model.learn(m, symbol, place[:m], hit)
     codes: list[bytes] = [b""] * len(blocks)
     for i, code in zip(order, out.finished()):
         codes[i] = code
@@ -207,56 +231,72 @@ def decode(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     lengths = np.array([sizes[i] for i in order])
     longest = int(lengths[0])
     lanes = len(codes)
-    words = np.zeros((lanes, max(len(c) for c in codes) // 2 + 4), np.uint64)
+    words = np.zeros((lanes, max(len(c) for c in codes) // 2 + 4), np.uint16)
     for row, i in enumerate(order):
         code = np.frombuffer(codes[i][:len(codes[i]) // 2 * 2], "<u2")
         words[row, :len(code)] = code
-    last = words.shape[1] - 1
-    read = np.full(lanes, 3)
-    value = words[:, 0] << np.uint64(32) | words[:, 1] << np.uint64(16) | words[:, 2]
-    span = np.full(lanes, 1 << TOP, np.uint64)
-    model = _Blocks(lanes, longest)
-
-    def take(lane: np.ndarray, low: np.ndarray, width: np.ndarray) -> None:
-        value[lane] -= low
-        span[lane] = width
-        full = lane[width < SMALL]
+    begins = np.arange(lanes) * words.shape[1]
+    read, last = begins + 3, begins + words.shape[1] - 1
+    value = (words[:, :3].astype(np.int64) << np.array([32, 16, 0])).sum(axis=1)
+    words = words.ravel()
+    span = np.full(lanes, 1 << TOP, np.int64)
+    past = np.zeros((longest + 2, lanes), np.uint16)  # two steps of nothing come first
+    model, number = _Blocks(lanes), np.arange(lanes)
+
+    def shift(lane: np.ndarray | None, position: np.ndarray, width: np.ndarray) -> None:
+        """Read words of some blocks (None: the first ones); positions and ranges are changed in place."""
+        full = np.flatnonzero(width < SMALL)
         if len(full):
-            value[full] = value[full] << np.uint64(16) | words[full, np.minimum(read[full], last)]
-            read[full] += 1
-            span[full] <<= np.uint64(16)
+            of = full if lane is None else lane[full]
+            at = read[of]
+            # The mask only bounds what a damaged code does.
+            position[full] = (position[full] << 16 | words[np.minimum(at, last[of])]) & LOW_MASK
+            read[of] = at + 1
+            width[full] <<= 16
 
+    known, held = 0, ()
+    one = two = np.zeros(lanes, np.int64)
     for step, n in enumerate(_active(lengths)):
-        model.update_counts(step, n)
-        lane = model.lane[:n]
-        guess = model.predict(n)
-        bound = (span[:n] >> np.uint64(12)) * model.odds.astype(np.uint64)
-        hit = value[:n] < bound
-        take(lane, np.where(hit, np.uint64(0), bound), np.where(hit, bound, span[:n] - bound))
-        symbol = guess.astype(np.int32)
-        lost = np.flatnonzero(~hit)
-        if len(lost):
-            known, novel = model.known, model.novel[lost]
-            total = known + novel
-            unit = span[lost] // total.astype(np.uint64)
-            at = np.minimum(value[lost] // unit, total - 1).astype(np.int64)
-            new = at >= known
-            begin, count = np.full(len(lost), known), novel.copy()
-            if known:
-                column = np.minimum(at, known - 1)
-                begin = np.where(new, known, model.begin[lost, column])
-                count = np.where(new, novel, model.count[lost, column])
-                symbol[lost] = model.sorted[lost, column]
-            take(lost, unit * begin.astype(np.uint64), unit * count.astype(np.uint64))
-            fresh = lost[new]
-            if len(fresh):
-                unit = span[fresh] >> np.uint64(16)
-                full_id = np.minimum(value[fresh] // unit, IDS - 1)
-                take(fresh, unit * full_id, unit)
-                symbol[fresh] = full_id
-                model.novel[fresh] += 1
-        model.learn(n, step, symbol, hit)
+        if _updated(step):
+            known, held = step, _counts(np.ascontiguousarray(past[2:2 + step, :n].T))
+        one, two = one[:n], two[:n]
+        slot = np.empty((2, n), np.int64)
+        slot[0], slot[1] = _slot_two(one, two), _slot_one(one) + model.of_one
+        slot += model.base[:n]
+        symbol = model.predict(n, slot)
+        position, width, novel = value[:n], span[:n], model.novel[:n]
+        bound = (width >> 12) * model.odds
+        hit = position < bound
+        position -= bound * ~hit
+        width[:] = np.where(hit, bound, width - bound)
+        shift(None, position, width)
+        # The id, of all that there are; one of one where the prediction was right.
+        total = np.where(hit, 1, novel + known)
+        unit = _share(width, total)
+        at = np.minimum(_share(position, unit), total - 1)
+        new = ~hit & (at >= known)
+        begin, count = 0, 1
+        if known:
+            held_ids, held_begin, held_count = held
+            column = np.minimum(at, known - 1) + number[:n] * known
+            begin, count = held_begin[column], np.where(hit, 1, held_count[column])
+            symbol = np.where(hit, symbol, held_ids.ravel()[column])
+        position -= unit * np.where(new, known, np.where(hit, 0, begin))
+        np.multiply(unit, np.where(new, novel, count), out=width)
+        shift(None, position, width)
+        fresh = np.flatnonzero(new)
+        if len(fresh):
+            unit, inner = width[fresh] >> 16, position[fresh]
+            full_id = np.minimum(_share(inner, unit), IDS - 1)
+            inner -= unit * full_id
+            shift(fresh, inner, unit)
+            position[fresh], width[fresh] = inner, unit
+            symbol[fresh] = full_id
+            novel[fresh] += 1
+        model.learn(n, symbol, (symbol & SLOTS - 1) + model.base[:n], hit)
+        past[step + 2, :n] = symbol
+        one, two = symbol.astype(np.int64), one
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
     for row, i in enumerate(order):
-        out[i] = model.past[row, :sizes[i]].astype(np.uint32)
+        out[i] = past[2:2 + sizes[i], row].astype(np.uint32)
     return out

@@ -1,5 +1,6 @@
 """The coder's exact round trips, damage, and token files against the tokenizer."""
 
+import hashlib
 import random
 import zlib
 
@@ -38,6 +39,45 @@ def test_repetition_and_skew_are_compressed():
     assert len(mixing.encode([skewed])[0]) * 8 < (entropy + 0.8) * 4000
 
 
+def test_codes_stay_what_they_were():
+    rng = np.random.default_rng(4)
+    blocks = [np.minimum(rng.zipf(1.3, n), 65_535).astype(np.uint32) for n in (1300, 0, 1, 900, 33, 700)]
+    blocks.append(np.tile(rng.integers(0, 65536, 40), 30).astype(np.uint32))
+    codes = mixing.encode(blocks)
+    assert hashlib.sha256(b"".join(codes)).hexdigest() == (
+        "087410b247c96b7bb784d31b8a2a06cbcba3994cbe2a5b4f59bf37fa224a843b")
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, mixing.decode(codes, [len(b) for b in blocks])))
+
+
+def test_counts_of_order_zero():
+    rng = np.random.default_rng(5)
+    ids, wanted = (rng.integers(0, 40, (9, n)).astype(np.uint16) for n in (64, 50))
+    held, begin, count = mixing._counts(ids)
+    assert np.array_equal(held, np.sort(ids, axis=1))
+    begins, counts = mixing._ahead(ids, wanted)
+    for block, (row, asked) in enumerate(zip(ids, wanted)):
+        for step, i in enumerate(asked):
+            assert counts[step, block] == (row == i).sum()
+            assert not counts[step, block] or begins[step, block] == (row < i).sum()
+
+
+def test_quotients_of_spans_are_whole():
+    rng = np.random.default_rng(6)
+    total = np.concatenate([rng.integers(1, 8200, 50_000), rng.integers(1 << 19, 1 << 40, 50_000)])
+    span = rng.integers(1, 1 << 48, 100_000)
+    span[::2] = np.maximum(span[::2] // total[::2], 1) * total[::2] - rng.integers(0, 2, 50_000)
+    assert np.array_equal(mixing._share(span, total), span // total)
+
+
+def test_any_damage_ends_in_other_ids():
+    rng = np.random.default_rng(7)
+    blocks = [rng.integers(0, 3000, 1100).astype(np.uint32) for _ in range(40)]
+    codes = mixing.encode(blocks)
+    damaged = [rng.bytes(len(c)) if n % 2 else c[:n * 20] + rng.bytes(8) + b"\xff" * 600 for n, c in enumerate(codes)]
+    found = mixing.decode(damaged, [1100] * 40)
+    assert all(len(f) == 1100 and f.max() < 65_536 and not np.array_equal(f, b) for f, b in zip(found, blocks))
+
+
 def test_checksums_of_joined_pieces():
     r = random.Random(1)
     for _ in range(40):
