@@ -7,11 +7,10 @@ from an Arrow dictionary; only words not met before reach the tokenizer.
 
 from __future__ import annotations
 
-import gc
 import os
-import re
 from functools import lru_cache
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +21,11 @@ VOCABULARY = "word_bpe_49k.json"
 # with none, as idle workers would hold on to theirs.
 REMEMBERED = 400_000
 # Words of these letters are single words to the tokenizer, and so are marks right after them.
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*#%&$]*)")
-MARK_AFTER = "([A-Za-z])([.,!?;:*#%&$])"
+MARKS = ".,!?;:*#%&$"
+SIMPLE = f"^[A-Za-zÀ-ÖØ-öø-ÿ]+[{MARKS}]*$"
+MARK_AFTER = f"([A-Za-z])([{MARKS}])"
+# Words that the model cuts before their tokens are let go.
+CUT = 256
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -47,52 +49,72 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self._forget()
         letters = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100)))
         # The model works on bytes shown as characters; ask the pre-tokenizer for each letter.
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.shown = {ord(c): "".join(s for s, _ in split(c)) for c in letters if c.isalpha()}
 
-    def _ids(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _of_letters(self, letters: str) -> tuple[int, ...]:
-        lower = letters.lower()
-        ids = self.known.get(lower)
-        if ids is None:
-            tokens = self.tokenizer.model.tokenize(lower.translate(self.shown))
-            ids = self.known[lower] = tuple(t.id for t in tokens)
-        return ids
-
-    def _learn(self, words: list[str]) -> None:
+    def _forget(self) -> None:
+        # Words by their place in two tables, which say where their ids begin in a third, and how many they are.
+        self.known: dict[str, int] = {}
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
+        self.begins = np.append(self.begins, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes, self.ids = np.append(self.sizes, sizes), np.append(self.ids, ids)
+
+    def _add_whole(self, words: list[str]) -> None:
+        """Have the whole tokenizer cut these words."""
+        if words:
+            found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            self._add(words, np.fromiter(map(len, found), np.int64, len(found)),
+                      np.fromiter(chain.from_iterable(found), np.uint32))
+
+    def _add_letters(self, words: list[str]) -> None:
+        """Have the model alone cut these words of small letters."""
+        shown = [w if w.isascii() else w.translate(self.shown) for w in words]
+        cut, sizes, ids = self.tokenizer.model.tokenize, [], []
+        for begin in range(0, len(words), CUT):
+            found = list(map(cut, shown[begin:begin + CUT]))
+            sizes += map(len, found)
+            ids += map(attrgetter("id"), chain.from_iterable(found))
+        self._add(words, np.array(sizes, np.int64), np.array(ids, np.uint32))
+
+    def _learn(self, words: pa.Array) -> None:
         """Remember the ids of ``words``; those that are not simple go to the tokenizer together."""
-        known, others = self.known, []
-        for word in words:
-            simple = SIMPLE.fullmatch(word)
-            if not simple:
-                others.append(word)
-                continue
-            letters, mark = simple.groups()
-            ids = self._of_letters(letters)
-            if mark:
-                if mark not in known:
-                    known[mark] = self._ids(mark)
-                ids += known[mark]
-            known[word] = ids
-        if others:
-            for word, found in zip(others, self.tokenizer.encode_batch(others, add_special_tokens=False)):
-                known[word] = tuple(found.ids)
-
-    def words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """The ids of each word."""
+        known = self.known
+        simple = pc.match_substring_regex(words, SIMPLE)
+        self._add_whole(_listed(words.filter(pc.invert(simple))))
+        words = words.filter(simple)
+        letters = pc.utf8_rtrim(words, MARKS)
+        lower = pc.utf8_lower(letters).dictionary_encode()
+        stems = _listed(lower.dictionary)
+        self._add_letters([s for s in stems if s not in known])
+        of = np.fromiter(map(known.__getitem__, stems), np.int64, len(stems))[lower.indices.to_numpy()]
+        marked = pc.not_equal(words, letters).to_numpy(zero_copy_only=False)
+        listed = _listed(words)
+        known.update(zip(listed, of.tolist()))
+        if marked.any():
+            at = np.flatnonzero(marked)
+            ends = pc.utf8_length(letters).to_numpy(zero_copy_only=False)[at]
+            both = [(listed[i], listed[i][size:], int(of[i])) for i, size in zip(*(x.tolist() for x in (at, ends)))]
+            self._add_whole(list({m for _, m, _ in both if m not in known}))
+            pairs = [(n, known[m]) for _, m, n in both]
+            ids = [self.ids[self.begins[k]:self.begins[k] + self.sizes[k]] for pair in pairs for k in pair]
+            self._add([w for w, _, _ in both], self.sizes[np.array(pairs)].sum(axis=1), np.concatenate(ids))
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The place of each word in the tables."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        gc.disable()  # what is made here stays, and there is a lot of it
-        try:
-            self._learn([w for w in words if w not in self.known])
-        finally:
-            gc.enable()
-        return [self.known[w] for w in words]
+            self._forget()
+        listed = _listed(words)
+        met = np.fromiter(map(self.known.__contains__, listed), bool, len(listed))
+        if not met.all():
+            self._learn(words.filter(pa.array(~met)))
+        return np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) one text after the other, and where each text starts and ends."""
@@ -101,15 +123,13 @@ class WordEncoder:
         lists = pc.ascii_split_whitespace(apart)
         ends = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.dictionary_encode()
-        at = coded.indices.to_numpy()
-        per_word = self.words(coded.dictionary.to_pylist())
-        if not len(at):
-            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        sizes = np.fromiter(map(len, per_word), np.int64, len(per_word))
-        ids = np.fromiter(chain.from_iterable(per_word), np.uint32, int(sizes.sum()))
-        begins = np.cumsum(sizes) - sizes
-        counts = sizes[at]
+        at = self.numbers(coded.dictionary)[coded.indices.to_numpy()]
+        counts = self.sizes[at]
         until = np.concatenate([[0], np.cumsum(counts)])
-        place = np.repeat(begins[at] - until[:-1], counts)
+        place = np.repeat(self.begins[at] - until[:-1], counts)
         place += np.arange(until[-1])
-        return ids[place], until[ends]
+        return self.ids[place], until[ends]
+
+
+def _listed(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()

@@ -114,3 +114,36 @@ def test_a_damaged_block_is_told(spark, tmp_path):
     damaged.write.parquet(str(tmp_path / "damaged"))
     with pytest.raises(Exception, match="DamagedBlock"):
         tokenfile.read(spark, str(tmp_path / "damaged")).collect()
+
+
+def test_no_few_blocks_are_coded_apart():
+    for n in (0, 1, 700, 2212, tokenfile.TOGETHER + 1, 3 * tokenfile.TOGETHER + 5, 26_000):
+        dealt = tokenfile.dealt(n)
+        sizes = [b - a for a, b in dealt]
+        assert [i for a, b in dealt for i in range(a, b)] == list(range(n))
+        assert len(sizes) == -(-n // tokenfile.TOGETHER) and max(sizes, default=0) - min(sizes, default=0) <= 1
+
+
+def test_carries_run_through_full_words():
+    writer, lane = mixing._Writer(2, 4), np.array([1])
+    for word in (5, 0xFFFF, 0xFFFF, 0x10003):
+        assert writer.put(lane, np.array([word * mixing.SMALL + 7])) == 7 * mixing.WORD
+    writer.low[1] = mixing.TOP + 2
+    codes = writer.finished()
+    assert np.frombuffer(codes[0], "<u2").tolist() == [0, 0, 0]
+    assert np.frombuffer(codes[1], "<u2").tolist() == [6, 0, 0, 4, 0, 0, 2]
+
+
+def test_groups_of_blocks_do_not_mix():
+    rng = np.random.default_rng(8)
+    ids = rng.integers(0, 30, (mixing.SORTED + 9, 32)).astype(np.uint16)
+    held = mixing._held(np.ascontiguousarray(ids.T)).reshape(len(ids), 33)
+    for row, block in zip(held, ids):
+        for at, i in enumerate(sorted(block.tolist())):
+            assert row[at] == (block == i).sum() << 32 | (block < i).sum() << 16 | i
+        assert row[32] == 32 << 16
+    begins, counts = mixing._ahead(ids, ids[::-1])
+    for block, (row, asked) in enumerate(zip(ids, ids[::-1])):
+        for step, i in enumerate(asked):
+            assert counts[step, block] == (row == i).sum()
+            assert begins[step, block] == ((row < i).sum() if i in row else 32)
