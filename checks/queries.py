@@ -18,7 +18,7 @@ from queuelens.sources.tables import (
     event_source, event_stream, load_uri, storage_report, table, table_stream,
 )
 from queuelens.streaming import buffers as stream_buffers, operators as stream
-from queuelens.streaming.sinks import append_all, complete_all, stored_complete, upsert_all
+from queuelens.streaming.sinks import JOIN_STATE, append_all, complete_all, stored_complete, upsert_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -640,7 +640,7 @@ def stream_replay_latency(spark, sf):
     days = stream.stream_replay(
         table_stream(spark, sf, "orders"), table_stream(spark, sf, "lineitem"), ("o_orderkey", "l_orderkey"),
         "o_orderdate", "l_shipdate", ["o_orderpriority"], "30 days", "120 days", "1 day")
-    met = append_all(days, shared_path(spark, "stream_replay"), last_clearing=False)
+    met = append_all(days, shared_path(spark, "stream_replay"), last_clearing=False, state=JOIN_STATE)
     return rounded_snapshot(ev.replay_summary(met, ["o_orderpriority"]))
 
 

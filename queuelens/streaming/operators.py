@@ -186,7 +186,8 @@ def stream_replay(created: DataFrame, consumed: DataFrame, on: tuple[str, str],
 
     A consumption counts from ``early`` before the creation to ``late`` after it. Both streams may
     be late by ``lateness``; rows that are later are dropped and counted in the query's progress.
-    A row leaves the state once the watermark of the other stream has passed all it could meet.
+    A row leaves the state once the watermark of the other stream has passed all it could meet; before the
+    first watermark all rows are held, so large inputs are to be started with ``sinks.JOIN_STATE``.
     """
     left = _as_instant(created, created_at).select(
         F.col(on[0]).alias("__id"), *key, F.col(created_at).alias("__from")).withWatermark("__from", lateness)

@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
+from queuelens.session import STATE_STORE, STATE_STORE_NAME
+
 # How often a report is emitted (fixed value).
 REPORT_PERIOD = "1 second"
 # Every so many micro-batches an upserted table is merged into one folder.
 MERGE_EVERY = 10
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+# For joined streams, which may hold every row: state on disk, packed, in one store per task instead of four,
+# with one bound on the memory of all stores of an executor. What a trigger wrote is flushed at its end, as stores
+# that wait with full buffers would use up that bound. Rows held are not counted in the progress, which would
+# cost a read for every write.
+JOIN_STATE = {
+    STATE_STORE_NAME: STATE_STORE,
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+    f"{ROCKSDB}.boundedMemoryUsage": "true",
+    f"{ROCKSDB}.changelogCheckpointing.enabled": "false",
+    f"{ROCKSDB}.compression": "zstd",
+    f"{ROCKSDB}.allowFAllocate": "false",
+    f"{ROCKSDB}.trackTotalNumberOfRows": "false",
+}
 BASE, CHANGES = "base", "changes"
 
 
@@ -93,20 +110,29 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows")
 
 
-def append_all(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), last_clearing: bool = True) -> DataFrame:
+@contextmanager
+def settings(spark: SparkSession, chosen: Mapping[str, str]) -> Iterator[None]:
+    """``chosen`` holds inside; a query that is started there has its own copy of it from then on."""
+    before = {name: spark.conf.get(name, None) for name in chosen}
+    try:
+        for name, value in chosen.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def append_all(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), last_clearing: bool = True,
+               state: Mapping[str, str] | None = None) -> DataFrame:
     """Run ``df`` over all available input in append mode and read the result.
 
     Without ``last_clearing`` there is no micro-batch without rows after the last one. That is for inner
     joins, which emit nothing in it and only clear state; a later run clears it with its own rows.
+    ``state`` says how state is kept, as ``JOIN_STATE`` does; later runs from the same path keep its store and format.
     """
-    spark = df.sparkSession
-    before = spark.conf.get(EMPTY_BATCHES)
-    if not last_clearing:
-        spark.conf.set(EMPTY_BATCHES, "false")
-    try:
-        query = start_append(df, path, partition_by)  # has its own copy of the settings from here on
-    finally:
-        spark.conf.set(EMPTY_BATCHES, before)
+    with settings(df.sparkSession, {**(state or {}), **({} if last_clearing else {EMPTY_BATCHES: "false"})}):
+        query = start_append(df, path, partition_by)
     query.awaitTermination()
     return stored(df, path)
 

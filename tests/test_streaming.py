@@ -15,7 +15,7 @@ from queuelens.sources.schemas import EVENTS, REGISTRY
 from queuelens.sources.tables import event_stream, table
 from queuelens.streaming import operators as stream
 from queuelens.streaming.sinks import (
-    append_all, complete_all, newest_complete, start_append, start_complete, stored, stored_complete,
+    JOIN_STATE, append_all, complete_all, newest_complete, start_append, start_complete, stored, stored_complete,
 )
 from tests.conftest import SMALL
 from tests.helpers import rows, same
@@ -350,5 +350,70 @@ def test_replay_clears_state_with_the_next_rows(spark, out):
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
 
 
+@pytest.fixture
+def state_in_memory(spark):
+    """A session with Spark's own choice of a state store, which keeps all state in executors' memory."""
+    before = {name: spark.conf.get(name, None) for name in JOIN_STATE}
+    for name in JOIN_STATE:
+        spark.conf.unset(name)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", IN_MEMORY)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def state_files(spark, path):
+    """What the state of a query below ``path`` lies in, by its place below the state of a task."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/progress/state/0")
+    return [r.path.split("/progress/state/0/")[1] for r in found.select("path").collect()]
+
+
+def test_replay_query_keeps_state_on_disk(spark, state_in_memory, monkeypatch):
+    """Whatever store the session names; every row of a first run is held, so memory would grow with the tables."""
+    from checks import queries
+
+    used = []
+    monkeypatch.setattr(queries, "shared_path", lambda *given: used.append(shared_path(*given)) or used[-1])
+    found = queries.QUERIES["stream_replay_latency"](spark, SMALL)
+    met = table(spark, SMALL, "orders").join(table(spark, SMALL, "lineitem"), F.expr(
+        "o_orderkey = l_orderkey AND l_shipdate >= o_orderdate - INTERVAL 30 DAYS"
+        " AND l_shipdate <= o_orderdate + INTERVAL 120 DAYS"))
+    assert rows(found, "o_orderpriority", "n") == rows(
+        met.groupBy("o_orderpriority").agg(F.count("*").alias("n")), "o_orderpriority", "n")
+    files = state_files(spark, used[0])
+    assert any(f.endswith(".sst") for f in files) and not any(f.endswith(".delta") for f in files)
+    # One store per task, not one for each of two tables of both sides.
+    assert not any("keyWithIndexToValue" in f for f in files)
+    # The session is as it was.
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == IN_MEMORY
+    assert all(spark.conf.get(name, None) is None for name in JOIN_STATE if "rocksdb" in name)
+
+
+def test_replay_goes_on_from_state_on_disk(spark, out, state_in_memory):
+    """Several runs, each from the state of the one before, give the rows of a batch join; late rows are dropped."""
+    folders = [shared_path(spark, "made"), shared_path(spark, "gone")]
+
+    def run():
+        made = spark.readStream.schema("id BIGINT, k BIGINT, made TIMESTAMP_NTZ").parquet(folders[0])
+        gone = spark.readStream.schema("of BIGINT, at TIMESTAMP_NTZ").parquet(folders[1])
+        met = stream.stream_replay(made, gone, ("id", "of"), "made", "at", ["k"], "1 day", "3 days", "1 hour")
+        return append_all(met, out, last_clearing=False, state=JOIN_STATE)
+
+    for low in range(0, 4000, 1000):
+        two_streams(spark, low, low + 1000, folders)
+        found = run()
+    made, gone = (spark.read.parquet(f) for f in folders)
+    batch = made.join(gone, F.expr("id = of AND at >= made - INTERVAL 1 DAY AND at <= made + INTERVAL 3 DAYS"))
+    days = batch.groupBy("k", F.date_diff("at", "made").alias("days")).count()
+    assert same(found.groupBy("k", "days").count(), days) and batch.count() > 1000
+    two_streams(spark, 0, 50, folders)
+    run()  # the run before made the watermark that these are behind, this one drops them
+    two_streams(spark, 0, 50, folders)
+    assert run().count() == found.count() == batch.count()
+
+
 def test_schema_is_fixed(source):
     assert source.sparkSession.createDataFrame([], EVENTS).schema == source.schema
