@@ -19,13 +19,14 @@ EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
 # For joined streams, which may hold every row: state on disk, packed, in one store per task instead of four,
 # with one bound on the memory of all stores of an executor. What a trigger wrote is flushed at its end, as stores
-# that wait with full buffers would use up that bound. Rows held are not counted in the progress, which would
-# cost a read for every write.
+# that wait with full buffers would use up that bound; a task's half a million rows and more fit a buffer, and are not
+# read from blocks again. Rows held are not counted in the progress, which would cost a read for every write.
 JOIN_STATE = {
     STATE_STORE_NAME: STATE_STORE,
     "spark.sql.streaming.join.stateFormatVersion": "3",
     f"{ROCKSDB}.boundedMemoryUsage": "true",
     f"{ROCKSDB}.changelogCheckpointing.enabled": "false",
+    f"{ROCKSDB}.writeBufferSizeMB": "128",
     f"{ROCKSDB}.compression": "zstd",
     f"{ROCKSDB}.allowFAllocate": "false",
     f"{ROCKSDB}.trackTotalNumberOfRows": "false",
